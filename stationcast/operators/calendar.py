@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.functions import part_of_day, wall_clock, weekday_name
 
 # Holidays of the United States and of Illinois.
-# (name, month, day, first year, observed on the nearest weekday)
+# name, month, day, first year, observed on the nearest weekday
 FIXED_HOLIDAYS = (
     ("New Year's Day", 1, 1, 1871, True),
     ("Lincoln's Birthday", 2, 12, 1971, False),
@@ -19,48 +19,54 @@ FIXED_HOLIDAYS = (
     ("Veterans Day", 11, 11, 1978, True),
     ("Christmas Day", 12, 25, 1871, True),
 )
-# (name, month, weekday, week of the month or -1 for the last, first year)
+# name, month, weekday, week of the month (-1 is the last), days after it, first year,
+# every how many years
 WEEKDAY_HOLIDAYS = (
-    ("Martin Luther King Jr. Day", 1, "MON", 3, 1986),
-    ("Presidents' Day", 2, "MON", 3, 1971),
-    ("Casimir Pulaski Day", 3, "MON", 1, 1978),
-    ("Memorial Day", 5, "MON", -1, 1971),
-    ("Labor Day", 9, "MON", 1, 1894),
-    ("Columbus Day", 10, "MON", 2, 1971),
-    ("Thanksgiving", 11, "THU", 4, 1942),
+    ("Martin Luther King Jr. Day", 1, "MON", 3, 0, 1986, 1),
+    ("Presidents' Day", 2, "MON", 3, 0, 1971, 1),
+    ("Casimir Pulaski Day", 3, "MON", 1, 0, 1978, 1),
+    ("Memorial Day", 5, "MON", -1, 0, 1971, 1),
+    ("Labor Day", 9, "MON", 1, 0, 1894, 1),
+    ("Columbus Day", 10, "MON", 2, 0, 1971, 1),
+    ("Election Day", 11, "MON", 1, 1, 2008, 2),
+    ("Thanksgiving", 11, "THU", 4, 0, 1942, 1),
 )
-# Tuesday after the first Monday of November, in even years from this one on.
-ELECTION_DAY = ("Election Day", 2008)
 
 
-def _entry(name: str, date: Column, applies: Column) -> Column:
-    return F.struct(F.when(applies, date).alias("date"), F.lit(name).alias("name"))
+def _quoted(text: str) -> str:
+    return '"' + text + '"'
 
 
-def _nth_weekday(year: Column, month: int, weekday: str, week: int) -> Column:
-    """First such weekday after the day before the earliest date it can fall on."""
-    first = F.make_date(year, F.lit(month), F.lit(1))
-    earliest = F.date_sub(F.last_day(first), 6) if week < 0 else F.date_add(first, 7 * (week - 1))
-    return F.next_day(F.date_sub(earliest, 1), weekday)
+def _rules() -> str:
+    """The rule rows as an array of structs; a fixed day has no weekday and vice versa."""
+    rows = [
+        f"({_quoted(name)}, {month}, {day}, NULL, NULL, 0, {since}, 1, {str(observed).lower()})"
+        for name, month, day, since, observed in FIXED_HOLIDAYS
+    ]
+    rows += [
+        f"({_quoted(name)}, {month}, NULL, '{weekday}', {week}, {after}, {since}, {every}, false)"
+        for name, month, weekday, week, after, since, every in WEEKDAY_HOLIDAYS
+    ]
+    return "array(" + ", ".join(f"struct{row}" for row in rows) + ")"
 
 
-def _holidays_of(year: Column) -> list[Column]:
-    entries = []
-    for name, month, day, since, observed in FIXED_HOLIDAYS:
-        date = F.make_date(year, F.lit(month), F.lit(day))
-        entries.append(_entry(name, date, year >= since))
-        if observed:
-            saturday, sunday = F.weekday(date) == 5, F.weekday(date) == 6
-            shifted = F.when(saturday, F.date_sub(date, 1)).otherwise(F.date_add(date, 1))
-            entries.append(
-                _entry(f"{name} (Observed)", shifted, (year >= since) & (saturday | sunday))
-            )
-    for name, month, weekday, week, since in WEEKDAY_HOLIDAYS:
-        entries.append(_entry(name, _nth_weekday(year, month, weekday, week), year >= since))
-    name, since = ELECTION_DAY
-    election = F.date_add(_nth_weekday(year, 11, "MON", 1), 1)
-    entries.append(_entry(name, election, (year >= since) & (year % 2 == 0)))
-    return entries
+_RULE_COLUMNS = "(name, month, day, weekday, week, after, since, every, observed)"
+
+_DATE = """
+CASE WHEN day IS NOT NULL THEN make_date(year, month, day)
+     WHEN week < 0 THEN next_day(last_day(make_date(year, month, 1)) - 7, weekday) + after
+     ELSE next_day(make_date(year, month, 1) - 1, weekday) + 7 * (week - 1) + after
+END
+"""
+
+# Saturday is observed on Friday, Sunday on Monday; other days have no second entry.
+_ENTRIES = """
+inline(array(
+  struct(nominal AS date, name AS name),
+  struct(CASE WHEN observed AND weekday(nominal) = 5 THEN nominal - 1
+              WHEN observed AND weekday(nominal) = 6 THEN nominal + 1 END AS date,
+         name || ' (Observed)' AS name)))
+"""
 
 
 def holiday_calendar(spark: SparkSession, years: Iterable[int]) -> DataFrame:
@@ -72,11 +78,13 @@ def holiday_calendar(spark: SparkSession, years: Iterable[int]) -> DataFrame:
     wanted = sorted({int(year) for year in years})
     if not wanted:
         raise ValueError("holiday_calendar needs at least one year")
-    span = spark.range(wanted[0], wanted[-1] + 2)
     return (
-        span.select(F.inline(F.array(*_holidays_of(F.col("id").cast("int")))))
+        spark.range(wanted[0], wanted[-1] + 2)
+        .selectExpr("CAST(id AS INT) AS year", f"inline({_rules()}) AS {_RULE_COLUMNS}")
+        .where("year >= since AND year % every = 0")
+        .selectExpr("name", "observed", f"{_DATE} AS nominal")
+        .selectExpr(_ENTRIES)
         .where(F.year("date").isin(wanted))
-        .select("date", "name")
     )
 
 

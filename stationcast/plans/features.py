@@ -38,26 +38,33 @@ def hourly_demand(trips: DataFrame, profile: DataFrame | None = None) -> DataFra
     with the ``profile`` given separately. Trips without a usable station or time cannot
     reach any group and are left out here.
     """
-    clock = wall_clock("starttime")
     attributes = list(STATION_ATTRIBUTES) if profile is None else []
+    timed = trips.where(F.col("from_station_id").isNotNull()).select(
+        "from_station_id",
+        *attributes,
+        hour_bucket("starttime").alias("starttime_join"),
+        wall_clock("starttime").alias("starttime"),
+    )
+    # The day and hour by the clock are keys too, should the text key not decide them.
+    # Unreadable times count 0: a filter on them would be pushed below the aggregation
+    # and parse every time once more.
     hours = (
-        trips.select(
+        timed.groupBy(
             "from_station_id",
             *attributes,
-            hour_bucket("starttime").alias("starttime_join"),
-            # The start of the hour by the clock; the text key may carry a zone suffix.
-            (F.make_timestamp_ntz(
-                F.year(clock), F.month(clock), F.day(clock), F.hour(clock), F.lit(0), F.lit(0)
-            )).alias("starttime"),
+            "starttime_join",
+            F.col("starttime").cast("date").alias("day"),
+            F.hour("starttime").alias("hour"),
         )
-        .where(F.col("from_station_id").isNotNull() & F.col("starttime").isNotNull())
-        .groupBy("from_station_id", *attributes, "starttime_join", "starttime")
-        .agg(F.count(F.lit(1)).alias("trips"))
+        .agg(F.count("starttime").alias("trips"), F.min("starttime").alias("starttime"))
+        .where(F.col("trips") > 0)
+        .drop("day", "hour")
     )
     if profile is not None:
         stations = profile.select("station", *STATION_ATTRIBUTES)
         hours = hours.join(stations, F.col("from_station_id") == F.col("station")).drop("station")
-    return hours.withColumn("from_station_id", number("from_station_id", "int"))
+    numbered = hours.withColumn("from_station_id", number("from_station_id", "int"))
+    return numbered.where(F.col("from_station_id").isNotNull())
 
 
 def weather_tally(weather: DataFrame, time: str = "datetime") -> DataFrame:
@@ -74,15 +81,15 @@ def demand_frame(
 ) -> DataFrame:
     """Group weighted readings to date, station and part of the day.
 
-    ``tally`` has the calendar features and the totals of :func:`weather_tally`. All
-    steps share one shuffle on date, station and part. The most frequent weather is
-    decided over all rows of such a slot, ties by name with NULL first.
+    ``tally`` has the calendar features and the totals of :func:`weather_tally`, and no
+    NULL station or time. All steps share one shuffle on date, station and part. The most
+    frequent weather is decided over all rows of such a slot, ties by name, NULL first.
     """
     station = [name for name in station_columns if name == "from_station_id"]
     slot = ["date", *station, "part_time"]
     totals = ["readings", *[f"{m}_{kind}" for m in MEASURES for kind in ("sum", "count")]]
 
-    dealt = tally.dropna(subset=slot).repartition(*slot)
+    dealt = tally.repartition(*slot)
     by_weather = dealt.groupBy(
         *station_columns, "date", "part_time", *CALENDAR_COLUMNS, "weather_description"
     ).agg(*[F.sum(name).alias(name) for name in totals])
@@ -140,7 +147,9 @@ def scoring_frame(
     classified = classify_weather(forecast, vocabulary).select(
         "datetime", F.col("weather_condition").alias("weather_description"), *MEASURES
     )
-    moments = classified.withColumn("starttime", wall_clock("datetime"))
+    moments = classified.withColumn("starttime", wall_clock("datetime")).dropna(
+        subset=["starttime"]
+    )
     spellings = (
         moments.select("starttime", "datetime")
         .distinct()
