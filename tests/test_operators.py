@@ -1,0 +1,282 @@
+"""Operators on small frames, each quirk on its own."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stationcast import operators as ops
+from stationcast import plans
+from stationcast.operators.weather import WEATHER_PHRASES
+from tests.fixtures import TRIP_SCHEMA, brute_profiles, skewed_trips, trip
+
+
+def trips_frame(spark, rows):
+    return ops.usertype_flags(spark.createDataFrame(rows, TRIP_SCHEMA))
+
+
+# Most frequent ---------------------------------------------------------------------
+
+
+def test_tie_goes_to_the_lowest_value_null_first(spark):
+    rows = [("a", "y"), ("a", "x"), ("b", None), ("b", "x"), ("c", "z"), ("c", "z"), ("c", "a")]
+    df = spark.createDataFrame(rows, "k string, v string")
+    got = {r["k"]: (r["v"], r["count"]) for r in ops.most_frequent_per_group(df, ["k"], ["v"]).collect()}
+    assert got == {"a": ("x", 1), "b": (None, 1), "c": ("z", 2)}
+
+
+def test_null_key_is_a_group(spark):
+    df = spark.createDataFrame([(None, "x"), (None, "x"), ("a", "y")], "k string, v string")
+    got = {r["k"]: r["count"] for r in ops.most_frequent_per_group(df, ["k"], ["v"]).collect()}
+    assert got == {None: 2, "a": 1}
+
+
+def test_most_frequent_reduces_before_it_shuffles(spark):
+    """Both exchanges carry partial aggregates, so a hot key leaves a task as few rows."""
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), (F.col("id") % 4).alias("v")
+    )
+    plan = ops.most_frequent_per_group(df, ["k"], ["v"])._jdf.queryExecution().toString()
+    assert "partial_count" in plan and "partial_min" in plan
+    assert "Window" not in plan.split("== Physical Plan ==")[1]
+
+
+# Stations --------------------------------------------------------------------------
+
+
+def test_profile_covers_modal_coordinates_only(spark):
+    rows = [
+        trip("2016-01-01 00:00:00", lat="41.8", cap="11", user="Subscriber"),
+        trip("2016-01-01 01:00:00", lat="41.8", cap="bad", user="Customer"),
+        trip("2016-01-01 02:00:00", lat="41.8", cap="", user="Dependent"),
+        trip("2016-01-01 03:00:00", lat="41.9", cap="99", user="Subscriber"),
+        trip("2016-01-01 03:00:00", station="2", cap="14"),
+        trip("2016-01-01 03:00:00", station="2", cap="15"),
+        trip("2016-01-01 03:00:00", station=None),
+    ]
+    got = {r["station"]: r for r in ops.station_profile(trips_frame(spark, rows)).collect()}
+    one = got["1"]
+    assert (one["latitude"], one["count"], one["mean_dpcapacity_start"]) == ("41.8", 3, 11.0)
+    assert (one["sum_subscriber"], one["sum_customer"], one["rank"]) == (1, 1, 1)
+    assert got["2"]["mean_dpcapacity_start"] == 15.0  # 14.5 half up
+    assert got[None]["count"] == 0
+
+
+def test_profile_equals_brute_force_on_skewed_trips(spark):
+    rows = skewed_trips()
+    got = {
+        r["station"]: tuple(r[c] for c in (
+            "latitude", "longitude", "mean_dpcapacity_start", "mean_dpcapacity_end",
+            "sum_subscriber", "sum_customer", "count",
+        ))
+        for r in ops.station_profile(trips_frame(spark, rows).repartition(7)).collect()
+    }
+    assert got == brute_profiles(rows)
+
+
+def test_trips_without_station_drop_and_others_pass_through(spark):
+    rows = [trip("2016-01-01 00:00:00"), trip("2016-01-01 01:00:00", station=None)]
+    raw = spark.createDataFrame(rows, TRIP_SCHEMA).withColumn("extra", F.lit("kept"))
+    got = plans.ingest_trips(raw).collect()
+    assert len(got) == 1
+    assert got[0]["extra"] == "kept" and got[0]["station"] == "1"
+
+
+def test_missing_column_is_named(spark):
+    with pytest.raises(ValueError, match="usertype"):
+        plans.ingest_trips(spark.createDataFrame([("x",)], "starttime string"))
+
+
+# Joins -----------------------------------------------------------------------------
+
+
+def test_join_beyond_the_bound_is_shuffled_and_equal(spark):
+    rows = skewed_trips()
+    trips = trips_frame(spark, rows)
+    profile = ops.station_profile(trips).persist()
+    small = ops.join_sized(trips, profile, F.col("from_station_id") == F.col("station"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = ops.join_sized(
+            trips, profile, F.col("from_station_id") == F.col("station"), max_rows=3
+        )
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        profile.unpersist()
+
+
+def test_hot_station_is_split_in_the_shuffled_join(spark):
+    """With small thresholds the partition of the hot key is read by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        trips = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("string").alias("s"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        profile = spark.range(500).select(F.col("id").cast("string").alias("station"))
+        joined = ops.join_sized(trips, profile, F.col("s") == F.col("station"), max_rows=3)
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_replicate_join_pairs_everything_once(spark):
+    many = spark.range(101).select(F.col("id").alias("a"))
+    few = spark.range(7).select(F.col("id").alias("b"))
+    got = ops.replicate_join(many, few, ["a"]).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == [(a, b) for a in range(101) for b in range(7)]
+
+
+# Weather ---------------------------------------------------------------------------
+
+
+def test_every_phrase_has_its_category(spark):
+    rows = [(p, c) for c, phrases in WEATHER_PHRASES.items() for p in phrases]
+    df = spark.createDataFrame(rows, "weather_description string, expected string")
+    got = ops.classify_weather(df).collect()
+    assert len(got) == len(rows) == 59
+    wrong = [r["weather_description"] for r in got if r["weather_condition"] != r["expected"]]
+    # The one phrase that is not in lower case is never met.
+    assert wrong == ["Ash volcanic ash"]
+
+
+@pytest.mark.parametrize(
+    ("text", "category"),
+    [
+        ("LIGHT RAIN", "Rain"),
+        ("Thunderstorm", "Clouds"),
+        ("thunderstorm", "Thunderstorm"),
+        ("Ash volcanic ash", "Clouds"),
+        ("ash volcanic ash", "Clouds"),
+        ("sky is clear", "Clouds"),
+        ("something else", "Clouds"),
+        (None, "Clouds"),
+    ],
+)
+def test_case_and_default(spark, text, category):
+    df = spark.createDataFrame([(text,)], "weather_description string")
+    assert ops.classify_weather(df).first()["weather_condition"] == category
+
+
+def test_other_vocabulary_and_columns(spark):
+    vocabulary = spark.createDataFrame(
+        [("sol", "Sun", False)], "phrase string, category string, case_sensitive boolean"
+    )
+    df = spark.createDataFrame([("Sol",), ("x",)], "d string")
+    got = ops.classify_weather(df, vocabulary, column="d", out="c").collect()
+    assert sorted(r["c"] for r in got) == ["Clouds", "Sun"]
+
+
+def series(spark, name, rows):
+    return spark.createDataFrame(rows, f"datetime string, {name} string")
+
+
+def test_alignment_multiplies_repeated_and_drops_missing_hours(spark):
+    frames = {
+        "humidity": series(spark, "humidity", [("a", "1"), ("a", "2"), ("b", "3"), ("c", "4")]),
+        "pressure": series(spark, "pressure", [("a", "5"), ("a", "6"), ("b", None), ("c", "7")]),
+        "temperature": series(spark, "temperature", [("a", "8"), ("b", "9"), ("c", "1")]),
+        "weather_description": series(
+            spark, "weather_description", [("a", "sky is clear"), ("b", "mist"), ("c", "mist")]
+        ),
+        "wind_speed": series(spark, "wind_speed", [("a", "2"), ("b", "3"), (None, "4")]),
+    }
+    got = plans.ingest_weather(frames)
+    assert got.columns == [
+        "datetime", "humidity", "pressure", "temperature", "weather_description", "wind_speed",
+    ]
+    rows = got.collect()
+    assert sorted(r["datetime"] for r in rows) == ["a", "a", "a", "a", "b"]
+    assert {r["weather_description"] for r in rows if r["datetime"] == "a"} == {"Clear"}
+    assert [r["pressure"] for r in rows if r["datetime"] == "b"] == [None]
+
+
+# Calendar --------------------------------------------------------------------------
+
+
+def names_of(spark, *years):
+    rows = ops.holiday_calendar(spark, years).collect()
+    return {(r["date"].isoformat(), r["name"]) for r in rows}
+
+
+def test_holidays_of_2016(spark):
+    assert names_of(spark, 2016) == {
+        ("2016-01-01", "New Year's Day"),
+        ("2016-01-18", "Martin Luther King Jr. Day"),
+        ("2016-02-12", "Lincoln's Birthday"),
+        ("2016-02-15", "Presidents' Day"),
+        ("2016-03-07", "Casimir Pulaski Day"),
+        ("2016-05-30", "Memorial Day"),
+        ("2016-07-04", "Independence Day"),
+        ("2016-09-05", "Labor Day"),
+        ("2016-10-10", "Columbus Day"),
+        ("2016-11-08", "Election Day"),
+        ("2016-11-11", "Veterans Day"),
+        ("2016-11-24", "Thanksgiving"),
+        ("2016-12-25", "Christmas Day"),
+        ("2016-12-26", "Christmas Day (Observed)"),
+    }
+
+
+def test_new_year_observed_in_the_year_before(spark):
+    assert ("2010-12-31", "New Year's Day (Observed)") in names_of(spark, 2010)
+    assert ("2010-12-31", "New Year's Day (Observed)") not in names_of(spark, 2011)
+    assert ("2011-01-01", "New Year's Day") in names_of(spark, 2011)
+
+
+def test_rules_that_start_later_or_skip_years(spark):
+    names = {n for _, n in names_of(spark, 2015)}
+    assert "Election Day" not in names and "Juneteenth" not in names
+    assert ("2022-06-20", "Juneteenth (Observed)") in names_of(spark, 2022)
+    dates = ops.holiday_calendar(spark, [2013, 2019]).select(F.year("date").alias("y")).distinct()
+    assert {r["y"] for r in dates.collect()} == {2013, 2019}
+
+
+def test_calendar_needs_a_year(spark):
+    with pytest.raises(ValueError, match="year"):
+        ops.holiday_calendar(spark, [])
+
+
+def test_calendar_features(spark):
+    df = spark.createDataFrame(
+        [("2016-07-04 17:10:00",), ("2016-07-05 00:00:00",), (None,), ("bad",)], "starttime string"
+    )
+    holidays = spark.createDataFrame(
+        [(dt.date(2016, 7, 4), "a"), (dt.date(2016, 7, 4), "b")], "date date, name string"
+    )
+    rows = ops.calendar_features(df, holidays).collect()
+    got = {r["starttime"]: (r["date"], r["holiday"], r["week_days"], r["part_time"], r["month"]) for r in rows}
+    assert len(rows) == 4
+    assert got["2016-07-04 17:10:00"] == ("2016-07-04", "yes", "Monday", "Afternoon", 7)
+    assert got["2016-07-05 00:00:00"] == ("2016-07-05", "no", "Tuesday", "Early Morning", 7)
+    assert got[None] == got["bad"] == (None, "no", None, None, None)
+
+
+# Quality ---------------------------------------------------------------------------
+
+
+def test_unmatched_trips_are_reported(spark):
+    trips = spark.createDataFrame(
+        [("a", "1"), ("a", None), ("b", "1"), (None, "1")],
+        "starttime_join string, from_station_id string",
+    )
+    weather = spark.createDataFrame([("a",), ("a",)], "datetime string")
+    lost = {r["starttime_join"]: r["trips"] for r in ops.unmatched_hours(trips, weather).collect()}
+    assert lost == {"b": 1, None: 1}
+    assert ops.unmatched_summary(trips, weather).first().asDict() == {
+        "trips": 4, "without_station": 1, "without_weather": 2,
+    }
