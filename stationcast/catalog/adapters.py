@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.operators import holiday_calendar
+from stationcast.session import stage
 from stationcast.sources import select_measure
 
 CITY = "Chicago"
@@ -60,9 +61,18 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _hour_number() -> Column:
-    days = F.date_diff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))
-    return days * 24 + F.hour("ts")
+def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct hours of the events, numbered from 1970 on.
+
+    All series are read from it, so it is stored: one pass over the events, not five.
+    """
+    hours = (
+        table(spark, sf_dir, "events")
+        .select(F.col("ts").cast("date").alias("day"), F.hour("ts").alias("hour"))
+        .distinct()
+    )
+    days = F.date_diff("day", F.lit("1970-01-01").cast("date"))
+    return stage(hours.select((days * 24 + F.col("hour")).alias("k")), "hours")
 
 
 def _hour_text(number: Column) -> Column:
@@ -88,7 +98,7 @@ def _readings(number: Column) -> dict[str, Column]:
 
 def measure_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Five series by hour, each with two cities, all columns as text."""
-    hours = table(spark, sf_dir, "events").select(_hour_number().alias("k")).distinct()
+    hours = _hours(spark, sf_dir)
     tables = {}
     for name, reading in _readings(F.col("k")).items():
         source = hours.where(F.col("k") % 50 != 0) if name == "wind_speed" else hours
@@ -108,8 +118,8 @@ def measure_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON payload per day, its readings three hours apart, a month after the events."""
-    number = F.floor(_hour_number() / 3).cast("int") * 3 + FORECAST_SHIFT_HOURS
-    slots = table(spark, sf_dir, "events").select(number.alias("k")).distinct()
+    number = F.floor(F.col("k") / 3).cast("int") * 3 + FORECAST_SHIFT_HOURS
+    slots = _hours(spark, sf_dir).select(number.alias("k")).distinct()
     reading = _readings(F.col("k"))
     item = F.struct(
         _hour_text(F.col("k")).alias("dt_txt"),

@@ -36,10 +36,15 @@ def _weather(spark: SparkSession, sf: str) -> DataFrame:
     return plans.ingest_weather(adapters.measure_series(spark, sf))
 
 
+def _stored_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """The weather table as the ingest job leaves it: stored, so joins know its size."""
+    return stage(_weather(spark, sf), "weather")
+
+
 def _detail(spark: SparkSession, sf: str) -> DataFrame:
     """Trips with readings and calendar features, row by row."""
     trips = sources.trip_columns(_ingested(spark, sf))
-    joined = ops.join_hourly_weather(trips, stage(_weather(spark, sf), "weather"))
+    joined = ops.join_hourly_weather(trips, _stored_weather(spark, sf))
     return ops.calendar_features(joined, adapters.holidays(spark))
 
 
@@ -149,20 +154,20 @@ def weather_duplicate_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 def trips_weather_join(spark: SparkSession, sf: str) -> DataFrame:
     trips = sources.trip_columns(_ingested(spark, sf))
-    joined = ops.join_hourly_weather(trips, stage(_weather(spark, sf), "weather"))
+    joined = ops.join_hourly_weather(trips, _stored_weather(spark, sf))
     return joined.withColumn("starttime", F.col("starttime").cast("string"))
 
 
 def unmatched_trips(spark: SparkSession, sf: str) -> DataFrame:
     trips = sources.trip_columns(_ingested(spark, sf))
-    return ops.unmatched_hours(trips, _weather(spark, sf))
+    return ops.unmatched_hours(trips, _stored_weather(spark, sf))
 
 
 def unmatched_summary(spark: SparkSession, sf: str) -> DataFrame:
     trips = adapters.raw_trips(spark, sf).select(
         "from_station_id", hour_bucket("starttime").alias("starttime_join")
     )
-    return ops.unmatched_summary(trips, _weather(spark, sf))
+    return ops.unmatched_summary(trips, _stored_weather(spark, sf))
 
 
 def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,7 +199,7 @@ def target_frame(spark: SparkSession, sf: str) -> DataFrame:
 def target_frame_single_pass(spark: SparkSession, sf: str) -> DataFrame:
     """The same frame from the ingested trips, counted by hour before the join."""
     return plans.training_frame(
-        _ingested(spark, sf), _weather(spark, sf), adapters.holidays(spark)
+        _ingested(spark, sf), _stored_weather(spark, sf), adapters.holidays(spark)
     )
 
 
@@ -203,7 +208,7 @@ def training_frame(spark: SparkSession, sf: str) -> DataFrame:
     flagged = _flagged(spark, sf)
     return plans.training_frame(
         flagged,
-        _weather(spark, sf),
+        _stored_weather(spark, sf),
         adapters.holidays(spark),
         profile=ops.station_profile(flagged),
     )

@@ -5,6 +5,7 @@ from stationcast.functions.columns import (
     normalize_value,
     number,
     part_of_day,
+    part_of_hour,
     stable_round,
     wall_clock,
     weekday_name,
@@ -17,6 +18,7 @@ __all__ = [
     "normalize_value",
     "number",
     "part_of_day",
+    "part_of_hour",
     "stable_round",
     "wall_clock",
     "weekday_name",

@@ -48,9 +48,11 @@ def hour_bucket(column: str | Column) -> Column:
     return F.concat(_col(column).cast("string").substr(1, 13), F.lit(":00:00"))
 
 
-def part_of_day(column: str | Column, parts: Sequence[tuple[int, str]] = PARTS_OF_DAY) -> Column:
-    """Label of the first part whose last hour is not before the hour of the timestamp."""
-    hour = F.hour(_col(column))
+def part_of_hour(
+    hour: str | Column, parts: Sequence[tuple[int, str]] = PARTS_OF_DAY
+) -> Column:
+    """Label of the first part whose last hour is not before the given hour."""
+    hour = _col(hour)
     ordered = sorted(parts)
     label = F.when(hour <= ordered[0][0], ordered[0][1])
     for last_hour, name in ordered[1:]:
@@ -58,20 +60,29 @@ def part_of_day(column: str | Column, parts: Sequence[tuple[int, str]] = PARTS_O
     return label
 
 
+def part_of_day(column: str | Column, parts: Sequence[tuple[int, str]] = PARTS_OF_DAY) -> Column:
+    """Part of the day of a timestamp."""
+    return part_of_hour(F.hour(_col(column)), parts)
+
+
 def weekday_name(column: str | Column) -> Column:
     """English name of the weekday."""
     return F.date_format(_col(column), "EEEE")
 
 
 def stable_round(value: Column, digits: int) -> Column:
-    """Round half up, independent of the order in which a floating sum was added.
+    """Round half away from zero, independent of the order a floating sum was added in.
 
-    Summation order moves the last bits of a mean; at an exact half that would flip
-    the rounded digit from run to run. Six decimals absorb it. Values a decimal cannot
-    hold (NaN, infinities, huge numbers) are rounded as doubles.
+    Summation order moves the last bits of a mean; at an exact half that would flip the
+    rounded digit from run to run. So the value is rounded to millionths first, and those
+    to ``digits``. Whole-number steps on doubles are exact below a thousand million and
+    much cheaper than decimals; beyond it, and for NaN, the plain rounding applies.
     """
-    exact = F.round(value.try_cast("decimal(38,6)"), digits).cast("double")
-    return F.coalesce(exact, F.round(value, digits))
+    step = 10.0 ** (6 - digits)
+    millionths = F.floor(F.abs(value) * 1e6 + 0.5)
+    steps = F.floor((millionths + step / 2) / step)
+    exact = F.signum(value) * steps / 10.0**digits
+    return F.when(F.abs(value) < 1e9, exact).otherwise(F.round(value, digits))
 
 
 def keyed_share(columns: Sequence[str], seed: int = 0) -> Column:

@@ -1,4 +1,9 @@
-from stationcast.operators.calendar import calendar_features, flag_holidays, holiday_calendar
+from stationcast.operators.calendar import (
+    calendar_features,
+    day_features,
+    flag_holidays,
+    holiday_calendar,
+)
 from stationcast.operators.documents import (
     document_messages,
     lookup_predictions,
@@ -17,6 +22,7 @@ __all__ = [
     "attach_profile",
     "calendar_features",
     "classify_weather",
+    "day_features",
     "document_messages",
     "flag_holidays",
     "holiday_calendar",

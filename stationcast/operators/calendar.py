@@ -91,7 +91,11 @@ def holiday_calendar(spark: SparkSession, years: Iterable[int]) -> DataFrame:
 def flag_holidays(
     df: DataFrame, holidays: DataFrame, date: str = "date", out: str = "holiday"
 ) -> DataFrame:
-    """Add ``yes`` where the date is in the calendar, else ``no`` (also for NULL)."""
+    """Add ``yes`` where the date is in the calendar, else ``no`` (also for NULL).
+
+    The default calendar is generated from some rows per year and known to be small, so
+    the planner broadcasts it.
+    """
     days = holidays.select(F.col("date").cast("date").alias("_day")).distinct()
     return (
         df.join(days, F.col(date).try_cast("date") == F.col("_day"), "left")
@@ -100,18 +104,17 @@ def flag_holidays(
     )
 
 
+def day_features(df: DataFrame, holidays: DataFrame, date: str = "date") -> DataFrame:
+    """Add ``holiday``, ``week_days`` and ``month``, which the date alone decides."""
+    named = df.withColumns({"week_days": weekday_name(date), "month": F.month(date)})
+    return flag_holidays(named, holidays, date)
+
+
 def calendar_features(df: DataFrame, holidays: DataFrame, ts: str = "starttime") -> DataFrame:
     """Add ``date`` (text), ``holiday``, ``week_days``, ``part_time`` and ``month``.
 
     All features use the clock time as written, so the session zone has no influence.
     """
     clock = wall_clock(ts)
-    dated = df.withColumns(
-        {
-            "date": clock.cast("date").cast("string"),
-            "week_days": weekday_name(clock),
-            "part_time": part_of_day(clock),
-            "month": F.month(clock),
-        }
-    )
-    return flag_holidays(dated, holidays)
+    dated = df.withColumns({"date": clock.cast("date"), "part_time": part_of_day(clock)})
+    return day_features(dated, holidays).withColumn("date", F.col("date").cast("string"))

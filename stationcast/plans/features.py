@@ -7,6 +7,7 @@ data in motion:
   aggregation, so neither a busy station nor a busy hour piles up in one task;
 * readings are summed per hour and category before the join, so repeated hours do not
   multiply rows;
+* weekday, month and holiday are added to the finished groups, not to their rows;
 * the forecast is reduced to parts of days before the stations come in, because modal
   weather and mean readings are the same for every station.
 """
@@ -18,12 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationcast.functions import hour_bucket, number, stable_round, wall_clock
-from stationcast.operators.calendar import calendar_features
+from stationcast.functions import hour_bucket, number, part_of_hour, stable_round, wall_clock
+from stationcast.operators.calendar import day_features
 from stationcast.operators.joins import replicate_join
 from stationcast.operators.weather import classify_weather
 from stationcast.schemas import (
-    CALENDAR_COLUMNS,
     MEASURES,
     STATION_ATTRIBUTES,
     STATION_COLUMNS,
@@ -42,23 +42,22 @@ def hourly_demand(trips: DataFrame, profile: DataFrame | None = None) -> DataFra
     timed = trips.where(F.col("from_station_id").isNotNull()).select(
         "from_station_id",
         *attributes,
-        hour_bucket("starttime").alias("starttime_join"),
+        F.coalesce(hour_bucket("starttime"), F.lit("")).alias("starttime_join"),
         wall_clock("starttime").alias("starttime"),
     )
     # The day and hour by the clock are keys too, should the text key not decide them.
-    # Unreadable times count 0: a filter on them would be pushed below the aggregation
-    # and parse every time once more.
+    # Missing and unreadable times count 0 and leave afterwards: a filter on the keys
+    # would be pushed below the aggregation and work on the text of every trip once more.
     hours = (
         timed.groupBy(
             "from_station_id",
             *attributes,
             "starttime_join",
-            F.col("starttime").cast("date").alias("day"),
+            F.col("starttime").cast("date").alias("date"),
             F.hour("starttime").alias("hour"),
         )
-        .agg(F.count("starttime").alias("trips"), F.min("starttime").alias("starttime"))
+        .agg(F.count("starttime").alias("trips"))
         .where(F.col("trips") > 0)
-        .drop("day", "hour")
     )
     if profile is not None:
         stations = profile.select("station", *STATION_ATTRIBUTES)
@@ -77,39 +76,36 @@ def weather_tally(weather: DataFrame, time: str = "datetime") -> DataFrame:
 
 
 def demand_frame(
-    tally: DataFrame, station_columns: Sequence[str] = STATION_COLUMNS
+    tally: DataFrame, holidays: DataFrame, station_columns: Sequence[str] = STATION_COLUMNS
 ) -> DataFrame:
     """Group weighted readings to date, station and part of the day.
 
-    ``tally`` has the calendar features and the totals of :func:`weather_tally`, and no
-    NULL station or time. All steps share one shuffle on date, station and part. The most
-    frequent weather is decided over all rows of such a slot, ties by name, NULL first.
+    ``tally`` has ``date``, ``hour``, the station columns and the totals of
+    :func:`weather_tally`, with no NULL station or date. All steps share one shuffle on
+    date, station and part, and one sort. The most frequent weather is decided over all
+    rows of such a slot, ties by name, NULL first. What the date alone decides is added
+    to the finished groups.
     """
-    station = [name for name in station_columns if name == "from_station_id"]
-    slot = ["date", *station, "part_time"]
-    totals = ["readings", *[f"{m}_{kind}" for m in MEASURES for kind in ("sum", "count")]]
-
-    dealt = tally.repartition(*slot)
-    by_weather = dealt.groupBy(
-        *station_columns, "date", "part_time", *CALENDAR_COLUMNS, "weather_description"
-    ).agg(*[F.sum(name).alias(name) for name in totals])
+    slot = ["date", *[name for name in station_columns if name == "from_station_id"], "part_time"]
+    parts = tally.withColumn("part_time", part_of_hour("hour"))
 
     votes = F.sum("readings").over(Window.partitionBy(*slot, "weather_description"))
-    favourite = Window.partitionBy(*slot).orderBy(F.desc("_votes"), F.asc("weather_description"))
-    judged = by_weather.withColumn("_votes", votes).withColumn(
-        "weather_description_mf", F.first("weather_description").over(favourite)
+    first = F.min(F.struct(-F.col("votes"), "weather_description")).over(Window.partitionBy(*slot))
+    judged = (
+        parts.repartition(*slot)
+        .withColumn("votes", votes)
+        .withColumn("weather_description_mf", first["weather_description"])
     )
-    return judged.groupBy(
-        *station_columns, "date", "part_time", *CALENDAR_COLUMNS, "weather_description_mf"
+    groups = judged.groupBy(
+        *station_columns, "date", "part_time", "weather_description_mf"
     ).agg(
         *[
-            stable_round(
-                F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count")), 1
-            ).alias(name)
+            stable_round(F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count")), 1).alias(name)
             for name in MEASURES
         ],
         F.sum("readings").alias("bicycle_rentals"),
     )
+    return day_features(groups, holidays).withColumn("date", F.col("date").cast("string"))
 
 
 def training_frame(
@@ -129,7 +125,7 @@ def training_frame(
             if name not in ("datetime", "weather_description")
         }
     )
-    return demand_frame(calendar_features(weighted, holidays)).select(*TRAINING_COLUMNS)
+    return demand_frame(weighted, holidays).select(*TRAINING_COLUMNS)
 
 
 def scoring_frame(
@@ -164,7 +160,10 @@ def scoring_frame(
             if name not in ("starttime", "weather_description", "spellings")
         }
     )
-    parts = demand_frame(calendar_features(weighted, holidays), station_columns=())
+    timed = weighted.withColumns(
+        {"date": F.col("starttime").cast("date"), "hour": F.hour("starttime")}
+    )
+    parts = demand_frame(timed, holidays, station_columns=())
     known = (
         stations.select(
             number("from_station_id", "int").alias("from_station_id"), *STATION_ATTRIBUTES
