@@ -15,6 +15,9 @@ PARTS_OF_DAY = (
     (23, "Night"),
 )
 
+# Weekday names, from the first day of the week on.
+WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+
 
 def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -66,8 +69,8 @@ def part_of_day(column: str | Column, parts: Sequence[tuple[int, str]] = PARTS_O
 
 
 def weekday_name(column: str | Column) -> Column:
-    """English name of the weekday."""
-    return F.date_format(_col(column), "EEEE")
+    """English name of the weekday, without a formatter run per row."""
+    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAYS]), F.dayofweek(_col(column)))
 
 
 def stable_round(value: Column, digits: int) -> Column:

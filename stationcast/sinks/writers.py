@@ -17,9 +17,16 @@ def write_table(
 
     Without ``files`` every task writes its own part and nothing is shuffled. With it
     the rows are redistributed evenly into that many files; the stage before keeps its
-    full parallelism, which merging partitions in place would not.
+    full parallelism, which merging partitions in place would not. Partition columns
+    bring the rows of a value together first, and adaptive execution splits a value that
+    is too large for one task into several files.
     """
-    out = df.repartition(files) if files else df
+    if files:
+        out = df.repartition(files)
+    elif partition_by:
+        out = df.hint("rebalance", *partition_by)
+    else:
+        out = df
     out.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(
         path
     )
