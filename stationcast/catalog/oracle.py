@@ -405,6 +405,7 @@ ORACLES: dict[str, str] = {
     "prediction_stream": _query(ENTRIES, "SELECT * FROM entries"),
     "json_roundtrip": _query(ENTRIES, "SELECT * FROM entries"),
     "parquet_roundtrip": _query(PROFILE, "SELECT * FROM trip_columns"),
+    "weather_roundtrip": _query(WEATHER, "SELECT * FROM weather"),
     "csv_roundtrip": _query(TRIPS, "SELECT * FROM trips"),
     "hash_split": _query(TARGET, _SPLIT),
     "imputed_features": _query(

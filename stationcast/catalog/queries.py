@@ -269,6 +269,12 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_trips(spark, folder)
 
 
+def weather_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "weather-table")
+    sinks.write_table(_weather(spark, sf), folder, files=2)
+    return sources.read_weather(spark, folder)
+
+
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "trips-csv")
     sinks.write_csv(adapters.raw_trips(spark, sf), folder)
@@ -364,6 +370,7 @@ REGISTERED: dict[str, Query] = {
     "prediction_stream": prediction_stream,
     "json_roundtrip": json_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
+    "weather_roundtrip": weather_roundtrip,
     "csv_roundtrip": csv_roundtrip,
     "hash_split": hash_split,
     "imputed_features": imputed_features,

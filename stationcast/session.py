@@ -8,23 +8,31 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What the plans rely on; all of it can be overridden by the caller's own session.
+# What the plans rely on, unless the session was started with other values.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
+    """A session for a job; what spark-submit was told takes precedence over the settings.
+
+    A master is given for local runs only, and those open no web page.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    for key, value in extra.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in SETTINGS.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 @functools.cache

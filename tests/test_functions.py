@@ -1,11 +1,13 @@
 """Column expressions."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from stationcast import functions as fn
+from tests.fixtures import half_up
 
 
 def one(spark, expression, **cells):
@@ -105,6 +107,19 @@ def test_stable_round_keeps_nan(spark):
     assert result != result
 
 
+def test_stable_round_equals_decimal_rounding(spark):
+    """Halves, values a hair off them, and random ones, of both signs and several sizes."""
+    rng = random.Random(1)
+    values = [sign * i / 20 for i in range(400) for sign in (1, -1)]
+    values += [v * (1 + nudge) for v in values[:200] for nudge in (1e-16, -1e-16, 1e-12, -1e-12)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(0, 7) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1):
+        got = df.select("v", fn.stable_round(F.col("v"), digits).alias("r")).collect()
+        wrong = [(r["v"], r["r"]) for r in got if r["r"] != half_up(r["v"], digits)]
+        assert wrong == []
+
+
 def test_normalize_value_is_exact(spark):
     rows = spark.createDataFrame([("sky is clear",), ("Sky is clear",), (None,)], "d string")
     got = rows.select(fn.normalize_value("d", {"sky is clear": "clear sky"})).collect()
