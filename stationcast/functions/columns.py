@@ -70,7 +70,7 @@ def part_of_day(column: str | Column, parts: Sequence[tuple[int, str]] = PARTS_O
 
 def weekday_name(column: str | Column) -> Column:
     """English name of the weekday, without a formatter run per row."""
-    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAYS]), F.dayofweek(_col(column)))
+    return F.get(F.array(*[F.lit(name) for name in WEEKDAYS]), F.dayofweek(_col(column)) - 1)
 
 
 def stable_round(value: Column, digits: int) -> Column:
