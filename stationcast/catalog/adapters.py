@@ -116,6 +116,17 @@ def measure_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def repeated_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The series, with humidity and pressure twice for odd hours, the second one higher."""
+    series = measure_series(spark, sf_dir)
+    odd = F.substring("datetime", 12, 2).cast("int") % 2
+    for name in ("humidity", "pressure"):
+        copies = series[name].withColumn("copy", F.explode(F.sequence(F.lit(0), odd)))
+        shifted = (F.col(name).cast("int") + 10 * F.col("copy")).cast("string")
+        series[name] = copies.select("datetime", shifted.alias(name))
+    return series
+
+
 def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON payload per day, its readings three hours apart, a month after the events."""
     number = F.floor(F.col("k") / 3).cast("int") * 3 + FORECAST_SHIFT_HOURS

@@ -94,7 +94,23 @@ weather_description AS (SELECT {_hour_text('k')} AS datetime,
                                {_description('k')} AS weather_description
                         FROM hours)"""
 
-WEATHER = SERIES + f""",
+
+
+def _twice(name: str) -> str:
+    """Odd hours once more, ten higher."""
+    return f"""{name} AS (
+  SELECT datetime, {name} FROM {name}_once
+  UNION ALL
+  SELECT datetime, CAST(CAST({name} AS INTEGER) + 10 AS VARCHAR) FROM {name}_once
+  WHERE CAST(substr(datetime, 12, 2) AS INTEGER) % 2 = 1)"""
+
+
+REPEATED_SERIES = (
+    SERIES.replace("humidity AS (", "humidity_once AS (").replace("pressure AS (", "pressure_once AS (")
+    + f""",\n{_twice('humidity')},\n{_twice('pressure')}"""
+)
+
+_ALIGNED = f""",
 spelled AS (SELECT datetime, CASE WHEN weather_description = 'sky is clear' THEN 'clear sky'
                                   ELSE weather_description END AS d
             FROM weather_description),
@@ -107,6 +123,9 @@ weather AS (
   JOIN spelled s ON h.datetime = s.datetime
   JOIN wind_speed w ON h.datetime = w.datetime)"""
 
+WEATHER = SERIES + _ALIGNED
+REPEATED_WEATHER = REPEATED_SERIES + _ALIGNED
+
 # Rules by day of the month and weekday (1 = Monday) over every day of the years.
 HOLIDAYS = """
 days AS (
@@ -178,7 +197,7 @@ def _grouped(source: str, prefix: str) -> str:
   GROUP BY d.date, {_KEYS}, d.part_time, d.holiday, d.week_days, m.weather_description_mf, d.month)"""
 
 
-JOINED = PROFILE + "," + WEATHER + """,
+_JOINED = """,
 joined AS (
   SELECT TRY_CAST(t.starttime AS TIMESTAMP) AS starttime,
          TRY_CAST(t.from_station_id AS INTEGER) AS from_station_id,
@@ -187,10 +206,12 @@ joined AS (
          w.weather_description, w.wind_speed
   FROM trip_columns t JOIN weather w ON t.starttime_join = w.datetime)"""
 
-DETAIL = JOINED + "," + HOLIDAYS + f""",
-detail AS (SELECT *, {_calendar('starttime')} FROM joined)"""
+_TARGET = "," + HOLIDAYS + f""",
+detail AS (SELECT *, {_calendar('starttime')} FROM joined),""" + _grouped("detail", "")
 
-TARGET = DETAIL + "," + _grouped("detail", "")
+JOINED = PROFILE + "," + WEATHER + _JOINED
+TARGET = JOINED + _TARGET
+REPEATED_TARGET = PROFILE + "," + REPEATED_WEATHER + _JOINED + _TARGET
 
 FORECAST = f"""
 forecast_hours AS (
@@ -332,13 +353,6 @@ def _query(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
 
-_DUPLICATES = """
-SELECT datetime, count(*) AS rows FROM (
-  SELECT w.datetime FROM weather w
-  JOIN (SELECT unnest([1, 2]) AS a) x ON a = 1 OR CAST(substr(datetime, 12, 2) AS INTEGER) % 2 = 1
-  JOIN (SELECT unnest([1, 2]) AS b) y ON b = 1 OR CAST(substr(datetime, 12, 2) AS INTEGER) % 2 = 1)
-GROUP BY datetime"""
-
 _SPLIT = """
 SELECT date, from_station_id, part_time,
        CAST('0x' || substr(md5('1|' || date || '|' || from_station_id || '|' || part_time), 1, 8)
@@ -363,7 +377,7 @@ ORACLES: dict[str, str] = {
         " FROM weather_description",
     ),
     "weather_aligned": _query(WEATHER, "SELECT * FROM weather"),
-    "weather_duplicate_hours": _query(WEATHER, _DUPLICATES),
+    "weather_duplicate_hours": _query(REPEATED_WEATHER, "SELECT * FROM weather"),
     "trips_weather_join": _query(
         JOINED,
         "SELECT * REPLACE (strftime(starttime, '%Y-%m-%d %H:%M:%S') AS starttime) FROM joined",
@@ -392,6 +406,7 @@ ORACLES: dict[str, str] = {
     "target_frame": _query(TARGET, "SELECT * FROM target"),
     "target_frame_single_pass": _query(TARGET, "SELECT * FROM target"),
     "training_frame": _query(TARGET, "SELECT * FROM target"),
+    "training_frame_repeated_hours": _query(REPEATED_TARGET, "SELECT * FROM target"),
     "forecast_flatten": _query(FORECAST, "SELECT * FROM forecast"),
     "scoring_grid": _query(
         GRID, "SELECT * REPLACE (strftime(starttime, '%Y-%m-%d %H:%M:%S') AS starttime) FROM grid"

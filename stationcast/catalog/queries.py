@@ -140,13 +140,7 @@ def weather_aligned(spark: SparkSession, sf: str) -> DataFrame:
 
 def weather_duplicate_hours(spark: SparkSession, sf: str) -> DataFrame:
     """Humidity and pressure come twice for odd hours; each pair of rows counts."""
-    series = adapters.measure_series(spark, sf)
-    for name in ("humidity", "pressure"):
-        copies = F.when(F.substring("datetime", 12, 2).cast("int") % 2 == 1, 2).otherwise(1)
-        series[name] = series[name].withColumn("copies", F.explode(F.sequence(F.lit(1), copies)))
-        series[name] = series[name].drop("copies")
-    aligned = plans.ingest_weather(series)
-    return aligned.groupBy("datetime").agg(F.count(F.lit(1)).alias("rows"))
+    return plans.ingest_weather(adapters.repeated_series(spark, sf))
 
 
 # Features --------------------------------------------------------------------------
@@ -214,6 +208,17 @@ def training_frame(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def training_frame_repeated_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """The training frame from series with repeated hours, without aligning their rows."""
+    flagged = _flagged(spark, sf)
+    return plans.training_frame(
+        flagged,
+        adapters.repeated_series(spark, sf),
+        adapters.holidays(spark),
+        profile=ops.station_profile(flagged),
+    )
+
+
 # Forecast --------------------------------------------------------------------------
 
 
@@ -361,6 +366,7 @@ REGISTERED: dict[str, Query] = {
     "target_frame": target_frame,
     "target_frame_single_pass": target_frame_single_pass,
     "training_frame": training_frame,
+    "training_frame_repeated_hours": training_frame_repeated_hours,
     "forecast_flatten": forecast_flatten,
     "scoring_grid": scoring_grid,
     "scoring_frame": scoring_frame,

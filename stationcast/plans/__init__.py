@@ -2,6 +2,7 @@ from stationcast.plans.features import (
     demand_frame,
     hourly_demand,
     scoring_frame,
+    series_tally,
     training_frame,
     weather_tally,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "rmse",
     "score",
     "scoring_frame",
+    "series_tally",
     "split_frame",
     "training_frame",
     "weather_tally",

@@ -6,7 +6,7 @@ data in motion:
 * trips are counted per station and hour before any join, in one pass with partial
   aggregation, so neither a busy station nor a busy hour piles up in one task;
 * readings are summed per hour and category before the join, so repeated hours do not
-  multiply rows;
+  multiply rows; from the five series, even before those are aligned;
 * weekday, month and holiday are added to the finished groups, not to their rows;
 * the forecast is reduced to parts of days before the stations come in, because modal
   weather and mean readings are the same for every station.
@@ -15,6 +15,8 @@ data in motion:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 from stationcast.functions import hour_bucket, number, part_of_hour, stable_round, wall_clock
 from stationcast.operators.calendar import day_features
 from stationcast.operators.joins import replicate_join
-from stationcast.operators.weather import classify_weather
+from stationcast.operators.weather import align_series, classify_weather
+from stationcast.plans.ingest import weather_categories
 from stationcast.schemas import (
     MEASURES,
     STATION_ATTRIBUTES,
@@ -30,6 +33,9 @@ from stationcast.schemas import (
     TRAINING_COLUMNS,
 )
 
+# Totals of a tally of readings.
+TOTALS = ("readings", *[f"{name}_{kind}" for name in MEASURES for kind in ("sum", "count")])
+
 
 def hourly_demand(trips: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """Number of trips per station and hour, with the station's attributes.
@@ -75,6 +81,47 @@ def weather_tally(weather: DataFrame, time: str = "datetime") -> DataFrame:
     return weather.groupBy(time, "weather_description").agg(*totals)
 
 
+def series_tally(series: dict[str, DataFrame], vocabulary: DataFrame | None = None) -> DataFrame:
+    """The tally of the aligned series, without building their rows.
+
+    A repeated hour multiplies over the series. Here every series is reduced to its hours
+    first; a total of one series then counts once for each combination of rows of the
+    others. However often an hour is repeated, the joins see it once per category.
+    """
+    reduced = [
+        series[name]
+        .groupBy("datetime")
+        .agg(
+            F.count(F.lit(1)).alias(f"{name}_rows"),
+            F.sum(number(name)).alias(f"{name}_sum"),
+            F.count(number(name)).alias(f"{name}_count"),
+        )
+        for name in MEASURES
+    ]
+    categories = (
+        weather_categories(series["weather_description"], vocabulary)
+        .groupBy("datetime", "weather_description")
+        .agg(F.count(F.lit(1)).alias("category_rows"))
+    )
+    aligned = align_series([*reduced, categories])
+
+    def combinations(left_out: str | None = None):
+        return reduce(mul, [F.col(f"{m}_rows") for m in MEASURES if m != left_out]) * F.col(
+            "category_rows"
+        )
+
+    return aligned.select(
+        "datetime",
+        "weather_description",
+        combinations().alias("readings"),
+        *[
+            (F.col(f"{name}_{kind}") * combinations(name)).alias(f"{name}_{kind}")
+            for name in MEASURES
+            for kind in ("sum", "count")
+        ],
+    )
+
+
 def demand_frame(
     tally: DataFrame, holidays: DataFrame, station_columns: Sequence[str] = STATION_COLUMNS
 ) -> DataFrame:
@@ -108,24 +155,26 @@ def demand_frame(
     return day_features(groups, holidays).withColumn("date", F.col("date").cast("string"))
 
 
+def _weighted(tally: DataFrame, weight: str) -> DataFrame:
+    """Multiply all totals by a column of the same row."""
+    return tally.withColumns({name: F.col(name) * F.col(weight) for name in TOTALS})
+
+
 def training_frame(
     trips: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | dict[str, DataFrame],
     holidays: DataFrame,
     profile: DataFrame | None = None,
 ) -> DataFrame:
-    """The frame to train on, one row per date, station and part of the day."""
+    """The frame to train on, one row per date, station and part of the day.
+
+    ``trips`` and ``profile`` are as in :func:`hourly_demand`; ``weather`` is the weather
+    table or the five series it is made of.
+    """
     hours = hourly_demand(trips, profile)
-    readings = weather_tally(weather)
+    readings = series_tally(weather) if isinstance(weather, dict) else weather_tally(weather)
     joined = hours.join(readings, F.col("starttime_join") == F.col("datetime"))
-    weighted = joined.withColumns(
-        {
-            name: F.col(name) * F.col("trips")
-            for name in readings.columns
-            if name not in ("datetime", "weather_description")
-        }
-    )
-    return demand_frame(weighted, holidays).select(*TRAINING_COLUMNS)
+    return demand_frame(_weighted(joined, "trips"), holidays).select(*TRAINING_COLUMNS)
 
 
 def scoring_frame(
@@ -153,14 +202,7 @@ def scoring_frame(
         .agg(F.count(F.lit(1)).alias("spellings"))
     )
     tally = weather_tally(moments, "starttime").join(spellings, "starttime")
-    weighted = tally.withColumns(
-        {
-            name: F.col(name) * F.col("spellings")
-            for name in tally.columns
-            if name not in ("starttime", "weather_description", "spellings")
-        }
-    )
-    timed = weighted.withColumns(
+    timed = _weighted(tally, "spellings").withColumns(
         {"date": F.col("starttime").cast("date"), "hour": F.hour("starttime")}
     )
     parts = demand_frame(timed, holidays, station_columns=())

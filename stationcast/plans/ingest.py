@@ -25,6 +25,16 @@ def ingest_trips(trips: DataFrame, profile: DataFrame | None = None) -> DataFram
     return attach_profile(flagged, profile)
 
 
+def weather_categories(descriptions: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+    """The description series in its historic spelling as a series of categories."""
+    spelled = descriptions.withColumn(
+        "weather_description", normalize_value("weather_description", HISTORIC_SPELLING)
+    )
+    return classify_weather(spelled, vocabulary).select(
+        "datetime", F.col("weather_condition").alias("weather_description")
+    )
+
+
 def ingest_weather(
     series: dict[str, DataFrame], vocabulary: DataFrame | None = None
 ) -> DataFrame:
@@ -32,18 +42,12 @@ def ingest_weather(
 
     ``weather_description`` holds the category in the result.
     """
-    spelled = series["weather_description"].withColumn(
-        "weather_description", normalize_value("weather_description", HISTORIC_SPELLING)
-    )
-    categories = classify_weather(spelled, vocabulary).select(
-        "datetime", F.col("weather_condition").alias("weather_description")
-    )
     return align_series(
         [
             series["humidity"],
             series["pressure"],
             series["temperature"],
-            categories,
+            weather_categories(series["weather_description"], vocabulary),
             series["wind_speed"],
         ]
     )

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,30 @@ def test_row_level_operators_give_the_same_frame(spark, holidays, repeat):
     assert as_text(by_rows) == as_text(by_plan)
 
 
+def test_series_tally_equals_the_tally_of_the_aligned_rows(spark):
+    """Hours repeated in several series, missing from one, with NULL and no time."""
+    rng = random.Random(3)
+
+    def rows(values, missing):
+        return [
+            (f"2016-07-01 {h:02d}:00:00" if h < 23 else None, rng.choice(values))
+            for h in range(24)
+            if h != missing
+            for _ in range(rng.randint(1, 3) if h != 5 else 9)
+        ]
+
+    kinds = ["sky is clear", "mist", "LIGHT RAIN", None]
+    series = {
+        name: spark.createDataFrame(rows(values, i), f"datetime string, {name} string")
+        for i, (name, values) in enumerate(
+            {**{m: ["1", "4", "n/a", None] for m in MEASURES}, "weather_description": kinds}.items()
+        )
+    }
+    by_rows = plans.weather_tally(plans.ingest_weather(series))
+    assert by_rows.agg(F.max("readings")).first()[0] > 1000
+    assert as_text(plans.series_tally(series)) == as_text(by_rows)
+
+
 def test_rentals_add_up_to_the_joined_trips(spark, holidays):
     ingested = plans.ingest_trips(spark.createDataFrame(skewed_trips(), TRIP_SCHEMA))
     weather = weather_frame(spark, hourly_weather())
