@@ -93,12 +93,12 @@ def test_topic_is_read_from_its_start():
     """Options only: the connector is not part of a plain Spark distribution."""
     fake = mock.Mock(read=Recorder(), readStream=Recorder())
     with mock.patch("stationcast.sources.predictions.F"):
-        sources.read_topic(fake, "host:9092", "bikes")
-        sources.read_topic(fake, "host:9092", "bikes", streaming=True, max_records=5000)
+        sources.read_topic(fake, "host:9092", "rentals")
+        sources.read_topic(fake, "host:9092", "rentals", streaming=True, max_records=5000)
     assert fake.read.calls == {
         "format": "kafka",
         "kafka.bootstrap.servers": "host:9092",
-        "subscribe": "bikes",
+        "subscribe": "rentals",
         "startingOffsets": "earliest",
     }
     assert fake.readStream.calls["maxOffsetsPerTrigger"] == 5000
@@ -108,8 +108,8 @@ def test_topic_gets_one_value_per_document():
     writer = Recorder()
     with mock.patch("stationcast.sinks.writers.document_messages") as messages:
         messages.return_value = mock.Mock(write=writer)
-        sinks.write_topic(mock.sentinel.documents, "host:9092", "bikes")
+        sinks.write_topic(mock.sentinel.documents, "host:9092", "rentals")
     messages.assert_called_once_with(mock.sentinel.documents, True)
     assert writer.calls == {
-        "format": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "bikes", "saved": True,
+        "format": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "rentals", "saved": True,
     }

@@ -259,7 +259,8 @@ def test_calendar_features(spark):
         [(dt.date(2016, 7, 4), "a"), (dt.date(2016, 7, 4), "b")], "date date, name string"
     )
     rows = ops.calendar_features(df, holidays).collect()
-    got = {r["starttime"]: (r["date"], r["holiday"], r["week_days"], r["part_time"], r["month"]) for r in rows}
+    names = ("date", "holiday", "week_days", "part_time", "month")
+    got = {r["starttime"]: tuple(r[name] for name in names) for r in rows}
     assert len(rows) == 4
     assert got["2016-07-04 17:10:00"] == ("2016-07-04", "yes", "Monday", "Afternoon", 7)
     assert got["2016-07-05 00:00:00"] == ("2016-07-05", "no", "Tuesday", "Early Morning", 7)
