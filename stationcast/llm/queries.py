@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from stationcast.llm.bpe import op5_bpe_roundtrip
 from stationcast.llm.line_dedup import OP3_SQL, op3_line_dedup
+from stationcast.llm.simple8b import op1_simple8b_tokens
 
 REGISTERED = {
+    "op1_simple8b_tokens": op1_simple8b_tokens,
     "op3_line_dedup": op3_line_dedup,
+    "op5_bpe_roundtrip": op5_bpe_roundtrip,
 }
 
 ORACLES = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +14,19 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 4 << 20
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package from it.
+
+    On a cluster whose machines do not, ship the package with ``--py-files`` as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
