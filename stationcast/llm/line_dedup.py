@@ -4,8 +4,8 @@ Lines are compared by 128 bits of hash of their key. The occurrences are dealt b
 sorted by document, the largest first; only those in the first few documents of a hash are
 streamed on (``WindowGroupLimit``), once in every map task before the shuffle and once after
 it. So a line that a third of all documents hold sends a few rows per task, and no task ever
-holds its whole group. The repeated hashes then meet the occurrences in a join whose hot keys
-adaptive execution splits, and what is left out comes back as a run-length compressed keep
+holds its whole group. The repeated hashes are written to the shared folder; then they meet
+the occurrences in a join whose hot keys adaptive execution splits, and what is left out comes back as a run-length compressed keep
 bitmap per document, not as text.
 
 Spark deals the occurrences by a hash of the line hash instead of by ranges of it: either way a
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.tables import documents
+from stationcast.session import stage
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -90,7 +91,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     ``docs`` are neither read nor returned.
     """
     found = _occurrences(docs, min_chars)
-    repeated = repeated_lines(found, min_docs)
+    repeated = stage(repeated_lines(found, min_docs), "repeated-lines")
     dropped = found.join(repeated, ["h1", "h2"]).where(
         F.coalesce(F.col("doc_id") < F.col("last_doc"), F.col("last_doc").isNotNull())
     )
