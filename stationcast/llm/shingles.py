@@ -71,7 +71,7 @@ class Words:
         short = (counts > 0) & (full == 0)
         out = np.concatenate([[0], np.cumsum(full + short)])
         result = np.zeros(out[-1], dtype=np.uint64)
-        if total >= size:
+        if full.any():
             joined = np.zeros(total - size + 1, dtype=np.uint64)
             for k in range(size):
                 joined += self.hashes[k : total - size + 1 + k] * np.uint64(
@@ -88,9 +88,10 @@ class Words:
             place[out[:-1][short]] = False
             result[place] = joined[keep]
         for i in np.flatnonzero(short):
-            value = np.uint64(counts[i])
-            for h in self.hashes[self.bounds[i] : self.bounds[i + 1]]:
-                value = mix((value * np.uint64(_BASE) + h)[None])[0]
+            value = int(counts[i])
+            for h in self.hashes[self.bounds[i] : self.bounds[i + 1]].tolist():
+                value = (value * _BASE + h) % (1 << 64)
+                value ^= value >> 29
             result[out[i]] = value
         return result, out
 
