@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import functools
 import json
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationcast.llm.chunks import ChunkCoder
 from stationcast.llm.tables import documents, id_text, slices
@@ -118,8 +121,8 @@ class ByteBpe:
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.order[at], NO_MERGE)
 
-    def _merge_table(self, words: list[bytes], width: int) -> list[np.ndarray]:
-        """Merge words of at most ``width`` bytes together; ``width`` is a power of two."""
+    def _merge_table(self, words: list[bytes], width: int) -> list[bytes]:
+        """Ids of words of at most ``width`` bytes, a power of two, merged together."""
         count, side = len(words), width + 1
         sizes = np.fromiter(map(len, words), np.int64, count)
         filled = np.arange(side)[None, :] < sizes[:, None]
@@ -184,12 +187,13 @@ class ByteBpe:
             if has.any():
                 put(rows[has], prior[has], place[has])
         kept = alive.reshape(count, side)
-        ids = tokens.reshape(count, side)[kept].astype(np.uint32)
-        return np.split(ids, np.cumsum(kept.sum(axis=1))[:-1])
+        ids = tokens.reshape(count, side)[kept].astype(np.uint32).tobytes()
+        ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each word, none of which is empty."""
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words)
+    def merge_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, none of which is empty, as unsigned 32-bit integers."""
+        out = [b""] * len(words)
         widths: dict[int, list[int]] = {}
         for i, word in enumerate(words):
             widths.setdefault(max(2, 1 << (len(word) - 1).bit_length()), []).append(i)
@@ -198,7 +202,7 @@ class ByteBpe:
             if min(step, len(places)) < FEW:
                 for i in places:
                     tokens = [int(self.byte_ids[b]) for b in words[i]]
-                    out[i] = np.array(MergeTree(tokens, self.merges).run(), np.uint32)
+                    out[i] = np.array(MergeTree(tokens, self.merges).run(), np.uint32).tobytes()
                 continue
             for k in range(0, len(places), step):
                 some = places[k : k + step]
@@ -209,28 +213,33 @@ class ByteBpe:
     def encode_strings(self, strings: list[str]) -> list[bytes]:
         """Ids of each string as the bytes of unsigned 32-bit integers."""
         number: dict[str, int] = {}
-        plans: list[list[int]] = []
+        plans: list[int | list[int]] = []
+        place = number.setdefault
         for string in strings:
+            # One run of letters behind a blank or at the start is a word as it is.
+            if (string[1:] if string[:1] == " " else string).isalpha():
+                plans.append(place(string, len(number)))
+                continue
             plan: list[int] = []
             parts = self.cut.split(string) if "<" in string and self.special else (string,)
             for part in parts:
                 if part in self.special:
                     plan.append(-1 - self.special[part])
                 else:
-                    plan += [number.setdefault(word, len(number)) for word in self.find(part)]
+                    plan += [place(word, len(number)) for word in self.find(part)]
             plans.append(plan)
-        coded = [ids.tobytes() for ids in self.merge_words([w.encode() for w in number])]
-        special = {-1 - i: np.uint32(i).tobytes() for i in self.special.values()}
+        coded = self.merge_words([w.encode() for w in number])
+        # A special token has a negative number and so counts from the end of this list.
+        table = [*coded, *[b""] * self.size]
+        for i in self.special.values():
+            table[-1 - i] = np.uint32(i).tobytes()
         return [
-            coded[plan[0]]
-            if len(plan) == 1 and plan[0] >= 0
-            else b"".join([coded[p] if p >= 0 else special[p] for p in plan])
+            table[plan] if isinstance(plan, int) else b"".join([table[p] for p in plan])
             for plan in plans
         ]
 
     def decode(self, ids: list[int]) -> str:
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @functools.cache
@@ -239,9 +248,22 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _text_slices(texts: pa.Array):
-    batch = pa.RecordBatch.from_arrays([texts.fill_null("")], names=["text"])
-    return [piece.column(0) for piece in slices(iter([batch]))]
+def _with_column(
+    df: DataFrame, name: str, kind: str, make: Callable[[pa.Array], pa.Array], column: str
+) -> DataFrame:
+    """``df`` with a column made from slices of its rows by their ``column``."""
+    rest = [c for c in df.columns if c not in (name, column)]
+    given = df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{column}`"))
+    passed = given.columns if column != name else rest
+    fields = [given.schema[c] for c in passed]
+    schema = T.StructType([*fields, T.StructField(name, T._parse_datatype_string(kind))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, column):
+            columns = [piece.column(i) for i in range(len(passed))]
+            yield pa.RecordBatch.from_arrays([*columns, make(piece.column(column))], [*passed, name])
+
+    return given.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
@@ -249,37 +271,33 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
 
     A null or empty text has no ids. The string of a special token in a text becomes that
     token, as the tokenizers library does it. Rows, ties and other columns pass through; a
-    column named as ``ids`` is replaced. A very long text is one row of a batch by itself.
+    column named as ``ids`` is replaced. A very long text is a batch by itself.
     """
 
-    @F.arrow_udf("array<int>")
     def token_ids(texts: pa.Array) -> pa.Array:
-        parts = []
-        for piece in _text_slices(texts):
-            flat, bounds = load(path).coder.encode(piece)
-            parts.append(
-                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32)))
-            )
-        empty = pa.array([], pa.list_(pa.int32()))
-        return pa.concat_arrays(parts) if parts else empty
+        flat, bounds = load(path).coder.encode(texts.fill_null(""))
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32)))
 
-    # Not deterministic for the planner, so that it is not evaluated again for every use.
-    once = token_ids.asNondeterministic()
-    return docs.withColumn(ids, once(F.col(text).cast("string")))
+    typed = docs.withColumn(text, F.col(f"`{text}`").cast("string"))
+    return _with_column(typed, ids, "array<int>", token_ids, text)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "token_ids", text: str = "text") -> DataFrame:
     """``tokens`` with a column of the text of each row's ids, special tokens written out.
 
-    No ids, or null, give the empty text; bytes that are no UTF-8 become U+FFFD.
+    No ids, or null, give the empty text; bytes that are no UTF-8 become U+FFFD. A column named
+    as ``text`` is replaced.
     """
 
-    @F.arrow_udf("string")
     def texts(rows: pa.Array) -> pa.Array:
-        bpe = load(path)
-        return pa.array([bpe.decode(row.values.tolist()) if row.is_valid else "" for row in rows], pa.string())
-
-    return tokens.withColumn(text, texts(F.col(ids)))
+        bpe, sizes = load(path), pc.fill_null(pc.list_value_length(rows), 0).to_pylist()
+        flat, at, made = rows.flatten().to_numpy(zero_copy_only=False).tolist(), 0, []
+        for size in sizes:
+            made.append(bpe.decode(flat[at : at + size]))
+            at += size
+        return pa.array(made, pa.string())
+
+    return _with_column(tokens, text, "string", texts, ids)
 
 
 def vocabulary() -> str:

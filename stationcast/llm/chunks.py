@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Chunks a process remembers between batches before it starts again; only speed depends on it.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 class ChunkCoder:

@@ -54,7 +54,10 @@ def partitions(spark: SparkSession) -> int:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``BATCH_BYTES`` of ``column`` or one row."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(False)
+        values = batch.column(column)
+        nested = pa.types.is_list(values.type)
+        sizes = pc.multiply(pc.list_value_length(values), 4) if nested else pc.binary_length(values)
+        sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, size in enumerate(sizes.tolist()):
             if held and held + size > BATCH_BYTES:
