@@ -1,19 +1,22 @@
 """Words and word windows of many texts at once, as 64-bit hashes in numpy arrays.
 
 A word is a run of bytes outside ``[\\x20\\x09-\\x0D]``. All of them are hashed together: the
-bytes are summed with the powers of an odd base modulo 2**64, so the hash of any word is a
-difference of two running sums, and the result is mixed.
+bytes' random values are summed with the powers of an odd base modulo 2**64, so the hash of any
+word is a difference of two running sums, and the result is mixed.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_STEP = 1 << 16
+# Spans are hashed in blocks of so many bytes; a longer span is hashed by itself.
+_BLOCK = 1 << 20
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -21,25 +24,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.full(count, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWERS = {base: _powers(base, _STEP) for base in (_BASE, _INVERSE)}
-
-
-def powers(base: int, count: int) -> np.ndarray:
-    """Powers of ``base`` from 0 on; the table grows with the longest batch of this process."""
-    table = _POWERS[base]
-    while len(table) < count:
-        top = np.uint64(pow(base, len(table), 1 << 64))
-        table = np.concatenate([table, table * top])
-        _POWERS[base] = table
-    return table[:count]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit over the whole word."""
     x = x ^ (x >> np.uint64(30))
@@ -49,6 +33,39 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(base: int) -> np.ndarray:
+    out = np.full(2 * _BLOCK + 1, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Powers of the base and of its inverse, and two random values for each byte."""
+    values = mix(np.arange(1, 513, dtype=np.uint64) * np.uint64(_BASE)).reshape(2, 256)
+    return _powers(_BASE), _powers(_INVERSE), (values[0], values[1])
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; the two kinds are independent. Starts ascend or not."""
+    up, down, values = _tables()
+    out = np.zeros(len(starts), np.uint64)
+    long = ends - starts > _BLOCK
+    blocks = np.where(long, -1, starts // _BLOCK)
+    order = np.argsort(blocks, kind="stable")
+    edges = np.flatnonzero(np.diff(blocks[order], prepend=-1)) if len(order) else []
+    for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
+        own = order[a:b]
+        low, high = int(starts[own].min()), int(ends[own].max())
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(values[kind][data[low:high]] * up[: high - low], out=sums[1:])
+        out[own] = (sums[ends[own] - low] - sums[starts[own] - low]) * down[starts[own] - low]
+    for i in np.flatnonzero(long):
+        raw = data[starts[i] : ends[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(raw, digest_size=8, salt=bytes([kind])).digest())
+    return mix(out ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
+
+
 @dataclass
 class Words:
     """Words of several texts: hash, place in the joined bytes, and first word of each text."""
@@ -98,18 +115,18 @@ class Words:
 
 def words(texts: list[bytes], lower: bool = False) -> Words:
     """Split and hash the words of all ``texts``; ``lower`` lowers A to Z first."""
-    with np.errstate(over="ignore"):
-        sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-        places = np.concatenate([[0], np.cumsum(sizes)])
-        data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
-        if lower:
-            data = LOWER[data]
-        blank = SPACES[data]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
-        starts, ends = edge[0::2], edge[1::2]
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)), out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * powers(_INVERSE, len(data) + 1)[starts]
-        hashes = mix(hashes ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
-        bounds = np.searchsorted(starts, places)
-        return Words(data, hashes, starts, ends, bounds, places)
+    sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+    places = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
+    if lower:
+        data = LOWER[data]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], SPACES[data], [True]]).view(np.int8)))
+    starts, ends = edge[0::2], edge[1::2]
+    return Words(
+        data=data,
+        hashes=span_hashes(data, starts, ends, 0),
+        starts=starts,
+        ends=ends,
+        bounds=np.searchsorted(starts, places),
+        places=places,
+    )
