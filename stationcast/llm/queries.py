@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from stationcast.llm.bpe import op5_bpe_roundtrip
+from stationcast.llm.lang_id import op7_language_id
 from stationcast.llm.line_dedup import OP3_SQL, op3_line_dedup
+from stationcast.llm.mixing import op6_source_mixing
+from stationcast.llm.near_dups import op10_near_duplicates
+from stationcast.llm.quality_gam import op9_quality_gam
+from stationcast.llm.quality_rules import op8_quality_rules
 from stationcast.llm.simple8b import op1_simple8b_tokens
 
 REGISTERED = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
     "op3_line_dedup": op3_line_dedup,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
+    "op6_source_mixing": op6_source_mixing,
+    "op7_language_id": op7_language_id,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_quality_gam": op9_quality_gam,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES = {
