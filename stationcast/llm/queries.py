@@ -9,11 +9,13 @@ from stationcast.llm.mixing import op6_source_mixing
 from stationcast.llm.near_dups import op10_near_duplicates
 from stationcast.llm.quality_gam import op9_quality_gam
 from stationcast.llm.quality_rules import op8_quality_rules
+from stationcast.llm.simhash import op4_simhash
 from stationcast.llm.simple8b import op1_simple8b_tokens
 
 REGISTERED = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
     "op3_line_dedup": op3_line_dedup,
+    "op4_simhash": op4_simhash,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_source_mixing": op6_source_mixing,
     "op7_language_id": op7_language_id,
