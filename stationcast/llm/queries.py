@@ -5,6 +5,7 @@ from __future__ import annotations
 from stationcast.llm.bpe import op5_bpe_roundtrip
 from stationcast.llm.lang_id import op7_language_id
 from stationcast.llm.line_dedup import OP3_SQL, op3_line_dedup
+from stationcast.llm.lm_scoring import OP2_SQL, op2_stupid_backoff
 from stationcast.llm.mixing import op6_source_mixing
 from stationcast.llm.near_dups import op10_near_duplicates
 from stationcast.llm.quality_gam import op9_quality_gam
@@ -14,6 +15,7 @@ from stationcast.llm.simple8b import op1_simple8b_tokens
 
 REGISTERED = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
+    "op2_stupid_backoff": op2_stupid_backoff,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
@@ -25,5 +27,6 @@ REGISTERED = {
 }
 
 ORACLES = {
+    "op2_stupid_backoff": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
 }
