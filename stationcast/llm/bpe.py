@@ -306,14 +306,18 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document the number of ids, and checksums of the ids and of what they decode to."""
+def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """Per document the number of ids, and checksums of the ids and of what they decode to.
+
+    ``keep_ids`` adds the ids themselves as ``token_ids``.
+    """
     coded = encode(id_text(docs), path).select("doc_id", "token_ids")
     return decode(coded, path).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        *(["token_ids"] if keep_ids else []),
     )
 
 
