@@ -167,7 +167,8 @@ def mix(
         facts.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")),
         "margins",
     )
-    targets = {m: flattened(cells, m, powers[m]) for m in MARGINS}
+    filled = cells.where("tokens > 0")
+    targets = {m: flattened(filled, m, powers[m]) for m in MARGINS}
     chances = stage(cell_probabilities(rake(cells, targets, rounds), budget_share), "chances")
     chances = chances.select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("probability").alias("_p"))
     same = functools.reduce(operator.and_, [F.col(m).eqNullSafe(F.col(f"_{m}")) for m in MARGINS])

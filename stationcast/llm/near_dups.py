@@ -3,17 +3,18 @@
 1. Every text becomes its set of word shingles, a digest of the set, and a signature of minwise
    values. Documents with equal sets are one class; classes are compared, not copies.
 2. Independent trees start from one signature place each: classes that share the minwise value
-   there share a node. A node with more classes than a leaf may hold branches again by another
-   place, chosen by its path, so classes that share one frequent passage only soon part.
-3. The classes of a leaf are compared with each other by signature inside the task. Nodes that
-   are still large at the end of the branching hold classes alike almost everywhere; on the way
-   each of their members was paired with its node's first class.
-4. Pairs that can reach the threshold are confirmed on the full sets, first one partner for each
-   class, then all pairs whose classes are not yet connected. In large nodes where components
-   still meet, every class outside the largest component is compared with all others.
-
-No step holds a group of copies in one task, and pairs of classes already connected are never
-confirmed again.
+   there share a node. A node with more classes than a leaf may hold branches again by one or
+   two other places, chosen by its path, so classes that only share a frequent passage soon part.
+3. In a leaf, every class is compared with all others by signature inside the task. What goes on
+   is, per class, the most similar partner that can reach the threshold, and with which other
+   classes of the leaf it can still be linked. Members of large nodes are also compared with
+   their node's first class.
+4. These partners are confirmed on the full sets, which connects most of each group. Then the
+   leaves that still hold classes of several components compare these on their full sets, and
+   return links that connect components, not all pairs. In nodes that stay large to the end, the
+   classes outside the largest component are compared with all others in blocks of a leaf's size.
+
+No step holds a group of copies in one task or lists the pairs of a group.
 """
 
 from __future__ import annotations
@@ -37,18 +38,20 @@ from stationcast.session import stage
 class Join:
     """Parameters. ``percent``: linked if 100 * intersection >= percent * union.
 
-    A pair at the threshold shares a place of the signature with probability percent/100, so a
-    tree without branching finds it with that probability and one of ``depth`` branchings with
-    its power; ``trees`` repeats make up for it. ``slack`` is how many standard deviations fewer
-    equal places than expected still count as a candidate.
+    A pair at the threshold shares a place of the signature with probability percent/100. A node
+    branches by a second place in ``twice`` percent of cases, about as often as a pair is lost by
+    the first, so a tree finds it with similar odds at any depth, and ``trees`` repeats make it
+    all but certain. ``slack`` is how many standard deviations fewer equal places than expected
+    still count as a candidate.
     """
 
     percent: int = 80
     shingle: int = 5
-    places: int = 32
+    places: int = 64
     trees: int = 16
     leaf: int = 64
-    depth: int = 6
+    depth: int = 8
+    twice: int = 25
     slack: float = 5.0
 
     @property
@@ -110,130 +113,166 @@ def _branch(path: Column, place: Column) -> Column:
     return F.xxhash64(path, place, F.get("signature", place))
 
 
-def _leaf_pairs(nodes: DataFrame, join: Join) -> DataFrame:
-    """Candidate pairs within each node, a row of which lists its members' signatures."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            members = batch.column("members")
-            fields = members.flatten()
-            classes = fields.field("class").to_numpy(zero_copy_only=False)
-            sizes = fields.field("n").to_numpy(zero_copy_only=False)
-            signed = fields.field("signature").flatten().to_numpy(zero_copy_only=False)
-            signed = signed.reshape(-1, join.places)
-            bounds = members.offsets.to_numpy(zero_copy_only=False)
-            bounds = (bounds - bounds[0]).tolist() if len(bounds) else []
-            left, right = [], []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                own, n, c = signed[a:b], sizes[a:b], classes[a:b]
-                equal = (own[:, None, :] == own[None, :, :]).sum(axis=2) >= join.least_equal
-                near = 100 * np.minimum(n[:, None], n[None, :]) >= join.percent * np.maximum(
-                    n[:, None], n[None, :]
-                )
-                i, j = np.nonzero(equal & near & (c[:, None] < c[None, :]))
-                left.append(c[i])
-                right.append(c[j])
-            empty = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_pydict(
-                {"a": np.concatenate(left + empty), "b": np.concatenate(right + empty)}
-            )
-
-    return nodes.select("members").mapInArrow(compare, "a long, b long")
-
-
-def _alike(join: Join) -> Column:
-    """Whether the joined ``n``, ``signature`` and ``n2``, ``signature2`` can reach the threshold."""
-    equal = F.size(
-        F.filter(F.zip_with("signature", "signature2", lambda x, y: x == y), lambda same: same)
+def _children(path: str, level: int, join: Join) -> Column:
+    """The one or two nodes that a row of a large node goes to."""
+    first, second, chance = (
+        F.pmod(F.xxhash64(path, F.lit(3 * level + k)), F.lit(n)).cast("int")
+        for k, n in ((0, join.places), (1, join.places), (2, 100))
     )
-    fits = 100 * F.least("n", "n2") >= join.percent * F.greatest("n", "n2")
-    return fits & (equal >= join.least_equal)
+    one, two = _branch(F.col(path), first), _branch(F.col(path), second)
+    return F.when((chance < join.twice) & (first != second), F.array(one, two)).otherwise(F.array(one))
 
 
-def _second(classes: DataFrame) -> DataFrame:
-    return classes.select(
-        F.col("class").alias("class2"),
-        F.col("n").alias("n2"),
-        F.col("signature").alias("signature2"),
-    )
+def _alike(join: Join) -> Column:
+    """Whether a row and the ``first`` class of its node can reach the threshold."""
+    fits = 100 * F.least("n", "first.n") >= join.percent * F.greatest("n", "first.n")
+    return fits & (F.col("equal") >= join.least_equal)
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b"))
+def _equal_places(a: str, b: str) -> Column:
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
-def candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``a`` < ``b``, and the rows (``path``, ``class``) of nodes left large."""
+def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Leaves (``members``), partners from large nodes, and rows of the nodes left large."""
     roots = F.array(*[_branch(F.lit(-1 - k), F.lit(k)) for k in range(join.trees)])
     rows = classes.select("class", F.explode(roots).alias("path"))
-    leaves, found = [], []
+    spark = classes.sparkSession
+    leaves = spark.createDataFrame([], "members array<long>")
+    partners = spark.createDataFrame([], "class long, partner long, equal int")
     for level in range(join.depth + 1):
-        nodes = (
-            rows.groupBy("path")
-            .agg(F.count(F.lit(1)).alias("held"), F.min("class").alias("first"))
-            .where(F.col("held") > 1)
-        )
+        nodes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         rows = stage(rows.join(stage(nodes, "nodes"), "path"), "paths")
-        small = rows.where(F.col("held") <= join.leaf)
-        leaves.append(small.groupBy("path").agg(F.sort_array(F.collect_list("class")).alias("members")))
-        rows = rows.where(F.col("held") > join.leaf)
+        small = rows.where(F.col("held") <= join.leaf).groupBy("path")
+        leaves = leaves.union(small.agg(F.sort_array(F.collect_list("class"))).drop("path"))
+        rows = rows.where(F.col("held") > join.leaf).drop("held")
         if rows.isEmpty():
-            break
-        signed = stage(rows.join(classes, "class"), "large")
-        hubs = signed.select("class", "n", "signature", F.col("first").alias("class2")).distinct()
-        found.append(
-            _ordered(
-                hubs.where("class != class2").join(_second(classes), "class2").where(_alike(join))
-            )
+            return leaves, partners, classes.limit(0).withColumn("path", F.lit(0))
+        if level == 0:
+            rows = stage(rows.join(classes, "class"), "large")
+        firsts = rows.groupBy("path").agg(F.min(F.struct("class", "n", "signature")).alias("first"))
+        met = (
+            rows.join(stage(firsts, "firsts"), "path")
+            .where("class != first.class")
+            .withColumn("equal", _equal_places("signature", "first.signature"))
+            .where(_alike(join))
         )
+        partners = partners.union(met.select("class", F.col("first.class"), "equal"))
         if level < join.depth:
-            place = F.pmod(F.xxhash64("path", F.lit(level)), F.lit(join.places)).cast("int")
-            rows = signed.select("class", _branch(F.col("path"), place).alias("path"))
-        else:
-            rows = signed.select("class", "path")
-    members = leaves[0]
-    for more in leaves[1:]:
-        members = members.unionByName(more)
-    # Most trees find the same leaves; each is compared once.
-    members = members.select("members").distinct()
-    rows_of = members.select(
-        F.xxhash64("members").alias("node"), F.explode("members").alias("class")
-    ).join(classes, "class")
-    nodes = rows_of.groupBy("node").agg(F.collect_list(F.struct("class", "n", "signature")).alias("members"))
-    pairs = _leaf_pairs(nodes, join)
-    for more in found:
-        pairs = pairs.unionByName(more)
-    return stage(pairs.distinct(), "pairs"), rows.select("path", "class")
+            rows = rows.select(
+                "class", "n", "signature", F.explode(_children("path", level, join)).alias("path")
+            )
+    return leaves, partners, rows
+
+
+_MEMBER = "class long, n long, signature array<int>, component long"
+
 
+def _open_members(rows: DataFrame, join: Join) -> DataFrame:
+    """The rows of each ``node`` that can be linked with one of another component in it.
 
-def _full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """The shingle sets of the classes ``wanted``, from the texts of their documents."""
+    With the ``partner`` that has the most ``equal`` places, the smallest of these.
+    """
+    names = [f.split()[0] for f in _MEMBER.split(", ")]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("members")
+            fields = lists.flatten()
+            columns = {n: fields.field(n) for n in names}
+            classes, sizes, parts = (columns[n].to_numpy(zero_copy_only=False) for n in ("class", "n", "component"))
+            signed = columns["signature"].flatten().to_numpy(zero_copy_only=False)
+            signed = signed.reshape(-1, join.places)
+            bounds = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+            bounds = bounds - bounds[0]
+            nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), np.diff(bounds))
+            best = np.full(len(classes), -1, np.int64)
+            equal = np.zeros(len(classes), np.int32)
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                own, n, part = signed[a:b], sizes[a:b], parts[a:b]
+                same = (own[:, None, :] == own[None, :, :]).sum(axis=2).astype(np.int32)
+                low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+                fits = (same >= join.least_equal) & (100 * low >= join.percent * high)
+                same = np.where(fits & (part[:, None] != part[None, :]), same, 0)
+                by_class = np.argsort(classes[a:b], kind="stable")
+                at = by_class[np.argmax(same[:, by_class], axis=1)]
+                equal[a:b] = same[np.arange(b - a), at]
+                best[a:b] = classes[a:b][at]
+            kept = np.flatnonzero(equal)
+            taken = {n: column.take(pa.array(kept)) for n, column in columns.items()}
+            yield pa.RecordBatch.from_pydict(
+                {"node": nodes[kept], **taken, "partner": best[kept], "equal": equal[kept]}
+            )
 
-    def expand(batch: pa.RecordBatch) -> dict:
+    grouped = rows.groupBy("node").agg(F.collect_list(F.struct(*names)).alias("members"))
+    return grouped.mapInArrow(compare, f"node long, {_MEMBER}, partner long, equal int")
+
+
+def _class_texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
+    """``class`` and ``text`` of the classes ``wanted``."""
+
+    def digest(batch: pa.RecordBatch) -> dict:
         sets, _, _ = shingle_sets(_texts(batch), join.shingle)
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-        return {
-            "class": batch.column("doc_id"),
-            "found": pa.array([_digest(s) for s in sets], pa.binary()),
-            "shingles": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-        }
+        found = pa.array([_digest(s) for s in sets], pa.binary())
+        return {"class": batch.column("doc_id"), "digest": found, "text": batch.column("text")}
 
     texts = id_text(docs).join(wanted.select(F.col("class").alias("doc_id")), "doc_id", "left_semi")
-    sets = map_slices(texts, expand, "class long, found binary, shingles array<long>")
+    made = map_slices(texts, digest, "class long, digest binary, text string")
     # A doc_id that comes with several texts stands for the one its class was made from.
-    own = classes.select("class", F.col("digest").alias("found"))
-    return sets.join(own, ["class", "found"], "left_semi").drop("found")
+    return made.join(classes.select("class", "digest"), ["class", "digest"], "left_semi").drop("digest")
+
+
+def _linked(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
+    sizes = len(first) + len(second)
+    if 100 * min(len(first), len(second)) < percent * max(len(first), len(second)):
+        return False
+    shared = len(np.intersect1d(first, second, assume_unique=True))
+    return shared > 0 and 100 * shared >= percent * (sizes - shared)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    first = sets.select(F.col("class").alias("a"), F.col("shingles").alias("of_a"))
-    second = sets.select(F.col("class").alias("b"), F.col("shingles").alias("of_b"))
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    united = F.size("of_a") + F.size("of_b") - shared
-    joined = pairs.join(first, "a").join(second, "b")
-    return joined.where(100 * shared >= join.percent * united).select("a", "b")
+def confirmed(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
+    """The ``pairs`` of ``a`` and ``b`` whose full sets reach the threshold."""
+
+    def confirm(batch: pa.RecordBatch) -> dict:
+        sets = [
+            shingle_sets(batch.column(n).cast(pa.binary()).to_pylist(), join.shingle)[0]
+            for n in ("text", "other")
+        ]
+        held = [_linked(x, y, join.percent) for x, y in zip(*sets, strict=True)]
+        kept = pa.array(np.flatnonzero(held))
+        return {n: batch.column(n).take(kept) for n in ("a", "b")}
+
+    first = texts.select(F.col("class").alias("a"), "text")
+    second = texts.select(F.col("class").alias("b"), F.col("text").alias("other"))
+    return map_slices(pairs.join(first, "a").join(second, "b"), confirm, "a long, b long")
+
+
+def _links_in_nodes(rows: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
+    """Links on full sets between the components that meet in a ``node``.
+
+    A pair is looked at only while its classes are in different components, so a node returns
+    fewer links than it has members.
+    """
+
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for members in batch.column("members"):
+                rows = sorted(members.as_py(), key=lambda m: m["class"])
+                sets, _, _ = shingle_sets([m["text"].encode() for m in rows], join.shingle)
+                parts = np.array([m["component"] for m in rows])
+                for i in range(len(rows)):
+                    for j in range(i):
+                        if parts[i] != parts[j] and _linked(sets[i], sets[j], join.percent):
+                            left.append(rows[j]["class"])
+                            right.append(rows[i]["class"])
+                            parts[parts == parts[i]] = parts[j]
+            yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    # The text comes to a node once per member; its batches are as long as a few nodes.
+    held = rows.select("node", "class", "component").join(texts, "class")
+    grouped = held.groupBy("node").agg(F.collect_list(F.struct("class", "component", "text")).alias("members"))
+    return grouped.mapInArrow(connect, "a long, b long")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
@@ -242,26 +281,36 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return rows.join(own, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _across(rows: DataFrame, classes: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
-    """Candidate pairs of unconnected classes that share a node that stayed large.
+def _blocks(large: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
+    """Rows of nodes left large, copied to blocks that a leaf could hold.
 
-    Pairs inside the largest component of a node need no look; every other class of the node
-    meets all its classes.
+    Classes outside a node's largest component are dealt to blocks and so are all its classes;
+    every two blocks of either kind become a node. Nodes of one component need no look.
     """
-    held = stage(_labelled(rows, labels, "class", "component"), "held")
+    held = stage(_labelled(large, labels, "class", "component"), "held")
     counts = held.groupBy("path", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = counts.groupBy("path").agg(
+    nodes = counts.groupBy("path").agg(
         F.max_by("component", F.struct("size", "component")).alias("largest"),
-        F.count(F.lit(1)).alias("parts"),
+        F.sum("size").alias("whole"),
+        F.max("size").alias("top"),
+    )
+    size = max(1, join.leaf // 2)
+    nodes = nodes.where("whole > top").select(
+        "path",
+        "largest",
+        F.ceil(F.col("whole") / size).alias("all_blocks"),
+        F.ceil((F.col("whole") - F.col("top")) / size).alias("open_blocks"),
+    )
+    held = held.join(stage(nodes, "mixed"), "path").withColumn("hash", F.xxhash64("class", "path"))
+    mine, other = F.pmod("hash", "open_blocks"), F.pmod("hash", "all_blocks")
+    asking = held.where("component != largest").withColumn(
+        "node", F.explode(F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda k: F.xxhash64("path", mine, k)))
     )
-    mixed = stage(largest.where("parts > 1").drop("parts"), "mixed")
-    held = held.join(mixed, "path")
-    outside = held.where("component != largest").select(
-        "path", "class", F.col("component").alias("mine")
+    asked = held.withColumn(
+        "node", F.explode(F.transform(F.sequence(F.lit(0), F.col("open_blocks") - 1), lambda k: F.xxhash64("path", k, other)))
     )
-    others = held.select("path", F.col("class").alias("class2"), "component")
-    met = outside.join(others, "path").where("mine != component").select("class", "class2").distinct()
-    return _ordered(met.join(classes, "class").join(_second(classes), "class2").where(_alike(join)))
+    both = asking.unionByName(asked).select("node", "class", "n", "signature", "component")
+    return both.dropDuplicates(["node", "class"])
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -295,23 +344,38 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         "classes",
     )
     shapes = classes.select("class", "n", "signature")
-    pairs, large = candidates(shapes, join)
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
-    wanted = wanted.union(large.select("class")).distinct()
-    sets = stage(_full_sets(docs, classes, wanted, join), "sets")
+    leaves, partners, large = _tree_nodes(shapes, join)
+    # Most trees find the same leaves; each is compared once.
+    leaves = leaves.distinct().select(
+        F.xxhash64("members").alias("node"), F.explode("members").alias("class")
+    )
+    leaves = leaves.join(shapes, "class").withColumn("component", F.col("class"))
+    leaves = stage(_open_members(leaves, join), "leaves")
 
-    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stage(confirmed(nearest, sets, join), "links")
-    labels = components(links)
-    rest = _labelled(_labelled(pairs, labels, "a", "of_a"), labels, "b", "of_b")
-    rest = rest.where("of_a != of_b").select("a", "b")
-    links = stage(links.union(confirmed(rest, sets, join)), "links")
+    partners = partners.unionByName(leaves.select("class", "partner", "equal"))
+    partners = stage(
+        partners.groupBy("class").agg(
+            F.max_by("partner", F.struct("equal", -F.col("partner"))).alias("partner")
+        ),
+        "partners",
+    )
+    wanted = leaves.select("class").union(partners.select("class")).union(partners.select("partner"))
+    wanted = wanted.union(large.select("class")).distinct()
+    texts = stage(_class_texts(docs, classes, wanted, join), "texts")
+    pairs = partners.select(
+        F.least("class", "partner").alias("a"), F.greatest("class", "partner").alias("b")
+    ).distinct()
+    links = stage(confirmed(pairs, texts, join), "links")
     labels = components(links)
+
+    names = ("node", "class", "n", "signature", "component")
+    again = _labelled(leaves.drop("component"), labels, "class", "component").select(*names)
     if not large.isEmpty():
-        across = stage(_across(large, shapes, labels, join), "across")
-        if not across.isEmpty():
-            links = stage(links.union(confirmed(across, sets, join)), "links")
-            labels = components(links)
+        again = again.unionByName(_blocks(large, labels, join).select(*names))
+    still = stage(_open_members(again, join).select("node", "class", "component"), "open")
+    if not still.isEmpty():
+        links = stage(links.union(_links_in_nodes(still, texts, join)), "links")
+        labels = components(links)
 
     members = signed.select("doc_id", "n_shingles", "digest").join(
         classes.select("digest", "class"), "digest", "left"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,8 +54,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: in
     long = ends - starts > _BLOCK
     blocks = np.where(long, -1, starts // _BLOCK)
     order = np.argsort(blocks, kind="stable")
-    edges = np.flatnonzero(np.diff(blocks[order], prepend=-1)) if len(order) else []
-    for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
+    # Long spans come first and start no group.
+    edges = [*np.flatnonzero(np.diff(blocks[order], prepend=-1)).tolist(), len(order)]
+    for a, b in itertools.pairwise(edges):
         own = order[a:b]
         low, high = int(starts[own].min()), int(ends[own].max())
         sums = np.zeros(high - low + 1, np.uint64)

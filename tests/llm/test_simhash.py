@@ -1,0 +1,94 @@
+"""Fingerprints, the edited texts and the search by permuted blocks, against plain loops."""
+
+import hashlib
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from stationcast.llm import simhash
+from tests.llm.fixtures import awkward_rows, frame
+
+
+def test_fingerprint_does_not_depend_on_the_batch():
+    texts = [b"", b"one", b"a text of a few words", b"A text of a few words", b"x y z " * 400]
+    together = simhash.fingerprints(texts)
+    for text, own in zip(texts, together, strict=True):
+        assert (simhash.fingerprints([text])[0] == own).all()
+    assert (together[2] == together[3]).all() and (together[0] == 0).all()
+
+
+def test_likeness_follows_the_share_of_equal_terms():
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+    other = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+    made = [" ".join(words[:k] + other[k:]).encode() for k in (2000, 1800, 1000, 0)]
+    prints = simhash.fingerprints(made)
+    same, near, half, none = simhash.likeness(prints, np.tile(prints[0], (4, 1)))
+    assert same == 1 and near > 0.8 and 0.3 < half < 0.7 and none < 0.3
+
+
+def expected_study(rows):
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    texts = [r[1] or "" for r in order]
+    after = texts[1:] + texts[:1]
+    out = []
+    for row, own, following in zip(order, texts, after, strict=True):
+        edited = own[: len(own) - len(own) // 2] + following[: len(own) // 2]
+        prints = simhash.fingerprints([own.encode(), edited.encode(), following.encode()])
+        near = simhash.likeness(prints[[0, 0]], prints[[1, 2]])
+        out.append(
+            (row[0], len(own), hashlib.sha256(edited.encode()).hexdigest(), prints[0].tobytes(),
+             prints[1].tobytes(), *near.round(9).tolist())
+        )
+    return out
+
+
+@pytest.mark.parametrize("count, files", [(None, 1), (None, 7), (1, 3), (2, 4), (0, 3)])
+def test_study(spark, count, files):
+    rows = awkward_rows()[:count]
+    found = simhash.edit_study(frame(spark, rows, clash=True) if rows else frame(spark, []), files).collect()
+    got = [
+        (r.doc_id, r.n_chars, r.edited_sha256, bytes(r.fingerprint), bytes(r.edited_fingerprint),
+         round(r.near_edited, 9), round(r.near_next, 9))
+        for r in found
+    ]
+    assert sorted(map(str, got)) == sorted(map(str, expected_study(rows)))
+
+
+@pytest.mark.parametrize("radius, spare", [(7, 1), (3, 1), (6, 2)])
+def test_all_fingerprints_within_the_radius(spark, radius, spare):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2, (12, simhash.BITS), dtype=np.uint8)
+    bits = [base]
+    for flips in range(1, 11):
+        for row in base:
+            other = row.copy()
+            other[rng.choice(simhash.BITS, flips, replace=False)] ^= 1
+            bits.append(other[None])
+    bits = np.concatenate([*bits, base[:3]])
+    packed = np.packbits(bits, axis=1)
+    rows = [(i, bytearray(p.tobytes())) for i, p in enumerate(packed)] + [(999, None)]
+    prints = spark.createDataFrame(rows, "doc_id long, fingerprint binary")
+    asked = prints.where("doc_id % 2 = 0 OR doc_id = 999")
+    found = simhash.within_radius(asked, prints, radius, spare).collect()
+    got = sorted((r["query"], bytes(r.fingerprint), r.distance, r.n_docs) for r in found)
+    expected = []
+    for i in range(0, len(bits), 2):
+        near = {}
+        for j, other in itertools.product([i], range(len(bits))):
+            distance = int((bits[j] != bits[other]).sum())
+            if distance <= radius:
+                key = (i, packed[other].tobytes(), distance)
+                near[key] = near.get(key, 0) + 1
+        expected += [(*key, n) for key, n in near.items()]
+    assert got == sorted(expected)
+    assert simhash.within_radius(asked.limit(0), prints).count() == 0
+
+
+def test_plain_fingerprints(spark):
+    rows = awkward_rows()
+    found = simhash.with_fingerprints(frame(spark, rows, clash=True)).collect()
+    expected = [(r[0], simhash.fingerprints([(r[1] or "").encode()])[0].tobytes()) for r in rows]
+    assert sorted(str((r.doc_id, bytes(r.fingerprint))) for r in found) == sorted(map(str, expected))
