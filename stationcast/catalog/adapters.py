@@ -15,8 +15,6 @@ from stationcast.sources import select_measure
 CITY = "Chicago"
 OTHER_CITY = "Elsewhere"
 
-CALENDAR_YEARS = range(1990, 2031)
-
 # Descriptions of the derived series, by hour number modulo their count.
 DESCRIPTIONS = (
     "thunderstorm with rain",
@@ -90,7 +88,7 @@ def _readings(number: Column) -> dict[str, Column]:
     return {
         "humidity": 40 + (7 * number) % 60,
         "pressure": F.when(number % 17 != 0, 1000 + number % 30),
-        "temperature": 260 + number % 40,
+        "temperature": number % 40 - 20,
         "wind_speed": number % 15,
         "weather_description": _description(number),
     }
@@ -153,14 +151,54 @@ def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def holidays(spark: SparkSession) -> DataFrame:
-    return holiday_calendar(spark, CALENDAR_YEARS)
+def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holidays of all years of events and orders, and of the next for the forecast."""
+    dates = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day"))
+    dates = dates.union(table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date")))
+    # Two numbers of one row.
+    first, last = dates.agg(F.min(F.year("day")), F.max(F.year("day"))).first()
+    return holiday_calendar(spark, range(first or 2000, (last or 2000) + 2))
+
+
+def calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of all orders, and the same 8, 16, 24 and 32 years later, at each hour once.
+
+    Order dates cover seven years, so the days reach from 1995 to 2033.
+    """
+    day = F.col("o_orderdate").cast("date")
+    moved = F.add_months(day, F.col("years") * 12)
+    text = F.concat(
+        moved.cast("string"),
+        F.lit(" "),
+        F.lpad(F.pmod("o_orderkey", F.lit(24)).cast("string"), 2, "0"),
+        F.lit(":30:00"),
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    shifted = orders.withColumn("years", F.explode(F.array(*[F.lit(8 * k) for k in range(5)])))
+    return shifted.select(text.alias("starttime")).distinct()
+
+
+def uneven_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips with a third at one station, some without one, and unreadable numbers."""
+    number = F.col("trip_id").cast("bigint")
+    station = F.when(number % 17 == 0, F.lit(None)).when(number % 3 == 0, F.lit("1"))
+    return raw_trips(spark, sf_dir).withColumns(
+        {
+            "from_station_id": station.when(number % 19 == 0, F.lit("depot")).otherwise(
+                F.col("from_station_id")
+            ),
+            "dpcapacity_start": F.when(number % 7 == 0, F.lit("n/a"))
+            .when(number % 11 == 0, F.lit(""))
+            .otherwise(F.col("dpcapacity_start")),
+            "starttime": F.when(number % 23 == 0, F.lit("no time")).otherwise(F.col("starttime")),
+        }
+    )
 
 
 def stand_in_score(df: DataFrame) -> DataFrame:
     """A fixed formula in place of a fitted model, with negative and fractional values."""
     value = (
-        (F.col("temperature") - 280.0) * 0.25
+        F.col("temperature") * 0.25
         + F.col("wind_speed") * 0.5
         - F.col("humidity") * 0.125
         + F.col("mean_dpcapacity_start") * 0.25

@@ -45,7 +45,7 @@ def _detail(spark: SparkSession, sf: str) -> DataFrame:
     """Trips with readings and calendar features, row by row."""
     trips = sources.trip_columns(_ingested(spark, sf))
     joined = ops.join_hourly_weather(trips, _stored_weather(spark, sf))
-    return ops.calendar_features(joined, adapters.holidays(spark))
+    return ops.calendar_features(joined, adapters.holidays(spark, sf))
 
 
 def _forecast(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,13 +53,10 @@ def _forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stations(spark: SparkSession, sf: str) -> DataFrame:
-    """The profile is the list of stations; no trip has to be read again for it."""
-    return (
-        ops.station_profile(_flagged(spark, sf))
-        .where(F.col("station").isNotNull())
-        .withColumnRenamed("station", "from_station_id")
-        .select(*STATION_COLUMNS)
-    )
+    """The list of stations as the predict job reads it: from the stored profile."""
+    folder = scratch_path(spark, "stations")
+    sinks.write_table(ops.station_profile(_flagged(spark, sf)), folder)
+    return sources.read_stations(spark, folder)
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,7 +163,7 @@ def unmatched_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
     trips = adapters.raw_trips(spark, sf).select("trip_id", "starttime")
-    return ops.calendar_features(trips, adapters.holidays(spark))
+    return ops.calendar_features(trips, adapters.holidays(spark, sf))
 
 
 def holiday_calendar(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,7 +173,7 @@ def holiday_calendar(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.col("o_orderdate").cast("date").alias("date"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    return per_day.join(adapters.holidays(spark), "date").select(
+    return per_day.join(adapters.holidays(spark, sf), "date").select(
         F.col("date").cast("string").alias("date"), "name", "orders"
     )
 
@@ -186,36 +183,45 @@ def modal_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def target_frame(spark: SparkSession, sf: str) -> DataFrame:
-    detail = _detail(spark, sf)
-    return ops.target_frame(detail, ops.modal_weather(detail))
+    return ops.target_frame(_detail(spark, sf))
 
 
 def target_frame_single_pass(spark: SparkSession, sf: str) -> DataFrame:
     """The same frame from the ingested trips, counted by hour before the join."""
     return plans.training_frame(
-        _ingested(spark, sf), _stored_weather(spark, sf), adapters.holidays(spark)
+        _ingested(spark, sf), _stored_weather(spark, sf), adapters.holidays(spark, sf)
     )
 
 
 def training_frame(spark: SparkSession, sf: str) -> DataFrame:
     """From raw trips and series to the frame to train on, without storing the trips."""
-    flagged = _flagged(spark, sf)
-    return plans.training_frame(
-        flagged,
-        _stored_weather(spark, sf),
-        adapters.holidays(spark),
-        profile=ops.station_profile(flagged),
+    return plans.training_frame_from_trips(
+        _flagged(spark, sf), _stored_weather(spark, sf), adapters.holidays(spark, sf)
+    )
+
+
+def training_frame_uneven(spark: SparkSession, sf: str) -> DataFrame:
+    """A hot station, missing and unreadable stations, times and capacities."""
+    flagged = ops.usertype_flags(adapters.uneven_trips(spark, sf))
+    return plans.training_frame_from_trips(
+        flagged, _stored_weather(spark, sf), adapters.holidays(spark, sf)
     )
 
 
+def station_profile_uneven(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.station_profile(ops.usertype_flags(adapters.uneven_trips(spark, sf)))
+
+
+def calendar_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar features of the days of almost forty years."""
+    days = adapters.calendar_days(spark, sf)
+    return ops.calendar_features(days, ops.holiday_calendar(spark, range(1994, 2036)))
+
+
 def training_frame_repeated_hours(spark: SparkSession, sf: str) -> DataFrame:
     """The training frame from series with repeated hours, without aligning their rows."""
-    flagged = _flagged(spark, sf)
-    return plans.training_frame(
-        flagged,
-        adapters.repeated_series(spark, sf),
-        adapters.holidays(spark),
-        profile=ops.station_profile(flagged),
+    return plans.training_frame_from_trips(
+        _flagged(spark, sf), adapters.repeated_series(spark, sf), adapters.holidays(spark, sf)
     )
 
 
@@ -234,7 +240,7 @@ def scoring_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 def scoring_frame(spark: SparkSession, sf: str) -> DataFrame:
     return plans.scoring_frame(
-        _stations(spark, sf), _forecast(spark, sf), adapters.holidays(spark)
+        _stations(spark, sf), _forecast(spark, sf), adapters.holidays(spark, sf)
     )
 
 
@@ -276,7 +282,7 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def weather_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "weather-table")
-    sinks.write_table(_weather(spark, sf), folder, files=2)
+    sinks.write_table(_weather(spark, sf), folder, max_records=500)
     return sources.read_weather(spark, folder)
 
 
@@ -323,13 +329,27 @@ def assembled_features(spark: SparkSession, sf: str) -> DataFrame:
 def rental_predictions(spark: SparkSession, sf: str) -> DataFrame:
     train, test = plans.split_frame(stage(training_frame(spark, sf), "frame"), seed=1)
     fitted = plans.fit_model(plans.rental_stages("keep", seed=1), train)
-    return plans.plain_predictions(fitted, test)
+    scored = plans.plain_predictions(fitted, test)
+    finite = F.abs("prediction") < float("inf")
+    return scored.select(*SLOT_KEYS, ml.LABEL, F.coalesce(finite, F.lit(False)).alias("is_finite"))
 
 
 def rental_rmse(spark: SparkSession, sf: str) -> DataFrame:
     train, test = plans.split_frame(stage(training_frame(spark, sf), "frame"), seed=1)
     fitted = plans.fit_model(plans.rental_stages("keep", seed=1), train)
-    return plans.evaluate(fitted, test)
+    error = plans.evaluate(fitted, test)
+    mean = train.agg(F.avg(ml.LABEL).alias("prediction"))
+    constant = plans.rmse(test.select(ml.LABEL).crossJoin(F.broadcast(mean)))
+    rows = test.agg(F.count(F.lit(1)).alias("test_rows"))
+    return (
+        error.crossJoin(constant.withColumnRenamed("rmse", "constant"))
+        .crossJoin(rows)
+        .select(
+            "test_rows",
+            F.round("constant", 6).alias("rmse_of_mean"),
+            (F.col("rmse") < F.col("constant")).alias("model_is_better"),
+        )
+    )
 
 
 def stand_in_rmse(spark: SparkSession, sf: str) -> DataFrame:
@@ -338,12 +358,17 @@ def stand_in_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Fit, save, load, and score the forecast with the loaded model."""
+    """Fit, save, load, and score the forecast with the model in memory and the loaded one."""
     train = stage(training_frame(spark, sf), "frame")
     path = scratch_path(spark, "model")
-    sinks.save_model(plans.fit_model(plans.rental_stages("keep", seed=1), train), path)
-    scored = plans.plain_predictions(sources.read_model(path), scoring_frame(spark, sf))
-    return _entries(ops.prediction_documents(scored))
+    fitted = plans.fit_model(plans.rental_stages("keep", seed=1), train)
+    sinks.save_model(fitted, path)
+    loaded = sources.read_model(path)
+    frame = stage(scoring_frame(spark, sf), "forecast-frame")
+    again = plans.plain_predictions(
+        loaded, plans.plain_predictions(fitted, frame).withColumnRenamed("prediction", "first")
+    )
+    return again.select(*SLOT_KEYS, F.col("first").eqNullSafe(F.col("prediction")).alias("is_equal"))
 
 
 REGISTERED: dict[str, Query] = {
@@ -378,6 +403,9 @@ REGISTERED: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "weather_roundtrip": weather_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "calendar_days": calendar_days,
+    "station_profile_uneven": station_profile_uneven,
+    "training_frame_uneven": training_frame_uneven,
     "hash_split": hash_split,
     "imputed_features": imputed_features,
     "indexed_features": indexed_features,

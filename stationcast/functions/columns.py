@@ -78,14 +78,10 @@ def stable_round(value: Column, digits: int) -> Column:
 
     Summation order moves the last bits of a mean; at an exact half that would flip the
     rounded digit from run to run. So the value is rounded to millionths first, and those
-    to ``digits``. Whole-number steps on doubles are exact below a thousand million and
-    much cheaper than decimals; beyond it, and for NaN, the plain rounding applies.
+    to ``digits``, both as decimals: one rule for values of any size. A result of zero has
+    no sign; NaN and infinities stay.
     """
-    step = 10.0 ** (6 - digits)
-    millionths = F.floor(F.abs(value) * 1e6 + 0.5)
-    steps = F.floor((millionths + step / 2) / step)
-    exact = F.signum(value) * steps / 10.0**digits
-    return F.when(F.abs(value) < 1e9, exact).otherwise(F.round(value, digits))
+    return F.round(F.round(value.cast("double"), 6), digits)
 
 
 def keyed_share(columns: Sequence[str], seed: int = 0) -> Column:

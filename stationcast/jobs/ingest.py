@@ -1,7 +1,11 @@
-"""Trip CSV and five measure CSVs become the trip and weather tables.
+"""Trip CSV and five measure CSVs become the trip, station and weather tables.
 
     spark-submit submit.py ingest --trips T.csv --humidity H.csv ... \
-        --city Chicago --out-trips trips --out-weather weather
+        --city Chicago --out-trips trips --out-stations stations --out-weather weather
+
+The CSV is parsed once: the trips are stored with their rider flags, and the station profile
+is made from some columns of the stored table. ``--wide`` stores the profile on every trip as
+well; without ``--out-stations`` only that wide table is written.
 """
 
 from __future__ import annotations
@@ -10,11 +14,17 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from stationcast.operators import attach_profile, station_profile, usertype_flags
 from stationcast.plans import ingest_trips, ingest_weather
 from stationcast.schemas import MEASURES
-from stationcast.session import build_session
+from stationcast.session import build_session, staging
 from stationcast.sinks import write_table
-from stationcast.sources import read_measures, read_trips_csv
+from stationcast.sources import (
+    read_flagged_trips,
+    read_measures,
+    read_profile,
+    read_trips_csv,
+)
 
 SERIES = (*MEASURES, "weather_description")
 
@@ -26,10 +36,22 @@ def run(
     city: str,
     out_trips: str,
     out_weather: str,
-    files: int | None = None,
+    out_stations: str | None = None,
+    wide: str | None = None,
+    max_records: int | None = None,
 ) -> None:
-    write_table(ingest_trips(read_trips_csv(spark, trips)), out_trips, files)
-    write_table(ingest_weather(read_measures(spark, series, city)), out_weather, files)
+    raw = read_trips_csv(spark, trips)
+    with staging(spark):
+        if out_stations is None:
+            write_table(ingest_trips(raw), out_trips, max_records)
+        else:
+            write_table(usertype_flags(raw), out_trips, max_records)
+            stored = read_flagged_trips(spark, out_trips)
+            write_table(station_profile(stored), out_stations)
+            if wide:
+                joined = attach_profile(stored, read_profile(spark, out_stations))
+                write_table(joined, wide, max_records)
+        write_table(ingest_weather(read_measures(spark, series, city)), out_weather)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -40,11 +62,23 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--city", required=True, help="column of the measure files to keep")
     parser.add_argument("--out-trips", required=True)
     parser.add_argument("--out-weather", required=True)
-    parser.add_argument("--files", type=int, help="number of files per table")
+    parser.add_argument("--out-stations", help="table of the station profiles")
+    parser.add_argument("--wide", help="also store the trips with their station's profile")
+    parser.add_argument("--max-records", type=int, help="rows per file of the trip tables")
     args = parser.parse_args(argv)
-    series = {name: getattr(args, name) for name in SERIES}
-    spark = build_session("ingest")
-    run(spark, args.trips, series, args.city, args.out_trips, args.out_weather, args.files)
+    if args.wide and not args.out_stations:
+        parser.error("--wide goes with --out-stations")
+    run(
+        build_session("ingest"),
+        args.trips,
+        {name: getattr(args, name) for name in SERIES},
+        args.city,
+        args.out_trips,
+        args.out_weather,
+        args.out_stations,
+        args.wide,
+        args.max_records,
+    )
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """Stations, forecast and model become prediction documents, in a folder or a topic.
 
-    spark-submit submit.py predict --trips trips --forecast payload.json \
+    spark-submit submit.py predict --stations stations --forecast payload.json \
         --first-year 2024 --last-year 2025 --model model --out documents
 """
 
@@ -12,23 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationcast.operators import holiday_calendar, prediction_documents
 from stationcast.plans import plain_predictions, scoring_frame
-from stationcast.session import build_session
+from stationcast.session import build_session, staging
 from stationcast.sinks import write_documents, write_topic
-from stationcast.sources import read_forecast, read_model, read_trips
+from stationcast.sources import read_forecast, read_model, read_stations, read_trips
 
 
 def documents(
-    spark: SparkSession, trips: str, forecast: str, years: range, model: str
+    spark: SparkSession,
+    forecast: str,
+    years: range,
+    model: str,
+    stations: str | None = None,
+    trips: str | None = None,
 ) -> DataFrame:
-    frame = scoring_frame(
-        read_trips(spark, trips), read_forecast(spark, forecast), holiday_calendar(spark, years)
-    )
+    """Documents for the stored profile ``stations``, or for the stations of wide ``trips``."""
+    known = read_stations(spark, stations) if stations else read_trips(spark, trips)
+    frame = scoring_frame(known, read_forecast(spark, forecast), holiday_calendar(spark, years))
     return prediction_documents(plain_predictions(read_model(model), frame))
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--trips", required=True)
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--stations", help="station table of the ingest job")
+    source.add_argument("--trips", help="wide trip table, read whole for its stations")
     parser.add_argument("--forecast", required=True, help="payload file or folder of them")
     parser.add_argument("--first-year", type=int, required=True, help="of the holiday calendar")
     parser.add_argument("--last-year", type=int, required=True)
@@ -40,11 +47,13 @@ def main(argv: list[str] | None = None) -> None:
     if bool(args.out) == bool(args.servers and args.topic):
         parser.error("give either --out, or --servers and --topic")
     years = range(args.first_year, args.last_year + 1)
-    result = documents(build_session("predict"), args.trips, args.forecast, years, args.model)
-    if args.out:
-        write_documents(result, args.out)
-    else:
-        write_topic(result, args.servers, args.topic)
+    spark = build_session("predict")
+    with staging(spark):
+        result = documents(spark, args.forecast, years, args.model, args.stations, args.trips)
+        if args.out:
+            write_documents(result, args.out)
+        else:
+            write_topic(result, args.servers, args.topic)
 
 
 if __name__ == "__main__":

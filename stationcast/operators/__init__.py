@@ -1,4 +1,5 @@
 from stationcast.operators.calendar import (
+    HolidayRules,
     calendar_features,
     day_features,
     flag_holidays,
@@ -11,13 +12,20 @@ from stationcast.operators.documents import (
 )
 from stationcast.operators.frequency import most_frequent_per_group
 from stationcast.operators.grid import scoring_grid, station_list
-from stationcast.operators.joins import join_sized, replicate_join
+from stationcast.operators.joins import replicate_join
 from stationcast.operators.quality import unmatched_hours, unmatched_summary
-from stationcast.operators.stations import attach_profile, station_profile, usertype_flags
+from stationcast.operators.stations import (
+    attach_profile,
+    profile_of_tally,
+    station_profile,
+    trip_tally,
+    usertype_flags,
+)
 from stationcast.operators.target import join_hourly_weather, modal_weather, target_frame
 from stationcast.operators.weather import align_series, classify_weather, weather_vocabulary
 
 __all__ = [
+    "HolidayRules",
     "align_series",
     "attach_profile",
     "calendar_features",
@@ -27,16 +35,17 @@ __all__ = [
     "flag_holidays",
     "holiday_calendar",
     "join_hourly_weather",
-    "join_sized",
     "lookup_predictions",
     "modal_weather",
     "most_frequent_per_group",
     "prediction_documents",
+    "profile_of_tally",
     "replicate_join",
     "scoring_grid",
     "station_list",
     "station_profile",
     "target_frame",
+    "trip_tally",
     "unmatched_hours",
     "unmatched_summary",
     "usertype_flags",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,19 +34,30 @@ WEEKDAY_HOLIDAYS = (
 )
 
 
+@dataclass(frozen=True)
+class HolidayRules:
+    """The holidays of a region: days of the month, and weekdays of a month, as laid out above."""
+
+    fixed: tuple[tuple[str, int, int, int, bool], ...] = ()
+    by_weekday: tuple[tuple[str, int, str, int, int, int, int], ...] = ()
+
+
+ILLINOIS = HolidayRules(FIXED_HOLIDAYS, WEEKDAY_HOLIDAYS)
+
+
 def _quoted(text: str) -> str:
     return '"' + text + '"'
 
 
-def _rules() -> str:
+def _rules(rules: HolidayRules) -> str:
     """The rule rows as an array of structs; a fixed day has no weekday and vice versa."""
     rows = [
         f"({_quoted(name)}, {month}, {day}, NULL, NULL, 0, {since}, 1, {str(observed).lower()})"
-        for name, month, day, since, observed in FIXED_HOLIDAYS
+        for name, month, day, since, observed in rules.fixed
     ]
     rows += [
         f"({_quoted(name)}, {month}, NULL, '{weekday}', {week}, {after}, {since}, {every}, false)"
-        for name, month, weekday, week, after, since, every in WEEKDAY_HOLIDAYS
+        for name, month, weekday, week, after, since, every in rules.by_weekday
     ]
     return "array(" + ", ".join(f"struct{row}" for row in rows) + ")"
 
@@ -69,8 +81,10 @@ inline(array(
 """
 
 
-def holiday_calendar(spark: SparkSession, years: Iterable[int]) -> DataFrame:
-    """Holidays of the given years as ``date`` and ``name``, built from the rules above.
+def holiday_calendar(
+    spark: SparkSession, years: Iterable[int], rules: HolidayRules = ILLINOIS
+) -> DataFrame:
+    """Holidays of the given years as ``date`` and ``name``, built from ``rules``.
 
     New Year's Day may be observed in the year before, so one year more is generated
     and dates outside the requested years are left out.
@@ -80,7 +94,7 @@ def holiday_calendar(spark: SparkSession, years: Iterable[int]) -> DataFrame:
         raise ValueError("holiday_calendar needs at least one year")
     return (
         spark.range(wanted[0], wanted[-1] + 2)
-        .selectExpr("CAST(id AS INT) AS year", f"inline({_rules()}) AS {_RULE_COLUMNS}")
+        .selectExpr("CAST(id AS INT) AS year", f"inline({_rules(rules)}) AS {_RULE_COLUMNS}")
         .where("year >= since AND year % every = 0")
         .selectExpr("name", "observed", f"{_DATE} AS nominal")
         .selectExpr(_ENTRIES)

@@ -15,10 +15,12 @@ def most_frequent_per_group(
     measures: Sequence[Column] = (),
     counted: str | Column | None = None,
     count_name: str = "count",
+    counter: Column | None = None,
 ) -> DataFrame:
     """One row per key: the value combination with the highest count, and its measures.
 
-    ``counted`` limits the count to rows where it is not NULL. ``measures`` are aliased
+    ``counted`` limits the count to rows where it is not NULL; ``counter`` is an aggregate to
+    use instead, for rows that stand for several. ``measures`` are aliased
     aggregates over the rows of the winning combination only. Equal counts are decided
     by the values in ascending order, NULL first, so the answer does not depend on the
     partitioning.
@@ -28,8 +30,9 @@ def most_frequent_per_group(
     step and as a single row in the second, and no task sees a whole group.
     """
     keys, values = list(keys), list(values)
-    counter = F.count(F.lit(1) if counted is None else counted).alias(count_name)
-    tally = df.groupBy(*keys, *values).agg(counter, *measures)
+    if counter is None:
+        counter = F.count(F.lit(1) if counted is None else counted)
+    tally = df.groupBy(*keys, *values).agg(counter.alias(count_name), *measures)
     carried = [name for name in tally.columns if name not in {*keys, *values, count_name}]
 
     order = (-F.col(count_name)).alias("order")

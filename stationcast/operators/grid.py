@@ -18,6 +18,8 @@ def station_list(trips: DataFrame) -> DataFrame:
 def scoring_grid(stations: DataFrame, forecast: DataFrame) -> DataFrame:
     """One row per station and forecast reading, the station as a whole number.
 
+    Repeated station rows count once.
+
     Times that are written differently but mean the same moment count separately, each
     with all readings of that moment. They are matched on the small forecast side, before
     the stations come in.
@@ -27,5 +29,6 @@ def scoring_grid(stations: DataFrame, forecast: DataFrame) -> DataFrame:
     slots = readings.join(
         times.select("starttime"), F.col("_moment") == F.col("starttime")
     ).drop("_moment")
-    grid = replicate_join(stations, slots, list(STATION_COLUMNS))
+    known = stations.select(*STATION_COLUMNS).distinct()
+    grid = replicate_join(known, slots, list(STATION_COLUMNS))
     return grid.withColumn("from_station_id", number("from_station_id", "int"))

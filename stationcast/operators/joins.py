@@ -1,43 +1,25 @@
-"""Join helpers that decide by measured size and survive uneven keys."""
+"""Pairing of two frames without a cross join."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a side that may be copied to every executor: at most some tens of megabytes
-# for the narrow rows of this library.
-BROADCAST_ROWS = 200_000
+# Groups that the stations are dealt to when they are paired with forecast rows.
+BUCKETS = 64
 
 
-def join_sized(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Column | str | list[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+def replicate_join(
+    many: DataFrame, few: DataFrame, keys: list[str], buckets: int = BUCKETS
 ) -> DataFrame:
-    """Join a large side with a lookup that is broadcast only if it proves small.
-
-    The lookup is counted up to ``max_rows`` first, so pass a stored table: its count
-    comes from the file footers. Up to the bound the facts are not shuffled at all.
-    Beyond it both sides are shuffled on the key, and adaptive execution splits the
-    partition of a key that holds a large share of the facts.
-    """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        lookup = F.broadcast(lookup)
-    return facts.join(lookup, on, how)
-
-
-def replicate_join(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
     """Every row of ``many`` with every row of ``few``, spread over hash buckets.
 
-    Rows of ``many`` are dealt to buckets by ``keys`` and ``few`` is copied once into
-    each bucket, so the pairing is an equi-join on the bucket: evenly spread whatever
-    the key values are, with neither side held whole by the driver or by one task.
+    Rows of ``many`` are dealt to ``buckets`` by ``keys`` and ``few`` is copied once into
+    each, so the pairing is an equi-join on the bucket. The hint keeps ``many`` partitioned:
+    it streams past a hash table of ``few`` and is never broadcast. More buckets spread a
+    longer ``many`` over more tasks and copy ``few`` more often; the number does not
+    depend on the session's shuffle partitions.
     """
-    spark = many.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = many.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     copies = few.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return dealt.join(copies, "_bucket").drop("_bucket")
+    return dealt.join(copies.hint("shuffle_hash"), "_bucket").drop("_bucket")

@@ -112,15 +112,21 @@ def classify_weather(
 ) -> DataFrame:
     """Add the category of a weather description; unknown and NULL get the default.
 
-    The lookup table has one row per phrase. Its size is known to the planner, which
+    Of several rows of a phrase in the lookup table, the one that ignores case counts, then
+    the first category, so no row of the frame is multiplied. The table's size is known to the planner, which
     broadcasts it while it is below the threshold, so the frame keeps its partitioning.
     """
     if vocabulary is None:
         vocabulary = weather_vocabulary(df.sparkSession)
-    lookup = vocabulary.select(
-        F.col("phrase").alias("_phrase"),
-        F.col("category").alias("_category"),
-        F.col("case_sensitive").alias("_exact"),
+    entry = F.min(F.struct("case_sensitive", "category"))
+    lookup = (
+        vocabulary.groupBy(F.col("phrase").alias("_phrase"))
+        .agg(entry.alias("_entry"))
+        .select(
+            "_phrase",
+            F.col("_entry.category").alias("_category"),
+            F.col("_entry.case_sensitive").alias("_exact"),
+        )
     )
     accepted = ~F.col("_exact") | (F.col(column) == F.col("_phrase"))
     return (

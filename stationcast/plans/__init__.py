@@ -4,6 +4,7 @@ from stationcast.plans.features import (
     scoring_frame,
     series_tally,
     training_frame,
+    training_frame_from_trips,
     weather_tally,
 )
 from stationcast.plans.ingest import ingest_trips, ingest_weather
@@ -32,5 +33,6 @@ __all__ = [
     "series_tally",
     "split_frame",
     "training_frame",
+    "training_frame_from_trips",
     "weather_tally",
 ]

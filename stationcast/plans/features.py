@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from stationcast.functions import hour_bucket, number, part_of_hour, stable_round, wall_clock
 from stationcast.operators.calendar import day_features
 from stationcast.operators.joins import replicate_join
+from stationcast.operators.stations import profile_of_tally, trip_tally
 from stationcast.operators.weather import align_series, classify_weather
 from stationcast.plans.ingest import weather_categories
 from stationcast.schemas import (
@@ -32,6 +33,7 @@ from stationcast.schemas import (
     STATION_COLUMNS,
     TRAINING_COLUMNS,
 )
+from stationcast.session import stage
 
 # Totals of a tally of readings.
 TOTALS = ("readings", *[f"{name}_{kind}" for name in MEASURES for kind in ("sum", "count")])
@@ -72,6 +74,19 @@ def hourly_demand(trips: DataFrame, profile: DataFrame | None = None) -> DataFra
     return numbered.where(F.col("from_station_id").isNotNull())
 
 
+def demand_of_tally(tally: DataFrame, profile: DataFrame) -> DataFrame:
+    """The same from :func:`trip_tally`, which is read here instead of the trips."""
+    hours = (
+        tally.where(F.col("from_station_id").isNotNull() & (F.col("timed") > 0))
+        .groupBy("from_station_id", "starttime_join", "date", "hour")
+        .agg(F.sum("timed").alias("trips"))
+    )
+    stations = profile.select("station", *STATION_ATTRIBUTES)
+    joined = hours.join(stations, F.col("from_station_id") == F.col("station")).drop("station")
+    numbered = joined.withColumn("from_station_id", number("from_station_id", "int"))
+    return numbered.where(F.col("from_station_id").isNotNull())
+
+
 def weather_tally(weather: DataFrame, time: str = "datetime") -> DataFrame:
     """Readings per time and category: how many, and sum and count of each measure."""
     totals = [F.count(F.lit(1)).alias("readings")]
@@ -171,7 +186,25 @@ def training_frame(
     ``trips`` and ``profile`` are as in :func:`hourly_demand`; ``weather`` is the weather
     table or the five series it is made of.
     """
-    hours = hourly_demand(trips, profile)
+    return _training_frame(hourly_demand(trips, profile), weather, holidays)
+
+
+def training_frame_from_trips(
+    flagged: DataFrame, weather: DataFrame | dict[str, DataFrame], holidays: DataFrame
+) -> DataFrame:
+    """The same from trips with rider flags alone, which are read once.
+
+    They are counted per station, coordinates and hour; this table is stored, and both the
+    station profile and the demand come from it.
+    """
+    tally = stage(trip_tally(flagged), "tally")
+    hours = demand_of_tally(tally, profile_of_tally(tally))
+    return _training_frame(hours, weather, holidays)
+
+
+def _training_frame(
+    hours: DataFrame, weather: DataFrame | dict[str, DataFrame], holidays: DataFrame
+) -> DataFrame:
     readings = series_tally(weather) if isinstance(weather, dict) else weather_tally(weather)
     joined = hours.join(readings, F.col("starttime_join") == F.col("datetime"))
     return demand_frame(_weighted(joined, "trips"), holidays).select(*TRAINING_COLUMNS)

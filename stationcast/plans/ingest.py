@@ -16,8 +16,7 @@ def ingest_trips(trips: DataFrame, profile: DataFrame | None = None) -> DataFram
     """Trips with rider flags and the profile of their station.
 
     The profile is a small table of its own. It is stored before it is joined, so the
-    join knows its size: up to a bound it is broadcast and the trips are written without
-    being shuffled.
+    planner knows its size: below Spark's threshold the trips are not shuffled.
     """
     flagged = usertype_flags(require_columns(trips, RAW_TRIP_COLUMNS, "trips"))
     if profile is None:

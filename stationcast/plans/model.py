@@ -14,6 +14,7 @@ from stationcast.functions import keyed_share
 from stationcast.schemas import SLOT_KEYS
 
 LABEL = "bicycle_rentals"
+# Categories the model is given, and measures whose gaps are filled.
 CATEGORIES = ("part_time", "holiday", "week_days", "weather_description_mf", "month")
 IMPUTED = ("humidity", "pressure")
 # Order of the model's inputs.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Column names of the tables, of the training frame and of the documents.
 STATION_ATTRIBUTES = (
     "latitude",
     "longitude",
@@ -31,6 +32,7 @@ RAW_TRIP_COLUMNS = (
 SLOT_KEYS = ("date", "from_station_id", "part_time")
 CALENDAR_COLUMNS = ("holiday", "week_days", "month")
 
+# Fixed values.
 TRAINING_COLUMNS = (
     "date",
     "from_station_id",
@@ -74,6 +76,7 @@ FORECAST_PAYLOAD = T.StructType(
     ]
 )
 
+# Fields of a prediction document.
 _DAY_PART = T.StructType(
     [
         T.StructField("part_time", T.StringType()),

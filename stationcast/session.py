@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,18 +46,41 @@ def _local_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    Only a session that is one process, so one machine, has a temporary folder of its own
+    where the setting is missing.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
+    return path
+
+
+_OWNED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Own what is staged inside, and delete it at the end, after the last write of a job.
+
+    Results that are still to be read must be written inside. Without it, staged tables stay
+    in the shared folder for whoever reads the returned frames.
+    """
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

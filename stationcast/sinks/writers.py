@@ -11,25 +11,24 @@ from stationcast.operators.documents import document_messages
 
 
 def write_table(
-    df: DataFrame, path: str, files: int | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    max_records: int | None = None,
+    partition_by: Sequence[str] = (),
+    merge_small: bool = False,
 ) -> None:
     """Snappy Parquet, replacing what is there.
 
-    Without ``files`` every task writes its own part and nothing is shuffled. With it
-    the rows are redistributed evenly into that many files; the stage before keeps its
-    full parallelism, which merging partitions in place would not. Partition columns
-    bring the rows of a value together first, and adaptive execution splits a value that
-    is too large for one task into several files.
+    Every task writes its own part and nothing is shuffled. ``max_records`` cuts the files
+    of a task. ``merge_small`` lets adaptive execution even out the parts first: by size,
+    not to a number of files. Partition columns bring the rows of a value together first,
+    and a value that is too large for one task is split into several files.
     """
-    if files:
-        out = df.repartition(files)
-    elif partition_by:
-        out = df.hint("rebalance", *partition_by)
-    else:
-        out = df
-    out.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(
-        path
-    )
+    out = df.hint("rebalance", *partition_by) if partition_by or merge_small else df
+    writer = out.write.mode("overwrite").option("compression", "snappy")
+    if max_records:
+        writer = writer.option("maxRecordsPerFile", max_records)
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

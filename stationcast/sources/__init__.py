@@ -6,8 +6,11 @@ from stationcast.sources.predictions import (
     read_topic,
 )
 from stationcast.sources.tables import (
+    read_flagged_trips,
     read_measure,
     read_measures,
+    read_profile,
+    read_stations,
     read_trips,
     read_trips_csv,
     read_weather,
@@ -20,10 +23,13 @@ __all__ = [
     "parse_documents",
     "parse_forecast",
     "read_documents",
+    "read_flagged_trips",
     "read_forecast",
     "read_measure",
     "read_measures",
     "read_model",
+    "read_profile",
+    "read_stations",
     "read_topic",
     "read_trips",
     "read_trips_csv",

@@ -34,6 +34,8 @@ def read_topic(
     ``max_records`` limits one micro-batch of a stream, not the result. Needs the
     Kafka connector of the Spark distribution on the class path.
     """
+    if max_records and not streaming:
+        raise ValueError("max_records limits the micro-batches of a stream; a batch is read whole")
     reader = spark.readStream if streaming else spark.read
     reader = (
         reader.format("kafka")
@@ -41,7 +43,7 @@ def read_topic(
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
     )
-    if streaming and max_records:
+    if max_records:
         reader = reader.option("maxOffsetsPerTrigger", max_records)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 

@@ -47,5 +47,20 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     return trip_columns(spark.read.parquet(path))
 
 
+def read_flagged_trips(spark: SparkSession, path: str) -> DataFrame:
+    """Trips with rider flags, as the ingest job stores them next to the profile."""
+    return spark.read.parquet(path)
+
+
+def read_stations(spark: SparkSession, path: str) -> DataFrame:
+    """The stored station profile as the list of stations; no trip is read for it."""
+    profile = spark.read.parquet(path).where(F.col("station").isNotNull())
+    return profile.withColumnRenamed("station", "from_station_id").select(*STATION_COLUMNS)
+
+
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*WEATHER_COLUMNS)

@@ -102,6 +102,20 @@ def test_stable_round(spark, value, digits, rounded):
     assert one(spark, fn.stable_round(F.col("v"), digits), v=value) == rounded
 
 
+@pytest.mark.parametrize("value", [-0.04, -0.4, -1e-9, 0.0, -0.0])
+def test_stable_round_has_no_negative_zero(spark, value):
+    """As JSON text, because -0.0 equals 0.0."""
+    rounded = F.struct(fn.stable_round(F.col("v"), 0).alias("t"))
+    assert one(spark, F.to_json(rounded), v=value) == '{"t":0.0}'
+    if abs(value) < 0.1:
+        assert one(spark, F.to_json(F.struct(fn.stable_round(F.col("v"), 1).alias("t"))), v=value) == '{"t":0.0}'
+
+
+@pytest.mark.parametrize("value", [1e9 + 0.25, 1e9 - 0.75, 123456789012.35, -5e10 - 0.05])
+def test_stable_round_has_one_rule_for_all_sizes(spark, value):
+    assert one(spark, fn.stable_round(F.col("v"), 1), v=value) == half_up(value, 1)
+
+
 def test_stable_round_keeps_nan(spark):
     result = one(spark, fn.stable_round(F.col("v"), 1), v=float("nan"))
     assert result != result

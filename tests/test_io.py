@@ -1,6 +1,7 @@
 """Sources, sinks, staging and topic options."""
 
 import glob
+import os
 from unittest import mock
 
 import pytest
@@ -11,8 +12,10 @@ from stationcast.operators import document_messages
 
 def test_files_and_partitions_of_a_table(spark, tmp_path):
     df = spark.range(1000).selectExpr("id", "CAST(id % 3 AS INT) AS part")
-    sinks.write_table(df, str(tmp_path / "a"), files=4)
+    sinks.write_table(df.coalesce(1), str(tmp_path / "a"), max_records=300)
     assert len(glob.glob(str(tmp_path / "a" / "*.snappy.parquet"))) == 4
+    sinks.write_table(df.repartition(8), str(tmp_path / "c"), merge_small=True)
+    assert len(glob.glob(str(tmp_path / "c" / "*.snappy.parquet"))) == 1
     sinks.write_table(df, str(tmp_path / "b"), partition_by=["part"])
     assert len(glob.glob(str(tmp_path / "b" / "part=*" / "*.parquet"))) == 3
     sinks.write_table(df.where("id < 10"), str(tmp_path / "b"), partition_by=["part"])
@@ -63,9 +66,25 @@ def test_staged_tables_lie_in_the_shared_folder_and_have_no_lineage(spark):
 def test_cluster_without_a_shared_folder_is_refused():
     cluster = mock.Mock()
     cluster.conf.get.return_value = None
-    cluster.sparkContext.master = "spark://host:7077"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(cluster)
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]", "yarn"):
+        cluster.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_folder(cluster)
+    for master in ("local", "local[*]", "local[8]"):
+        cluster.sparkContext.master = master
+        assert session.shared_folder(cluster)
+
+
+def test_staged_tables_of_a_job_are_deleted(spark, tmp_path):
+    with session.staging(spark):
+        inner = session.stage(spark.range(3), "numbers")
+        files = [path.removeprefix("file://") for path in inner.inputFiles()]
+        inner.write.parquet(str(tmp_path / "result"))
+        assert all(map(os.path.exists, files)) and files
+    assert not any(map(os.path.exists, files))
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 3
+    outside = session.stage(spark.range(3), "numbers")
+    assert outside.count() == 3
 
 
 class Recorder:
@@ -102,6 +121,8 @@ def test_topic_is_read_from_its_start():
         "startingOffsets": "earliest",
     }
     assert fake.readStream.calls["maxOffsetsPerTrigger"] == 5000
+    with pytest.raises(ValueError, match="max_records"):
+        sources.read_topic(fake, "host:9092", "rentals", max_records=5000)
 
 
 def test_topic_gets_one_value_per_document():

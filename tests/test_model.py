@@ -133,10 +133,10 @@ def test_jobs_from_csv_to_lookup(spark, tmp_path):
         args += [f"--{name.replace('_', '-')}", str(tmp_path / f"{name}.csv")]
 
     ingest.main(["--trips", str(tmp_path / "trips.csv"), *args, "--city", "Chicago",
-                 "--out-trips", t["trips"], "--out-weather", t["weather"], "--files", "3"])
+                 "--out-trips", t["trips"], "--out-weather", t["weather"], "--max-records", "400"])
     stored = spark.read.parquet(t["trips"])
     assert stored.count() == len(trips) and "extra" in stored.columns
-    assert stored.rdd.getNumPartitions() <= 3
+    assert len(stored.inputFiles()) >= 4
     table = spark.read.parquet(t["weather"])
     assert sorted(map(tuple, table.collect()), key=str) == sorted(
         [(r[0], r[1], r[2], r[3], r[4], r[5]) for r in weather], key=str
@@ -170,8 +170,42 @@ def test_jobs_from_csv_to_lookup(spark, tmp_path):
     assert spark.read.text(t["answer"]).count() == len(stations)
 
 
+def test_jobs_with_a_stored_profile(spark, tmp_path):
+    """Trips parsed once, profile in its own table: the same frame, and no trips for a forecast."""
+    t = {n: str(tmp_path / n) for n in ("trips", "stations", "wide", "weather", "old", "model", "documents")}
+    header = ["starttime", "usertype", "from_station_id", "latitude_start", "longitude_start",
+              "dpcapacity_start", "dpcapacity_end"]
+    trips = skewed_trips(900)
+    write_csv(tmp_path / "trips.csv", header, trips)
+    weather = hourly_weather()
+    series = {}
+    for name, at in {"humidity": 1, "pressure": 2, "temperature": 3, "weather_description": 4, "wind_speed": 5}.items():
+        series[name] = str(tmp_path / f"{name}.csv")
+        write_csv(series[name], ["datetime", "Chicago"], [(r[0], r[at]) for r in weather])
+    source = str(tmp_path / "trips.csv")
+    ingest.run(spark, source, series, "Chicago", t["old"], t["weather"])
+    ingest.run(spark, source, series, "Chicago", t["trips"], t["weather"], t["stations"], t["wide"], 100)
+    wide, old = (spark.read.parquet(t[n]) for n in ("wide", "old"))
+    assert sorted(map(str, wide.collect())) == sorted(map(str, old.select(*wide.columns).collect()))
+    years = range(2016, 2017)
+    errors = [
+        train.run(spark, t[n], t["weather"], years, t["model"], handle_invalid="keep", stations=s).first()[0]
+        for n, s in (("trips", t["stations"]), ("old", None))
+    ]
+    assert errors[0] == pytest.approx(errors[1])
+
+    item = {"dt_txt": "2016-07-12 09:00:00", "main": {"temp": -0.04, "pressure": 1000, "humidity": 50},
+            "weather": [{"description": "clear sky"}], "wind": {"speed": 3.5}}
+    (tmp_path / "payload.json").write_text(json.dumps({"list": [item]}))
+    found = predict.documents(spark, str(tmp_path / "payload.json"), years, t["model"], t["stations"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert t["trips"] not in plan and t["wide"] not in plan
+    assert found.count() == len({r[2] for r in trips})
+    assert found.first()["dates"][0]["info"][0]["temperature"] == 0.0
+
+
 def test_predict_needs_one_target():
-    base = ["--trips", "t", "--forecast", "f", "--first-year", "1", "--last-year", "1", "--model", "m"]
+    base = ["--stations", "t", "--forecast", "f", "--first-year", "1", "--last-year", "1", "--model", "m"]
     with pytest.raises(SystemExit):
         predict.main(base)
     with pytest.raises(SystemExit):

@@ -1,5 +1,6 @@
 """Operators on small frames, each quirk on its own."""
 
+import contextlib
 import datetime as dt
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from stationcast import operators as ops
 from stationcast import plans
 from stationcast.operators.weather import WEATHER_PHRASES
+from stationcast.session import stage
 from tests.fixtures import TRIP_SCHEMA, brute_profiles, skewed_trips, trip
 
 
@@ -90,55 +92,105 @@ def test_missing_column_is_named(spark):
 # Joins -----------------------------------------------------------------------------
 
 
-def test_join_beyond_the_bound_is_shuffled_and_equal(spark):
-    rows = skewed_trips()
-    trips = trips_frame(spark, rows)
-    profile = ops.station_profile(trips).persist()
-    small = ops.join_sized(trips, profile, F.col("from_station_id") == F.col("station"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        large = ops.join_sized(
-            trips, profile, F.col("from_station_id") == F.col("station"), max_rows=3
-        )
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-        profile.unpersist()
+def without_broadcast(spark, **more):
+    """Settings of a session that never broadcasts, for the time of a test."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        **more,
+    }
+
+    @contextlib.contextmanager
+    def held():
+        for key, value in names.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key in names:
+                spark.conf.unset(key)
+
+    return held()
+
+
+def test_joins_obey_the_broadcast_threshold(spark):
+    trips = trips_frame(spark, skewed_trips())
+    profile = stage(ops.station_profile(trips), "profile")
+    small = ops.attach_profile(trips, profile)
+    expected = sorted(map(str, small.collect()))
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    with without_broadcast(spark):
+        large = ops.attach_profile(trips, profile)
+        assert sorted(map(str, large.collect())) == expected
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
 def test_hot_station_is_split_in_the_shuffled_join(spark):
     """With small thresholds the partition of the hot key is read by several tasks."""
     settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
     }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
+    with without_broadcast(spark, **settings):
+        station = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("string")
         trips = spark.range(0, 60000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("string").alias("s"),
+            station.alias("from_station_id"),
             F.sha2(F.col("id").cast("string"), 256).alias("payload"),
         )
         profile = spark.range(500).select(F.col("id").cast("string").alias("station"))
-        joined = ops.join_sized(trips, profile, F.col("s") == F.col("station"), max_rows=3)
+        joined = ops.attach_profile(trips, profile)
         assert len(joined.collect()) == 60000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
 
 
 def test_replicate_join_pairs_everything_once(spark):
     many = spark.range(101).select(F.col("id").alias("a"))
     few = spark.range(7).select(F.col("id").alias("b"))
-    got = ops.replicate_join(many, few, ["a"]).collect()
-    assert sorted((r["a"], r["b"]) for r in got) == [(a, b) for a in range(101) for b in range(7)]
+    for buckets in (1, 5, 64):
+        got = ops.replicate_join(many, few, ["a"], buckets).collect()
+        pairs = sorted((r["a"], r["b"]) for r in got)
+        assert pairs == [(a, b) for a in range(101) for b in range(7)]
+
+
+def test_replicate_join_keeps_the_stations_partitioned(spark):
+    """No side is broadcast, and the copies do not follow the shuffle partitions."""
+    many = spark.range(101).select(F.col("id").alias("a"))
+    few = spark.range(7).select(F.col("id").alias("b"))
+    spark.conf.set("spark.sql.shuffle.partitions", "333")
+    try:
+        joined = ops.replicate_join(many, few, ["a"], buckets=5)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        parts = joined.select(F.spark_partition_id().alias("p"), "a").distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "Broadcast" not in plan
+    assert len(parts) == 101 and len({r["p"] for r in parts}) <= 5
+
+
+def test_grid_counts_repeated_stations_once(spark):
+    row = ("7", "1", "2", 15.0, 11.0, 3, 4)
+    stations = spark.createDataFrame(
+        [row] * 3,
+        "from_station_id string, latitude string, longitude string, mean_dpcapacity_start double, "
+        "mean_dpcapacity_end double, sum_subscriber bigint, sum_customer bigint",
+    )
+    forecast = spark.createDataFrame([("2019-07-03 00:00:00", 1.0)], "datetime string, humidity double")
+    assert ops.scoring_grid(stations, forecast).count() == 1
+
+
+def test_profile_of_the_tally_equals_the_profile(spark):
+    rows = skewed_trips() + [
+        trip("2016-07-01 00:00:00", station=None),
+        trip("bad", station="9", cap="x", cap_end=None),
+        trip(None, station="99"),
+    ]
+    flagged = trips_frame(spark, rows)
+    expected = ops.station_profile(flagged)
+    got = ops.profile_of_tally(ops.trip_tally(flagged))
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
 # Weather ---------------------------------------------------------------------------
@@ -154,6 +206,16 @@ def test_every_phrase_has_its_category(spark):
     assert wrong == ["Ash volcanic ash"]
 
 
+def test_repeated_phrases_do_not_multiply_rows(spark):
+    vocabulary = spark.createDataFrame(
+        [("fog", "B", False), ("fog", "A", False), ("fog", "0", True)],
+        "phrase string, category string, case_sensitive boolean",
+    )
+    df = spark.createDataFrame([("FOG",), ("sun",)], "weather_description string")
+    rows = ops.classify_weather(df, vocabulary).collect()
+    assert sorted(r["weather_condition"] for r in rows) == ["A", "Clouds"]
+
+
 @pytest.mark.parametrize(
     ("text", "category"),
     [
@@ -246,6 +308,19 @@ def test_rules_that_start_later_or_skip_years(spark):
     assert {r["y"] for r in dates.collect()} == {2013, 2019}
 
 
+def test_rules_of_another_region(spark):
+    rules = ops.HolidayRules(
+        fixed=(("Midsummer", 6, 24, 2000, True),), by_weekday=(("Market", 9, "SUN", -1, 1, 2010, 2),)
+    )
+    rows = ops.holiday_calendar(spark, range(2009, 2013), rules).collect()
+    found = {(r["date"].isoformat(), r["name"]) for r in rows}
+    assert found == {
+        ("2009-06-24", "Midsummer"), ("2010-06-24", "Midsummer"), ("2011-06-24", "Midsummer"),
+        ("2012-06-24", "Midsummer"), ("2012-06-25", "Midsummer (Observed)"),
+        ("2010-09-27", "Market"), ("2012-10-01", "Market"),
+    }
+
+
 def test_calendar_needs_a_year(spark):
     with pytest.raises(ValueError, match="year"):
         ops.holiday_calendar(spark, [])

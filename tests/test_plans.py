@@ -3,12 +3,14 @@
 import datetime as dt
 import json
 import random
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
 
 from stationcast import operators as ops
 from stationcast import plans, sources
+from stationcast.plans import features
 from stationcast.schemas import MEASURES, STATION_COLUMNS
 from tests.fixtures import (
     TRIP_SCHEMA,
@@ -268,6 +270,32 @@ def test_forecast_file_takes_the_first_weather_entry(spark, tmp_path):
     assert sources.parse_forecast(texts).count() == 1
 
 
+def scans(df):
+    """Reads of files in the plan."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_trips_are_read_once(spark, holidays, tmp_path):
+    """The tally is the only pass over the trips; the target reads its detail once."""
+    spark.createDataFrame(skewed_trips(300), TRIP_SCHEMA).write.parquet(str(tmp_path / "trips"))
+    flagged = ops.usertype_flags(spark.read.parquet(str(tmp_path / "trips")))
+    weather = spark.createDataFrame(hourly_weather(), WEATHER_SCHEMA)
+    assert scans(ops.trip_tally(flagged)) == 1
+    with mock.patch.object(features, "stage", wraps=features.stage) as staged:
+        frame = plans.training_frame_from_trips(flagged, weather, holidays)
+    assert staged.call_count == 1
+    assert all("/trips/" not in path for path in frame.inputFiles())
+    old = plans.training_frame(flagged, weather, holidays, profile=ops.station_profile(flagged))
+    assert as_text(frame) == as_text(old)
+
+    wide = ops.join_hourly_weather(sources.trip_columns(plans.ingest_trips(flagged)), weather)
+    detail = ops.calendar_features(wide, holidays)
+    assert scans(ops.target_frame(detail)) == scans(detail)
+    assert as_text(ops.target_frame(detail)) == as_text(
+        ops.target_frame(detail, ops.modal_weather(detail))
+    )
+
+
 def test_station_columns_are_what_the_trip_table_offers(spark):
     ingested = plans.ingest_trips(spark.createDataFrame(skewed_trips(300), TRIP_SCHEMA))
     assert sources.trip_columns(ingested).columns == ["starttime", *STATION_COLUMNS, "starttime_join"]
