@@ -4,7 +4,7 @@ Documents are counted once into cells of source, language and topic. Iterative p
 fitting then rakes the cells' token weights to the target share of every source, language and
 topic: each margin keeps one factor per value, and a step divides a target by the weight that the
 other margins' factors give its value. The cells are a table like any other: a step is a combining
-aggregate over them, and only the factors of a round are written down.
+aggregate over them, and only its factors are written down.
 
 A document is kept with the probability of its cell, which a number drawn from its id decides.
 """
@@ -70,7 +70,7 @@ def _weight(names: list[str]) -> Column:
     return functools.reduce(operator.mul, [F.col("tokens"), *[F.col(f"of_{n}") for n in names]])
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12) -> DataFrame:
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 8) -> DataFrame:
     """``cells`` with ``weight``: their tokens times one factor per margin value.
 
     ``targets`` has a table of ``value`` and ``share`` for each margin. After ``rounds`` rounds
@@ -96,17 +96,10 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12) -
                 .agg(F.sum(_weight(others)).alias("held"))
             )
             goal = goals.where(F.col("margin") == m)
-            factors[m] = (
-                goal.join(sums, F.col("value").eqNullSafe(F.col("_value")))
-                .where("held > 0")
-                .select("value", (F.col("share") / F.col("held")).alias("factor"))
+            scaled = goal.join(sums, F.col("value").eqNullSafe(F.col("_value"))).where("held > 0")
+            factors[m] = stage(
+                scaled.select("value", (F.col("share") / F.col("held")).alias("factor")), "factors"
             )
-        stored = functools.reduce(
-            DataFrame.unionByName,
-            [factors[m].select(F.lit(m).alias("margin"), "value", "factor") for m in margins],
-        )
-        stored = stage(stored, "factors")
-        factors = {m: stored.where(F.col("margin") == m).select("value", "factor") for m in margins}
     return (
         _with_factors(cells, factors, margins)
         .withColumn("weight", _weight(margins))
@@ -152,7 +145,7 @@ def mix(
     powers: Mapping[str, float],
     budget_share: float,
     seed: int = 1,
-    rounds: int = 12,
+    rounds: int = 8,
 ) -> DataFrame:
     """``facts`` with ``probability`` and ``sampled``.
 
@@ -186,7 +179,7 @@ def mix(
 # Production parameters of the query and of the pipeline's stage.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 BUDGET = 0.8
-ROUNDS = 12
+ROUNDS = 8
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

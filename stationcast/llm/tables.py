@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Text handled at once inside a task; one longer text makes a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def reachable(spark: SparkSession) -> None:

@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from stationcast.llm import bpe
+from stationcast.llm import bpe, mixing
 from tests.llm.fixtures import awkward_rows, frame, plain_rows
 from tests.llm.test_line_dedup import expected_texts
 from tests.llm.test_near_dups import groups, shingles
@@ -12,6 +12,11 @@ SF = "/root/testdata/sf0.001"
 STAGES = dict(corpus_pipeline.STAGES)
 
 
+@pytest.fixture(autouse=True)
+def few_rounds(monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 1)
+
+
 @pytest.mark.parametrize("name", list(STAGES)[:-1])
 def test_stage_keeps_the_columns(spark, name):
     for rows, clash in ((awkward_rows(), True), ([], False), (plain_rows(9), False)):
