@@ -7,8 +7,8 @@
    two other places, chosen by its path, so classes that only share a frequent passage soon part.
 3. In a leaf, every class is compared with all others by signature inside the task. What goes on
    is, per class, the most similar partner that can reach the threshold, and with which other
-   classes of the leaf it can still be linked. Members of large nodes are also compared with
-   their node's first class.
+   classes of the leaf it can still be linked. Nodes that stay large to the end hold classes
+   alike almost everywhere; their members are compared with the node's first class.
 4. These partners are confirmed on the full sets, which connects most of each group. Then the
    leaves that still hold classes of several components compare these on their full sets, and
    return links that connect components, not all pairs. In nodes that stay large to the end, the
@@ -34,6 +34,10 @@ from stationcast.llm.tables import documents, id_text, map_slices
 from stationcast.session import stage
 
 
+# Cells of a table of sets and elements at most.
+CELLS = 1 << 20
+
+
 @dataclass(frozen=True)
 class Join:
     """Parameters. ``percent``: linked if 100 * intersection >= percent * union.
@@ -141,6 +145,10 @@ def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, D
     leaves = spark.createDataFrame([], "members array<long>")
     partners = spark.createDataFrame([], "class long, partner long, equal int")
     for level in range(join.depth + 1):
+        if level:
+            rows = rows.select(
+                "class", "n", "signature", F.explode(_children("path", level, join)).alias("path")
+            )
         nodes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         rows = stage(rows.join(stage(nodes, "nodes"), "path"), "paths")
         small = rows.where(F.col("held") <= join.leaf).groupBy("path")
@@ -150,19 +158,15 @@ def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, D
             return leaves, partners, classes.limit(0).withColumn("path", F.lit(0))
         if level == 0:
             rows = stage(rows.join(classes, "class"), "large")
-        firsts = rows.groupBy("path").agg(F.min(F.struct("class", "n", "signature")).alias("first"))
-        met = (
-            rows.join(stage(firsts, "firsts"), "path")
-            .where("class != first.class")
-            .withColumn("equal", _equal_places("signature", "first.signature"))
-            .where(_alike(join))
-        )
-        partners = partners.union(met.select("class", F.col("first.class"), "equal"))
-        if level < join.depth:
-            rows = rows.select(
-                "class", "n", "signature", F.explode(_children("path", level, join)).alias("path")
-            )
-    return leaves, partners, rows
+    # These nodes hold classes alike almost everywhere: their first class stands for them.
+    first = F.min(F.struct("class", "n", "signature")).alias("first")
+    met = (
+        rows.join(stage(rows.groupBy("path").agg(first), "firsts"), "path")
+        .where("class != first.class")
+        .withColumn("equal", _equal_places("signature", "first.signature"))
+        .where(_alike(join))
+    )
+    return leaves, met.select("class", F.col("first.class").alias("partner"), "equal"), rows
 
 
 _MEMBER = "class long, n long, signature array<int>, component long"
@@ -247,11 +251,36 @@ def confirmed(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
     return map_slices(pairs.join(first, "a").join(second, "b"), confirm, "a long, b long")
 
 
+def _link_table(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of some sets are linked with which, all compared at once.
+
+    Elements of several sets become columns of a table of ones; its product with itself counts
+    what two sets share. Columns come in blocks, so the table stays small.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    column = np.cumsum(np.concatenate([[0], values[1:] != values[:-1]])) if len(values) else owner
+    common = np.bincount(column, minlength=1) > 1
+    owner, column = owner[common[column]], (np.cumsum(common) - 1)[column[common[column]]]
+    shared = np.zeros((len(sets), len(sets)), np.int64)
+    step = max(1, CELLS // max(1, len(sets)))
+    for start in range(0, int(common.sum()), step):
+        a, b = np.searchsorted(column, [start, start + step])
+        table = np.zeros((len(sets), min(step, int(common.sum()) - start)), np.float32)
+        table[owner[a:b], column[a:b] - start] = 1
+        shared += (table @ table.T).astype(np.int64)
+    united = sizes[:, None] + sizes[None, :] - shared
+    return (shared > 0) & (100 * shared >= percent * united)
+
+
 def _links_in_nodes(rows: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
     """Links on full sets between the components that meet in a ``node``.
 
-    A pair is looked at only while its classes are in different components, so a node returns
-    fewer links than it has members.
+    Only links of classes that are in different components by then are returned, fewer than the
+    node has members.
     """
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,12 +290,12 @@ def _links_in_nodes(rows: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
                 rows = sorted(members.as_py(), key=lambda m: m["class"])
                 sets, _, _ = shingle_sets([m["text"].encode() for m in rows], join.shingle)
                 parts = np.array([m["component"] for m in rows])
-                for i in range(len(rows)):
-                    for j in range(i):
-                        if parts[i] != parts[j] and _linked(sets[i], sets[j], join.percent):
-                            left.append(rows[j]["class"])
-                            right.append(rows[i]["class"])
-                            parts[parts == parts[i]] = parts[j]
+                linked = np.argwhere(np.triu(_link_table(sets, join.percent), 1))
+                for i, j in linked[parts[linked[:, 0]] != parts[linked[:, 1]]].tolist():
+                    if parts[i] != parts[j]:
+                        left.append(rows[i]["class"])
+                        right.append(rows[j]["class"])
+                        parts[parts == parts[j]] = parts[i]
             yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     # The text comes to a node once per member; its batches are as long as a few nodes.

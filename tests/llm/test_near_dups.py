@@ -3,6 +3,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 
 from stationcast.llm import near_dups
@@ -125,6 +126,19 @@ def test_large_nodes_are_compared_in_blocks(spark):
     assert found[30] == 7
 
 
+def test_table_of_links_equals_single_comparisons(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(40)]
+    for cells in (1 << 20, 200):
+        monkeypatch.setattr(near_dups, "CELLS", cells)
+        table = near_dups._link_table(sets, 40)
+        for i in range(len(sets)):
+            for j in range(i):
+                assert table[i, j] == near_dups._linked(sets[i], sets[j], 40)
+    assert near_dups._link_table([], 40).shape == (0, 0)
+    assert not near_dups._link_table([np.zeros(0, np.uint64)] * 2, 40).any()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, k) for k in range(200, 260)]
