@@ -55,8 +55,8 @@ def flattened(cells: DataFrame, margin: str, power: float) -> DataFrame:
     """Target shares of a margin: its token shares raised to ``power`` and made to add to one."""
     sums = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("tokens").cast("double").alias("tokens"))
     raised = sums.select("value", F.pow("tokens", F.lit(power)).alias("share"))
-    total = raised.agg(F.sum("share").alias("total"))
-    return raised.crossJoin(F.broadcast(total)).select("value", (F.col("share") / F.col("total")).alias("share"))
+    total = raised.agg(F.sum("share")).first()[0] or 1.0
+    return raised.select("value", (F.col("share") / F.lit(total)).alias("share"))
 
 
 def _with_factors(cells: DataFrame, factors: Mapping[str, DataFrame], names: list[str]) -> DataFrame:
