@@ -342,7 +342,7 @@ def rental_rmse(spark: SparkSession, sf: str) -> DataFrame:
     mean = train.agg(F.avg(ml.LABEL)).first()[0]
     constant = plans.rmse(test.withColumn("prediction", F.lit(mean))).first()[0]
     return error.select(
-        F.lit(test.count()).alias("test_rows"),
+        F.lit(test.count()).cast("bigint").alias("test_rows"),
         F.round(F.lit(constant), 6).alias("rmse_of_mean"),
         (F.col("rmse") < F.lit(constant)).alias("model_is_better"),
     )
