@@ -17,6 +17,8 @@ from stationcast.llm.shingles import SPACES, span_hashes
 
 # Chunks a process remembers before it starts again; only speed depends on it.
 REMEMBERED = 1_500_000
+# Ids it remembers at most, for each of these chunks.
+IDS_PER_CHUNK = 8
 # Longer chunks are coded each time.
 LONGEST = 1 << 10
 
@@ -104,7 +106,7 @@ class ChunkCoder:
             return [raw[a:b].decode() for a, b in pairs]
 
         raw = data.tobytes()
-        if len(self.keys) > self.remembered:
+        if len(self.keys) > self.remembered or self.used > IDS_PER_CHUNK * self.remembered:
             self._forget()
         first, counts = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
         long = ends - starts > LONGEST

@@ -15,6 +15,7 @@ coded tokens. Nothing is held in memory beyond a segment and a batch of text.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -243,6 +244,23 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, files: in
     stored.write.option("compression", "zstd").parquet(folder)
 
 
+def _stored_documents(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """For each segment: the columns that place its documents, their bounds, and all ids."""
+    rows = zip(*(batch.column(n).to_pylist() for n in ("part", "segment", "data")), strict=True)
+    for part, segment, data in rows:
+        doc_ids, counts, ids = read_segment(data)
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        yield {
+            "part": np.full(len(doc_ids), part, np.int32),
+            "segment": np.full(len(doc_ids), segment, np.int64),
+            "doc_id": doc_ids,
+            "offset": bounds[:-1],
+        }, bounds, ids
+
+
+_PLACES = "part int, segment long, doc_id long, offset long"
+
+
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of a token file: its place in the order, and its ids.
 
@@ -252,25 +270,12 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
     def documents_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                doc_ids, counts, ids = read_segment(batch.column("data")[row].as_py())
-                bounds = np.concatenate([[0], np.cumsum(counts)])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "part": pa.array(np.full(len(doc_ids), batch.column("part")[row].as_py(), np.int32)),
-                        "segment": pa.array(np.full(len(doc_ids), batch.column("segment")[row].as_py())),
-                        "doc_id": pa.array(doc_ids),
-                        "offset": pa.array(bounds[:-1]),
-                        "token_ids": pa.ListArray.from_arrays(
-                            pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int64))
-                        ),
-                    }
-                )
+            for places, bounds, ids in _stored_documents(batch):
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int64)))
+                yield pa.RecordBatch.from_pydict({**places, "token_ids": lists})
 
     stored = spark.read.parquet(folder).select("part", "segment", "data")
-    return stored.mapInArrow(
-        documents_of, "part int, segment long, doc_id long, offset long, token_ids array<long>"
-    )
+    return stored.mapInArrow(documents_of, f"{_PLACES}, token_ids array<long>")
 
 
 def segment_starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -296,25 +301,20 @@ def segment_starts(spark: SparkSession, folder: str) -> DataFrame:
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of a token file: where its ids start, how many, and their crc32.
 
-    The ids are read back and summed up segment by segment.
+    The segments are read back, and only the sums of a document's ids leave the task.
     """
 
-    @F.arrow_udf("long")
-    def crc(rows: pa.Array) -> pa.Array:
-        ids = rows.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        bounds = rows.offsets.to_numpy(zero_copy_only=False)
-        bounds = bounds - (bounds[0] if len(bounds) else 0)
-        pairs = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
-        return pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in pairs], pa.int64())
-
-    read = read_tokens(spark, folder).select(
-        "part",
-        "segment",
-        "doc_id",
-        "offset",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        crc("token_ids").alias("ids_crc32"),
-    )
+    def sums_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for places, bounds, ids in _stored_documents(batch):
+                raw, edges = ids.astype("<u4"), bounds.tolist()
+                sums = [zlib.crc32(raw[a:b]) for a, b in itertools.pairwise(edges)]
+                yield pa.RecordBatch.from_pydict(
+                    {**places, "n_tokens": np.diff(bounds), "ids_crc32": np.array(sums, np.int64)}
+                )
+
+    stored = spark.read.parquet(folder).select("part", "segment", "data")
+    read = stored.mapInArrow(sums_of, f"{_PLACES}, n_tokens long, ids_crc32 long")
     return read.join(segment_starts(spark, folder), ["part", "segment"]).select(
         "doc_id",
         (F.col("segment_start") + F.col("offset")).alias("start"),

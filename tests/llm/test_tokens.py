@@ -124,6 +124,9 @@ def test_token_file(spark, library, monkeypatch, segment):
         expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == expected
+    whole = {r.doc_id: r for r in simple8b.read_tokens(spark, folder).collect()}
+    for doc_id, text, *_ in rows:
+        assert whole[doc_id].token_ids == [*library.encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def test_token_file_of_nothing_and_of_missing_ids(spark):
