@@ -37,13 +37,15 @@ class Training:
     """``per_language`` bounds the documents whose vectors are clustered, for each language.
 
     ``reject_share``: a text is rejected if its cosine is below this share of the lowest one
-    among the language's sample texts of about its length.
+    among the language's sample texts of about its length. Texts of fewer than ``reject_from``
+    grams (about two a letter) are too short to tell and not rejected.
     """
 
     per_language: int = 500
     centroids: int = 4
     iterations: int = 10
     reject_share: float = 0.4
+    reject_from: int = 100
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,7 @@ class Model:
     centroids: np.ndarray
     weights: np.ndarray
     lowest: np.ndarray
+    reject_from: int
 
 
 def gram_counts(texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
@@ -202,6 +205,7 @@ def train(docs: DataFrame, training: Training = Training()) -> Model:
         weights=weights,
         lowest=np.array([list(x) for x in found["lowest"]]).reshape(len(found), BINS)
         * training.reject_share,
+        reject_from=training.reject_from,
     )
 
 
@@ -211,7 +215,7 @@ def identify(docs: DataFrame, model: Model, prefix: str = "lang") -> DataFrame:
     The score is the cosine with the nearest centroid. A text that is null or has no letter is
     ``und`` with score 0 and rejected; so is every text if no language was learned. Otherwise the
     prediction is a learned language, ties going to the first, and ``rejected`` tells that the
-    text is too far from it. Nothing but the whole text is looked at; rows and other columns
+    text is long enough to judge and too far from it. Nothing but the whole text is looked at; rows and other columns
     pass through.
     """
 
@@ -224,7 +228,8 @@ def identify(docs: DataFrame, model: Model, prefix: str = "lang") -> DataFrame:
             here = slice(first, first + len(counts))
             best[here] = own
             score[here] = cosines[np.arange(len(own)), own].clip(0, 1)
-            rejected[here] = score[here] < model.lowest[own, _length_bin(counts)]
+            far = score[here] < model.lowest[own, _length_bin(counts)]
+            rejected[here] = far & (counts.sum(axis=1) >= model.reject_from)
         return best, score, rejected
 
     languages = pa.array([*model.languages, UNKNOWN], pa.string())

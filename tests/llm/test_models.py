@@ -52,6 +52,8 @@ def test_awkward_languages(spark, model):
         else:
             assert r.found_pred in model.languages and 0 <= r.found_score <= 1
     assert lang_id.identify(frame(spark, []), model).count() == 0
+    short = frame(spark, [(1, "жук", None, None, None)])
+    assert not lang_id.identify(short, model).first().lang_rejected
     strange = frame(spark, [(1, "жукови тримають щось зовсім інше " * 20, None, None, None)])
     assert lang_id.identify(strange, model).first().lang_rejected
 
