@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.llm import bpe, lang_id, line_dedup, mixing, near_dups
-from stationcast.llm.tables import documents, reachable
+from stationcast.llm.tables import documents, prepare
 from stationcast.session import stage
 
 NEAR = near_dups.Join(percent=80)
@@ -21,7 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Those are null texts, texts without a letter, and texts far from every learned language.
     """
-    reachable(spark)
+    prepare(spark)
     found = lang_id.identify(docs, lang_id.train(docs), prefix="__lang")
     return found.where(~F.col("__lang_rejected")).select(*_columns(docs))
 
@@ -36,7 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near duplicates, and rows without an id."""
-    reachable(spark)
+    prepare(spark)
     groups = stage(near_dups.near_duplicates(docs, NEAR), "groups")
     left_out = groups.where(~F.col("kept")).select("doc_id")
     return docs.join(left_out, "doc_id", "left_anti").select(*_columns(docs))
@@ -61,7 +61,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and checksums of the ids and the decoded text."""
-    reachable(spark)
+    prepare(spark)
     return bpe.digests(docs, bpe.vocabulary(), keep_ids=True)
 
 

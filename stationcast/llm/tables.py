@@ -14,11 +14,23 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 2 << 20
 
 
-def reachable(spark: SparkSession) -> None:
-    """Let Python workers that see this folder import the package from it.
+# Rows and bytes of the batches that Spark hands to Python: texts and lists of texts are long.
+ARROW = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20,
+}
 
-    On a cluster whose machines do not, ship the package with ``--py-files`` as usual.
+
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package from it, and bound batches.
+
+    On a cluster whose machines do not see it, ship the package with ``--py-files`` as usual.
+    Batch sizes of the session are lowered to ``ARROW`` where they are larger.
     """
+    for key, most in ARROW.items():
+        held = spark.conf.get(key).removesuffix("b")
+        if held.isdecimal() and int(held) > most:
+            spark.conf.set(key, str(most))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
@@ -26,7 +38,7 @@ def reachable(spark: SparkSession) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reachable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
