@@ -52,10 +52,10 @@ class Join:
     percent: int = 80
     shingle: int = 5
     places: int = 64
-    trees: int = 16
-    leaf: int = 64
+    trees: int = 10
+    leaf: int = 256
     depth: int = 8
-    twice: int = 25
+    twice: int = 20
     slack: float = 5.0
 
     @property
