@@ -10,6 +10,7 @@ merged together, one root each per step; a few long ones get a tree each.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 from collections.abc import Callable, Iterator
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationcast.llm.chunks import ChunkCoder
-from stationcast.llm.tables import documents, id_text, slices
+from stationcast.llm.tables import documents, id_text, map_slices, slices
 
 # Fixed value: where the pre-tokeniser of the vocabulary cuts a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -306,13 +307,29 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id``, ``token_ids`` and the ``text`` these decode to, for every whole text.
+
+    As ``encode`` and then ``decode``, in one Python task instead of two side by side.
+    """
+
+    def both(batch: pa.RecordBatch) -> dict:
+        bpe = load(path)
+        flat, bounds = bpe.coder.encode(batch.column("text"))
+        listed, edges = flat.tolist(), bounds.tolist()
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32)))
+        texts = [bpe.decode(listed[a:b]) for a, b in itertools.pairwise(edges)]
+        return {"doc_id": batch.column("doc_id"), "token_ids": lists, "text": pa.array(texts, pa.string())}
+
+    return map_slices(id_text(docs), both, "doc_id long, token_ids array<int>, text string")
+
+
 def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """Per document the number of ids, and checksums of the ids and of what they decode to.
 
     ``keep_ids`` adds the ids themselves as ``token_ids``.
     """
-    coded = encode(id_text(docs), path).select("doc_id", "token_ids")
-    return decode(coded, path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ",").cast("binary"), 256).alias("ids_sha256"),

@@ -16,7 +16,7 @@ import pyarrow as pa
 from stationcast.llm.shingles import SPACES, span_hashes
 
 # Chunks a process remembers before it starts again; only speed depends on it.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 # Ids it remembers at most, for each of these chunks.
 IDS_PER_CHUNK = 8
 # Longer chunks are coded each time.
