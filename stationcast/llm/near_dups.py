@@ -43,9 +43,8 @@ class Join:
     """Parameters. ``percent``: linked if 100 * intersection >= percent * union.
 
     A pair at the threshold shares a place of the signature with probability percent/100. A node
-    branches by a second place in ``twice`` percent of cases, about as often as a pair is lost by
-    the first, so a tree finds it with similar odds at any depth, and ``trees`` repeats make it
-    all but certain. ``slack`` is how many standard deviations fewer equal places than expected
+    branches by a second place in ``twice`` percent of cases, which makes up for part of the pairs
+    that the first loses, and ``trees`` repeats make a find all but certain. ``slack`` is how many standard deviations fewer equal places than expected
     still count as a candidate.
     """
 
@@ -53,9 +52,9 @@ class Join:
     shingle: int = 5
     places: int = 64
     trees: int = 10
-    leaf: int = 256
+    leaf: int = 768
     depth: int = 8
-    twice: int = 20
+    twice: int = 10
     slack: float = 5.0
 
     @property
@@ -146,9 +145,8 @@ def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, D
     partners = spark.createDataFrame([], "class long, partner long, equal int")
     for level in range(join.depth + 1):
         if level:
-            rows = rows.select(
-                "class", "n", "signature", F.explode(_children("path", level, join)).alias("path")
-            )
+            child = F.explode(_children("path", level, join)).alias("path")
+            rows = stage(rows.select("class", "n", "signature", child), "children")
         nodes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         rows = stage(rows.join(stage(nodes, "nodes"), "path"), "paths")
         small = rows.where(F.col("held") <= join.leaf).groupBy("path")
