@@ -13,7 +13,7 @@ from stationcast import plans, sinks, sources, streaming
 from stationcast.catalog import adapters
 from stationcast.functions import hour_bucket, keyed_share
 from stationcast.plans import model as ml
-from stationcast.schemas import MEASURES, SLOT_KEYS, STATION_COLUMNS
+from stationcast.schemas import SLOT_KEYS, STATION_COLUMNS
 from stationcast.session import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
