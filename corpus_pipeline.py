@@ -38,7 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the first document of each group of near duplicates, and rows without an id."""
     prepare(spark)
     groups = stage(near_dups.near_duplicates(docs, NEAR), "groups")
-    left_out = groups.where(~F.col("kept")).select("doc_id")
+    # Stored by itself, so that its own size decides whether the texts are shuffled for it.
+    left_out = stage(groups.where(~F.col("kept")).select("doc_id"), "left-out")
     return docs.join(left_out, "doc_id", "left_anti").select(*_columns(docs))
 
 
