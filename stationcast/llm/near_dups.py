@@ -4,7 +4,8 @@
    values. Documents with equal sets are one class; classes are compared, not copies.
 2. Independent trees start from one signature place each: classes that share the minwise value
    there share a node. A node with more classes than a leaf may hold branches again by one or
-   two other places, chosen by its path, so classes that only share a frequent passage soon part.
+   more other places, chosen by its path, so classes that only share a frequent passage soon
+   part. Each branching makes up for the pairs it parts, see ``Join``.
 3. In a leaf, every class is compared with all others by signature inside the task. What goes on
    is, per class, the most similar partner that can reach the threshold, and with which other
    classes of the leaf it can still be linked. Nodes that stay large to the end hold classes
@@ -19,7 +20,9 @@ No step holds a group of copies in one task or lists the pairs of a group.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,27 +45,58 @@ CELLS = 1 << 20
 class Join:
     """Parameters. ``percent``: linked if 100 * intersection >= percent * union.
 
-    A pair at the threshold shares a place of the signature with probability percent/100. A node
-    branches by a second place in ``twice`` percent of cases, which makes up for part of the pairs
-    that the first loses, and ``trees`` repeats make a find all but certain. ``slack`` is how many standard deviations fewer equal places than expected
-    still count as a candidate.
+    A pair at the threshold shares a place of the signature with probability p = percent/100. A
+    node branches by 1/p places on average (``branching``, in hundredths), so that a branching
+    keeps as many meetings of such a pair as it parts, and a tree finds it with similar odds at
+    any depth. There are as many ``trees`` as let at most a share ``missed`` of the pairs at the
+    threshold meet in none, even if every node branches ``depth`` times. ``slack`` is how many
+    standard deviations fewer equal places than expected still count as a candidate.
     """
 
     percent: int = 80
     shingle: int = 5
     places: int = 64
-    trees: int = 10
+    missed: float = 0.001
     leaf: int = 768
     depth: int = 8
-    twice: int = 10
     slack: float = 5.0
 
+    @property
+    def branching(self) -> int:
+        return -(-10000 // self.percent)
+
+    @property
+    def trees(self) -> int:
+        return _trees(self)
+
     @property
     def least_equal(self) -> int:
         p = self.percent / 100
         return max(1, int(self.places * p - self.slack * (self.places * p * (1 - p)) ** 0.5))
 
 
+@functools.lru_cache
+def _trees(join: Join) -> int:
+    """The fewest trees of ``join.depth`` branchings that miss no more than ``join.missed``.
+
+    A pair at the threshold has k of its places equal with the odds of a binomial draw, and in
+    every tree meets at a place with chance k of ``join.places``.
+    """
+    p, whole, rest = join.percent / 100, join.branching // 100, join.branching % 100 / 100
+    odds, lost = [], []
+    for k in range(join.least_equal, join.places + 1):
+        odds.append(math.comb(join.places, k) * p**k * (1 - p) ** (join.places - k))
+        share, below = k / join.places, 0.0
+        for _ in range(join.depth):
+            one = 1 - share + share * below
+            below = one**whole * (1 - rest + rest * one)
+        lost.append(1 - share + share * below)
+    trees = 1
+    while sum(o * q**trees for o, q in zip(odds, lost, strict=True)) > join.missed * sum(odds):
+        trees += 1
+    return trees
+
+
 def _multipliers(count: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -117,13 +151,18 @@ def _branch(path: Column, place: Column) -> Column:
 
 
 def _children(path: str, level: int, join: Join) -> Column:
-    """The one or two nodes that a row of a large node goes to."""
-    first, second, chance = (
-        F.pmod(F.xxhash64(path, F.lit(3 * level + k)), F.lit(n)).cast("int")
-        for k, n in ((0, join.places), (1, join.places), (2, 100))
+    """The nodes that a row of a large node goes to: as many as ``join.branching`` on average."""
+    first, chance = (
+        F.pmod(F.xxhash64(path, F.lit(2 * level + k)), F.lit(n)).cast("int")
+        for k, n in ((0, join.places), (1, 100))
     )
-    one, two = _branch(F.col(path), first), _branch(F.col(path), second)
-    return F.when((chance < join.twice) & (first != second), F.array(one, two)).otherwise(F.array(one))
+    whole, rest = divmod(join.branching, 100)
+    # Places side by side are as independent as any, and never the same one twice.
+    nodes = [
+        _branch(F.col(path), F.pmod(first + F.lit(k), F.lit(join.places)).cast("int"))
+        for k in range(min(whole + 1, join.places))
+    ]
+    return F.when(chance < rest, F.array(*nodes)).otherwise(F.array(*nodes[:whole]))
 
 
 def _alike(join: Join) -> Column:
@@ -138,7 +177,7 @@ def _equal_places(a: str, b: str) -> Column:
 
 def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Leaves (``members``), partners from large nodes, and rows of the nodes left large."""
-    roots = F.array(*[_branch(F.lit(-1 - k), F.lit(k)) for k in range(join.trees)])
+    roots = F.array(*[_branch(F.lit(-1 - k), F.lit(k % join.places)) for k in range(join.trees)])
     rows = classes.select("class", F.explode(roots).alias("path"))
     spark = classes.sparkSession
     leaves = spark.createDataFrame([], "members array<long>")

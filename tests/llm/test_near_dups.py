@@ -126,6 +126,22 @@ def test_large_nodes_are_compared_in_blocks(spark):
     assert found[30] == 7
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_at_the_threshold_meet_at_full_depth(spark, percent):
+    """Every node branches as often as ``depth`` allows, and yet hardly a pair meets in no tree."""
+    rng = np.random.default_rng(7)
+    join, pairs = near_dups.Join(percent=percent, leaf=1), 500
+    first = rng.integers(0, 1 << 30, (pairs, join.places))
+    other = np.where(rng.random(first.shape) < percent / 100, first, rng.integers(0, 1 << 30, first.shape))
+    rows = [(2 * i + k, 100, s[i].tolist()) for i in range(pairs) for k, s in enumerate((first, other))]
+    classes = spark.createDataFrame(rows, "class long, n long, signature array<int>")
+    _, _, large = near_dups._tree_nodes(classes, join)
+    nodes = collections.defaultdict(set)
+    for r in large.select("path", "class").collect():
+        nodes[r.path].add(r["class"] // 2)
+    assert len({i for held in nodes.values() for i in held}) >= 0.994 * pairs
+
+
 def test_table_of_links_equals_single_comparisons(monkeypatch):
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(40)]
