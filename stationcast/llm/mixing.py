@@ -6,7 +6,10 @@ topic: each margin keeps one factor per value, and a step divides a target by th
 other margins' factors give its value. The cells are a table like any other: a step is a combining
 aggregate over them, and only its factors are written down.
 
-A document is kept with the probability of its cell, which a number drawn from its id decides.
+A document is kept with the probability of its cell, which a number drawn from its id decides. A
+probability ends at one, so a large budget keeps less of the raised values than their targets say;
+``repeated`` sampling gives each document a number of repeats instead, which meets the targets at
+any budget.
 """
 
 from __future__ import annotations
@@ -134,6 +137,17 @@ def cell_probabilities(raked: DataFrame, budget_share: float) -> DataFrame:
     return raked.select(*MARGINS, F.least(F.lit(1.0), F.col("ratio") / F.lit(limit)).alias("probability"))
 
 
+def cell_repeats(raked: DataFrame, budget_share: float) -> DataFrame:
+    """``expected`` repeats per cell: in proportion to weight over tokens, also above one.
+
+    The repeated tokens are expected to be ``budget_share`` of all, in the shares of the weights.
+    """
+    raked = stage(raked, "raked")
+    found = raked.agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")).first()
+    scale = F.lit(budget_share * found["tokens"] / found["weight"] if found["weight"] else 1.0)
+    return raked.select(*MARGINS, (F.col("weight") / F.col("tokens") * scale).alias("expected"))
+
+
 def drawn(doc_id: Column, seed: int) -> Column:
     """A number from 0 to below 1 that depends on the document's id and the seed only."""
     text = F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("")))
@@ -146,15 +160,19 @@ def mix(
     budget_share: float,
     seed: int = 1,
     rounds: int = 8,
+    repeated: bool = False,
 ) -> DataFrame:
-    """``facts`` with ``probability`` and ``sampled``.
+    """``facts`` with ``probability`` and ``sampled``, if ``repeated`` also ``expected`` and ``repeats``.
 
     ``facts`` has the three margins, ``n_tokens`` and ``doc_id``; further columns pass through,
-    unless they are called like the two new ones. The target shares are the corpus's own token
+    unless they are called like the new ones. The target shares are the corpus's own token
     shares flattened by ``powers``. Missing sources, languages and topics are values of their
     own. Documents without tokens have no weight and are never kept, save when no document has
     any: then all are. Equal ids share their draw; a missing id draws as an empty one.
     No rows: an empty result.
+
+    ``repeats`` is the whole part of ``expected`` and one more if the draw is below the rest;
+    ``probability`` and ``sampled`` then tell whether a document is in the sample at all.
     """
     cells = stage(
         facts.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")),
@@ -162,17 +180,32 @@ def mix(
     )
     filled = cells.where("tokens > 0")
     targets = {m: flattened(filled, m, powers[m]) for m in MARGINS}
-    chances = stage(cell_probabilities(rake(cells, targets, rounds), budget_share), "chances")
-    chances = chances.select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("probability").alias("_p"))
+    raked = rake(cells, targets, rounds)
+    made = cell_repeats(raked, budget_share) if repeated else cell_probabilities(raked, budget_share)
+    chances = stage(made, "chances")
+    value = F.col("expected" if repeated else "probability").alias("_p")
+    chances = chances.select(*[F.col(m).alias(f"_{m}") for m in MARGINS], value)
     same = functools.reduce(operator.and_, [F.col(m).eqNullSafe(F.col(f"_{m}")) for m in MARGINS])
     empty = chances.isEmpty()
     chance = F.lit(1.0) if empty else F.when(F.col("n_tokens") > 0, F.coalesce("_p", F.lit(0.0))).otherwise(0.0)
+    draw, used = drawn(F.col("doc_id"), seed), ["_p", *[f"_{m}" for m in MARGINS]]
+    if not repeated:
+        return (
+            facts.drop("probability", "sampled")
+            .join(chances, same, "left")
+            .withColumn("probability", chance)
+            .withColumn("sampled", draw < F.col("probability"))
+            .drop(*used)
+        )
+    whole = F.floor("expected")
     return (
-        facts.drop("probability", "sampled")
+        facts.drop("probability", "sampled", "expected", "repeats")
         .join(chances, same, "left")
-        .withColumn("probability", chance)
-        .withColumn("sampled", drawn(F.col("doc_id"), seed) < F.col("probability"))
-        .drop("_p", *[f"_{m}" for m in MARGINS])
+        .withColumn("expected", chance)
+        .withColumn("repeats", (whole + (draw < F.col("expected") - whole).cast("long")).cast("int"))
+        .withColumn("probability", F.least(F.lit(1.0), F.col("expected")))
+        .withColumn("sampled", F.col("repeats") > 0)
+        .drop(*used)
     )
 
 
@@ -184,5 +217,5 @@ ROUNDS = 8
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = stage(document_facts(documents(spark, sf_dir)), "facts")
-    mixed = mix(facts, POWERS, BUDGET, rounds=ROUNDS)
-    return mixed.withColumn("probability", F.round("probability", 6))
+    mixed = mix(facts, POWERS, BUDGET, rounds=ROUNDS, repeated=True)
+    return mixed.withColumns({c: F.round(c, 6) for c in ("probability", "expected")})

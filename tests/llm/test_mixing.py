@@ -81,6 +81,34 @@ def test_expected_tokens_meet_the_budget(spark):
         assert kept / total == pytest.approx(budget, rel=1e-6)
 
 
+def test_sample_meets_the_targets(spark):
+    """Also for values that the targets raise above what there is, at a large budget."""
+    facts = spark.createDataFrame(
+        [(i, "hot" if i % 10 else f"s{i % 7}", "es" if i % 50 == 10 else "en", "loud" if i % 23 == 0 else "long",
+          20 + i % 60) for i in range(6000)],
+        "doc_id long, source string, lang string, topic string, n_tokens long",
+    )
+    rows = mixing.mix(facts, POWERS, 0.8, repeated=True).collect()
+    total = sum(r.n_tokens for r in rows)
+    assert len(rows) == 6000 and max(r.expected for r in rows) > 1.5
+    assert sum(r.n_tokens * r.expected for r in rows) == pytest.approx(0.8 * total, rel=1e-6)
+    for margin in mixing.MARGINS:
+        own, expected, got = collections.Counter(), collections.Counter(), collections.Counter()
+        for r in rows:
+            own[r[margin]] += r.n_tokens
+            expected[r[margin]] += r.n_tokens * r.expected / (0.8 * total)
+            got[r[margin]] += r.n_tokens * r.repeats / (0.8 * total)
+        raised = {v: t ** POWERS[margin] for v, t in own.items()}
+        for value in own:
+            target = raised[value] / sum(raised.values())
+            assert expected[value] == pytest.approx(target, abs=1e-4)
+            assert got[value] == pytest.approx(target, abs=0.02)
+    for r in rows:
+        draw = int(hashlib.md5(f"1|{r.doc_id}".encode()).hexdigest()[:12], 16) / 2**48
+        assert r.repeats == int(r.expected) + (draw < r.expected - int(r.expected))
+        assert r.sampled == (r.repeats > 0) and r.probability == min(1, r.expected)
+
+
 def test_edges(spark):
     assert mixing.mix(mixing.document_facts(frame(spark, [])), POWERS, 0.5, rounds=1).count() == 0
     blank = frame(spark, [(1, None, "en", "s", 0), (2, " ", None, None, 0)])
