@@ -4,7 +4,9 @@ The terms of a text are its windows of three words. Each distinct term votes wit
 grows with the logarithm of its count: for the bits that its hash has set, against the others.
 The signs of the sums are the fingerprint. Two fingerprints that differ in at most r of B > r
 blocks' worth of bits agree in at least B - r whole blocks, so the tables hold, for every choice
-of B - r blocks, the fingerprints with these blocks moved to the front as the key of a join.
+of B - r blocks, the fingerprints with these blocks moved to the front as the key of a join. For a
+large r, blocks are as few as make one of them differ in two bits at most, and the queries ask for
+every key that two changed bits lead to.
 """
 
 from __future__ import annotations
@@ -25,6 +27,9 @@ from stationcast.session import stage
 
 TERM_WORDS = 3
 BITS = 256
+# Bits in which texts of distinct words differ on average at a five-word Jaccard similarity of 0.8:
+# 1 of 45 words is changed, so 1 of 15 terms, and 256 * acos(14 / 15) / pi is 29.9.
+RADIUS = 29
 # Bits for the number of a text in its batch; the others hold a term's hash.
 OWNER_BITS = 20
 # Terms whose bits are unfolded at once.
@@ -134,6 +139,57 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = 7, spare:
     return named.join(near, "wanted").drop("wanted")
 
 
+def _block_numbers(fingerprint: Column, blocks: int) -> list[Column]:
+    """The blocks as numbers, each with its own number above its bits."""
+    edges = [BITS * k // blocks for k in range(blocks + 1)]
+    numbers = []
+    for k, (start, end) in enumerate(itertools.pairwise(edges)):
+        first, last = start // 8, -(-end // 8)
+        held = F.conv(F.hex(F.substring(fingerprint, 1 + first, last - first)), 16, 10).cast("long")
+        bits = F.shiftright(held, 8 * last - end).bitwiseAND(F.lit((1 << (end - start)) - 1).cast("long"))
+        numbers.append(bits + F.lit(k << 48).cast("long"))
+    return numbers
+
+
+def within_wide_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, flips: int = 2) -> DataFrame:
+    """``within_radius`` for a radius that leaves no whole block equal.
+
+    Of ``radius // (flips + 1) + 1`` blocks, one differs in ``flips`` bits at most. There is one
+    table per block, and a query asks each for all keys that up to ``flips`` changed bits lead to.
+    A block may have 48 bits.
+    """
+    blocks = radius // (flips + 1) + 1
+    if BITS > 48 * blocks:
+        raise ValueError("too few blocks: take fewer flips")
+    distinct = prints.where(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(
+        F.count(F.lit(1)).alias("n_docs")
+    )
+    plain = F.explode(F.array(*_block_numbers(F.col("fingerprint"), blocks))).alias("key")
+    table = distinct.select("fingerprint", "n_docs", plain)
+    asked = queries.select(F.col("fingerprint").alias("wanted")).where(F.col("wanted").isNotNull()).distinct()
+    # A number stands for the fingerprint in the many rows below.
+    asked = stage(asked.withColumn("number", F.monotonically_increasing_id()), "asked")
+    changed = []
+    for k, block in enumerate(_block_numbers(F.col("wanted"), blocks)):
+        width = BITS * (k + 1) // blocks - BITS * k // blocks
+        masks = [sum(1 << b for b in c) for n in range(flips + 1) for c in itertools.combinations(range(width), n)]
+        masks = F.lit(masks).cast("array<bigint>")
+        changed.append(F.transform(masks, block.bitwiseXOR))
+    # Few rows become thousands of times as many here: they are spread first, and never broadcast.
+    spread = asked.repartition(partitions(queries.sparkSession), "number")
+    probes = spread.select("number", F.explode(F.flatten(F.array(*changed))).alias("key"))
+    near = (
+        probes.hint("merge").join(table, "key")
+        .join(asked, "number")
+        .withColumn("distance", _distance("wanted", "fingerprint"))
+        .where(F.col("distance") <= radius)
+        .select("wanted", "fingerprint", "distance", "n_docs")
+        .distinct()
+    )
+    named = queries.select(F.col("doc_id").alias("query"), F.col("fingerprint").alias("wanted"))
+    return named.join(near, "wanted").drop("wanted")
+
+
 _EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double, part int, head string, tail string"
@@ -236,11 +292,11 @@ _ARROW = pa.schema(
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also ``n_near``: other documents within the radius, for ids divisible by 50, else null."""
+    """Also ``n_near``: other documents within ``RADIUS`` bits, for ids divisible by 50, else null."""
     made = stage(edit_study(documents(spark, sf_dir), partitions(spark)), "study")
     prints = made.select("doc_id", "fingerprint")
     asked = prints.where(F.col("doc_id") % 50 == 0)
-    near = within_radius(asked, prints).groupBy("query").agg((F.sum("n_docs") - 1).alias("n_near"))
+    near = within_wide_radius(asked, prints).groupBy("query").agg((F.sum("n_docs") - 1).alias("n_near"))
     return made.join(near, F.col("doc_id") == F.col("query"), "left").select(
         "doc_id",
         "n_chars",

@@ -87,6 +87,52 @@ def test_all_fingerprints_within_the_radius(spark, radius, spare):
     assert simhash.within_radius(asked.limit(0), prints).count() == 0
 
 
+def test_near_copies_are_counted(spark, tmp_path):
+    """Texts with 1 to 3 of 300 words changed, about 11 to 20 bits apart, and unlike texts."""
+    rng = random.Random(4)
+    fresh = lambda: [f"w{rng.randrange(10**9)}" for _ in range(300)]
+    rows = []
+    for group in range(4):
+        base = fresh()
+        for k in range(50):
+            words = base[:] if k < 20 else fresh()
+            for at in rng.sample(range(300), k % 4 if k < 20 else 0):
+                words[at] = f"w{rng.randrange(10**9)}"
+            rows.append((50 * group + k, " ".join(words), None, None, None))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_near for r in simhash.op4_simhash(spark, str(tmp_path)).collect()}
+    bits = np.unpackbits(simhash.fingerprints([r[1].encode() for r in rows]), axis=1)
+    for i in range(200):
+        near = int(((bits != bits[i]).sum(axis=1) <= simhash.RADIUS).sum()) - 1
+        assert got[i] == (near if i % 50 == 0 else None)
+        assert i % 50 or near >= 15
+
+
+@pytest.mark.parametrize("radius, flips", [(29, 2), (28, 2), (13, 1), (7, 0)])
+def test_wide_radius_finds_all(spark, radius, flips):
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2, (6, simhash.BITS), dtype=np.uint8)
+    bits = [base]
+    for changed in range(1, 34):
+        other = base.copy()
+        for row in other:
+            row[rng.choice(simhash.BITS, changed, replace=False)] ^= 1
+        bits.append(other)
+    bits = np.concatenate([*bits, base[:2]])
+    packed = [p.tobytes() for p in np.packbits(bits, axis=1)]
+    rows = [(i, bytearray(p)) for i, p in enumerate(packed)] + [(999, None)]
+    prints = spark.createDataFrame(rows, "doc_id long, fingerprint binary")
+    asked = prints.where("doc_id < 6 OR doc_id = 999")
+    found = simhash.within_wide_radius(asked, prints, radius, flips).collect()
+    expected = set()
+    for i in range(6):
+        for j, distance in enumerate((bits != bits[i]).sum(axis=1).tolist()):
+            if distance <= radius:
+                expected.add((i, packed[j], distance, packed.count(packed[j])))
+    got = [(r["query"], bytes(r.fingerprint), r.distance, r.n_docs) for r in found]
+    assert len(got) == len(expected) and set(got) == expected
+
+
 def test_plain_fingerprints(spark):
     rows = awkward_rows()
     found = simhash.with_fingerprints(frame(spark, rows, clash=True)).collect()
