@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stationcast.llm.bpe import op5_bpe_roundtrip
+from stationcast.llm.filter_audit import OP12_SQL, op12_filter_audit
 from stationcast.llm.lang_id import op7_language_id
 from stationcast.llm.line_dedup import OP3_SQL, op3_line_dedup
 from stationcast.llm.lm_scoring import OP2_SQL, op2_stupid_backoff
@@ -24,9 +25,11 @@ REGISTERED = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_gam": op9_quality_gam,
     "op10_near_duplicates": op10_near_duplicates,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLES = {
     "op2_stupid_backoff": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
