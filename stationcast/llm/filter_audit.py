@@ -15,42 +15,27 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stationcast.llm.shingles import pieces_of_words
 from stationcast.llm.tables import documents, labels, map_slices
 from stationcast.session import stage
 
-# Bytes of a text split into words at once.
-PIECE = 1 << 20
 # Orders are listed, m! of them.
 MOST_FILTERS = 8
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _SYMBOLS = b"#$%&*|"
 _CONTINUED = bytes(range(0x80, 0xC0))
-_BLANK = re.compile(rb"[ \t-\r]")
-
-
-def _pieces(data: bytes) -> Iterator[bytes]:
-    """The bytes in pieces that end where a word ends."""
-    start = 0
-    while len(data) - start > PIECE:
-        found = _BLANK.search(data, start + PIECE)
-        stop = found.start() if found else len(data)
-        yield data[start:stop]
-        start = stop
-    yield data[start:]
 
 
 def word_counts(data: bytes) -> tuple[int, int]:
-    """Words, and distinct words; ``bytes.split`` parts at exactly ``[\\x20\\x09-\\x0D]``."""
+    """Words, and distinct words."""
     total, seen = 0, set()
-    for piece in _pieces(data):
+    for piece in pieces_of_words(data):
         found = piece.split()
         total += len(found)
         seen.update(found)

@@ -10,6 +10,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +26,24 @@ SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+# Bytes of a text whose words are listed at once.
+PIECE = 1 << 20
+_BLANK = re.compile(rb"[ \t-\r]")
+
+
+def pieces_of_words(data: bytes) -> Iterator[bytes]:
+    """The bytes in pieces that end where a word ends, so that a long text is never split whole.
+
+    ``bytes.split`` parts their words at exactly ``[\\x20\\x09-\\x0D]``.
+    """
+    start = 0
+    while len(data) - start > PIECE:
+        found = _BLANK.search(data, start + PIECE)
+        stop = found.start() if found else len(data)
+        yield data[start:stop]
+        start = stop
+    yield data[start:]
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit over the whole word."""
