@@ -6,14 +6,18 @@
    there share a node. A node with more classes than a leaf may hold branches again by one or
    more other places, chosen by its path, so classes that only share a frequent passage soon
    part. Each branching makes up for the pairs it parts, see ``Join``.
-3. In a leaf, every class is compared with all others by signature inside the task. What goes on
-   is, per class, the most similar partner that can reach the threshold, and with which other
-   classes of the leaf it can still be linked. Nodes that stay large to the end hold classes
-   alike almost everywhere; their members are compared with the node's first class.
-4. These partners are confirmed on the full sets, which connects most of each group. Then the
-   leaves that still hold classes of several components compare these on their full sets, and
-   return links that connect components, not all pairs. In nodes that stay large to the end, the
-   classes outside the largest component are compared with all others in blocks of a leaf's size.
+3. Before a node branches, its classes are compared with a pivot, and what can be linked is
+   confirmed on the full sets; so in a few rounds, each with another pivot out of the node's
+   largest component. A node of one component is done: it cannot connect anything more. One with
+   few classes outside its largest component is settled by blocks, see below. So a group of near
+   copies, which no branching parts, leaves the trees where it is first met.
+4. In a leaf, every class is compared with all others by signature inside the task. Each names its
+   most similar partner of another component; these are confirmed on the full sets, and so again
+   in rounds, in each of which the components of a group halve at least if the partners hold.
+5. The leaves that still hold classes of several components compare these on their full sets, and
+   return links that connect components, not all pairs. In nodes that are settled or stay large
+   to the end, the classes outside the largest component are compared with all others in blocks of
+   a leaf's size.
 
 No step holds a group of copies in one task or lists the pairs of a group.
 """
@@ -23,7 +27,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,12 +37,14 @@ from pyspark.sql import functions as F
 
 from stationcast.llm.components import components
 from stationcast.llm.shingles import mix, words
-from stationcast.llm.tables import documents, id_text, map_slices
+from stationcast.llm.tables import documents, id_text, map_slices, partitions, slices
 from stationcast.session import stage
 
 
 # Cells of a table of sets and elements at most.
 CELLS = 1 << 20
+# Pivots that a large node tries, and partners that a class of a leaf tries, before all are compared.
+ROUNDS = 3
 
 
 @dataclass(frozen=True)
@@ -175,13 +181,18 @@ def _equal_places(a: str, b: str) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
-def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Leaves (``members``), partners from large nodes, and rows of the nodes left large."""
+Settle = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def _tree_nodes(classes: DataFrame, join: Join, settle: Settle | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Leaves (``members``), and rows of the nodes that are settled and of those left large.
+
+    ``settle`` parts the rows of large nodes into those to branch on and those to settle.
+    """
     roots = F.array(*[_branch(F.lit(-1 - k), F.lit(k % join.places)) for k in range(join.trees)])
     rows = classes.select("class", F.explode(roots).alias("path"))
-    spark = classes.sparkSession
-    leaves = spark.createDataFrame([], "members array<long>")
-    partners = spark.createDataFrame([], "class long, partner long, equal int")
+    leaves = classes.sparkSession.createDataFrame([], "members array<long>")
+    settled = none = classes.limit(0).withColumn("path", F.lit(0).cast("long"))
     for level in range(join.depth + 1):
         if level:
             child = F.explode(_children("path", level, join)).alias("path")
@@ -192,27 +203,96 @@ def _tree_nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, D
         leaves = leaves.union(small.agg(F.sort_array(F.collect_list("class"))).drop("path"))
         rows = rows.where(F.col("held") > join.leaf).drop("held")
         if rows.isEmpty():
-            return leaves, partners, classes.limit(0).withColumn("path", F.lit(0))
+            return leaves, settled, none
         if level == 0:
             rows = stage(rows.join(classes, "class"), "large")
-    # These nodes hold classes alike almost everywhere: their first class stands for them.
-    first = F.min(F.struct("class", "n", "signature")).alias("first")
-    met = (
-        rows.join(stage(rows.groupBy("path").agg(first), "firsts"), "path")
-        .where("class != first.class")
-        .withColumn("equal", _equal_places("signature", "first.signature"))
-        .where(_alike(join))
+        if settle:
+            rows, done = settle(rows)
+            settled = settled.unionByName(done)
+            if rows.isEmpty():
+                return leaves, settled, none
+    return leaves, settled, rows
+
+
+class _Groups:
+    """The links confirmed so far, and the component of every class that has one."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, join: Join):
+        spark = docs.sparkSession
+        self.docs, self.classes, self.join = docs, classes, join
+        self.links = spark.createDataFrame([], "a long, b long")
+        self.labels = spark.createDataFrame([], "node long, component long")
+
+    def label(self, rows: DataFrame) -> DataFrame:
+        return _labelled(rows, self.labels, "class", "component")
+
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        return stage(_class_texts(self.docs, self.classes, wanted.distinct(), self.join), "texts")
+
+    def add(self, found: DataFrame) -> None:
+        found = stage(found, "links")
+        if not found.isEmpty():
+            self.links = self.links.union(found)
+            self.labels = components(self.links)
+
+    def add_partners(self, met: DataFrame, texts: DataFrame | None = None) -> None:
+        """Confirm, for each class, the partner with the most equal places, the smallest of these."""
+        best = F.max_by("partner", F.struct("equal", -F.col("partner"))).alias("partner")
+        pairs = met.groupBy("class").agg(best)
+        low, high = F.least("class", "partner").alias("a"), F.greatest("class", "partner").alias("b")
+        pairs = stage(pairs.select(low, high).distinct(), "pairs")
+        if not pairs.isEmpty():
+            if texts is None:
+                ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
+                texts = self.texts(ends)
+            self.add(confirmed(pairs, texts, self.join))
+
+    def settle(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Compare large nodes with pivots; nodes to branch on, and those with a small rest."""
+        for turn in range(ROUNDS):
+            held = stage(self.label(rows), "held")
+            nodes = stage(_shares(held).where("whole > top"), "mixed")
+            # Nodes of one component need no further look.
+            rows = stage(rows.join(nodes.select("path"), "path", "left_semi"), "large")
+            if rows.isEmpty():
+                return rows, rows
+            held = held.join(nodes.select("path", "largest"), "path")
+            order = F.col("class") if turn == 0 else F.xxhash64("class", F.lit(turn))
+            first = F.min(F.struct(order.alias("order"), "class", "n", "signature")).alias("first")
+            pivots = stage(held.where("component = largest").groupBy("path").agg(first), "pivots")
+            met = (
+                held.where("component != largest")
+                .join(pivots, "path")
+                .withColumn("equal", _equal_places("signature", "first.signature"))
+                .where(_alike(self.join))
+            )
+            if turn == 0:
+                met = met.where("class != first.class")
+            self.add_partners(met.select("class", F.col("first.class").alias("partner"), "equal"))
+        nodes = stage(_shares(self.label(rows)).where("whole > top"), "mixed")
+        rest = F.col("whole") - F.col("top") <= max(1, self.join.leaf // 2)
+        held = rows.join(nodes.select("path", rest.alias("little")), "path")
+        return stage(held.where(~F.col("little")).drop("little"), "large"), held.where("little").drop("little")
+
+
+def _shares(held: DataFrame) -> DataFrame:
+    """Per node: its largest component, and how many classes it and the whole node have."""
+    counts = held.groupBy("path", "component").agg(F.count(F.lit(1)).alias("size"))
+    return counts.groupBy("path").agg(
+        F.max_by("component", F.struct("size", -F.col("component"))).alias("largest"),
+        F.sum("size").alias("whole"),
+        F.max("size").alias("top"),
     )
-    return leaves, met.select("class", F.col("first.class").alias("partner"), "equal"), rows
 
 
 _MEMBER = "class long, n long, signature array<int>, component long"
 
 
-def _open_members(rows: DataFrame, join: Join) -> DataFrame:
+def _open_members(rows: DataFrame, join: Join, turn: int = 0) -> DataFrame:
     """The rows of each ``node`` that can be linked with one of another component in it.
 
-    With the ``partner`` that has the most ``equal`` places, the smallest of these.
+    With the ``partner`` that has the most ``equal`` places, the smallest of these; at a later
+    ``turn`` so many better ones are passed over, as far as there are more.
     """
     names = [f.split()[0] for f in _MEMBER.split(", ")]
 
@@ -236,9 +316,12 @@ def _open_members(rows: DataFrame, join: Join) -> DataFrame:
                 fits = (same >= join.least_equal) & (100 * low >= join.percent * high)
                 same = np.where(fits & (part[:, None] != part[None, :]), same, 0)
                 by_class = np.argsort(classes[a:b], kind="stable")
-                at = by_class[np.argmax(same[:, by_class], axis=1)]
-                equal[a:b] = same[np.arange(b - a), at]
-                best[a:b] = classes[a:b][at]
+                for _ in range(turn + 1):
+                    at = by_class[np.argmax(same[:, by_class], axis=1)]
+                    found = same[np.arange(b - a), at]
+                    equal[a:b] = np.where(found > 0, found, equal[a:b])
+                    best[a:b] = np.where(found > 0, classes[a:b][at], best[a:b])
+                    same[np.arange(b - a), at] = 0
             kept = np.flatnonzero(equal)
             taken = {n: column.take(pa.array(kept)) for n, column in columns.items()}
             yield pa.RecordBatch.from_pydict(
@@ -321,24 +404,42 @@ def _links_in_nodes(rows: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
     """
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, held = None, []
+
+        def links() -> list[tuple[int, int]]:
+            found, parts = [], np.array([part for _, part, _ in held])
+            linked = np.argwhere(np.triu(_link_table([own for _, _, own in held], join.percent), 1))
+            for i, j in linked[parts[linked[:, 0]] != parts[linked[:, 1]]].tolist():
+                if parts[i] != parts[j]:
+                    found.append((held[i][0], held[j][0]))
+                    parts[parts == parts[j]] = parts[i]
+            return found
+
+        def pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            columns = zip(("a", "b"), zip(*found, strict=True), strict=True)
+            return pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in columns})
+
         for batch in batches:
-            left, right = [], []
-            for members in batch.column("members"):
-                rows = sorted(members.as_py(), key=lambda m: m["class"])
-                sets, _, _ = shingle_sets([m["text"].encode() for m in rows], join.shingle)
-                parts = np.array([m["component"] for m in rows])
-                linked = np.argwhere(np.triu(_link_table(sets, join.percent), 1))
-                for i, j in linked[parts[linked[:, 0]] != parts[linked[:, 1]]].tolist():
-                    if parts[i] != parts[j]:
-                        left.append(rows[i]["class"])
-                        right.append(rows[j]["class"])
-                        parts[parts == parts[j]] = parts[i]
-            yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
-
-    # The text comes to a node once per member; its batches are as long as a few nodes.
-    held = rows.select("node", "class", "component").join(texts, "class")
-    grouped = held.groupBy("node").agg(F.collect_list(F.struct("class", "component", "text")).alias("members"))
-    return grouped.mapInArrow(connect, "a long, b long")
+            for piece in slices([batch]):
+                found = []
+                sets, _, _ = shingle_sets(_texts(piece), join.shingle)
+                names = ("node", "class", "component")
+                rows = zip(*(piece.column(n).to_pylist() for n in names), sets, strict=True)
+                for at, member, part, own in rows:
+                    if at != node and held:
+                        found += links()
+                        held = []
+                    node = at
+                    held.append((member, part, own))
+                if found:
+                    yield pairs(found)
+        if held and (found := links()):
+            yield pairs(found)
+
+    # The text comes to a node once per member; a task holds the sets of one node.
+    met = rows.select("node", "class", "component").join(texts, "class")
+    dealt = met.select("node", "class", "component", "text").repartition(partitions(rows.sparkSession), "node")
+    return dealt.sortWithinPartitions("node", "class").mapInArrow(connect, "a long, b long")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
@@ -354,12 +455,7 @@ def _blocks(large: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
     every two blocks of either kind become a node. Nodes of one component need no look.
     """
     held = stage(_labelled(large, labels, "class", "component"), "held")
-    counts = held.groupBy("path", "component").agg(F.count(F.lit(1)).alias("size"))
-    nodes = counts.groupBy("path").agg(
-        F.max_by("component", F.struct("size", "component")).alias("largest"),
-        F.sum("size").alias("whole"),
-        F.max("size").alias("top"),
-    )
+    nodes = _shares(held)
     size = max(1, join.leaf // 2)
     nodes = nodes.where("whole > top").select(
         "path",
@@ -410,38 +506,31 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         "classes",
     )
     shapes = classes.select("class", "n", "signature")
-    leaves, partners, large = _tree_nodes(shapes, join)
+    groups = _Groups(docs, classes, join)
+    leaves, settled, large = _tree_nodes(shapes, join, groups.settle)
     # Most trees find the same leaves; each is compared once.
     leaves = leaves.distinct().select(
         F.xxhash64("members").alias("node"), F.explode("members").alias("class")
     )
-    leaves = leaves.join(shapes, "class").withColumn("component", F.col("class"))
-    leaves = stage(_open_members(leaves, join), "leaves")
-
-    partners = partners.unionByName(leaves.select("class", "partner", "equal"))
-    partners = stage(
-        partners.groupBy("class").agg(
-            F.max_by("partner", F.struct("equal", -F.col("partner"))).alias("partner")
-        ),
-        "partners",
-    )
-    wanted = leaves.select("class").union(partners.select("class")).union(partners.select("partner"))
-    wanted = wanted.union(large.select("class")).distinct()
-    texts = stage(_class_texts(docs, classes, wanted, join), "texts")
-    pairs = partners.select(
-        F.least("class", "partner").alias("a"), F.greatest("class", "partner").alias("b")
-    ).distinct()
-    links = stage(confirmed(pairs, texts, join), "links")
-    labels = components(links)
-
-    names = ("node", "class", "n", "signature", "component")
-    again = _labelled(leaves.drop("component"), labels, "class", "component").select(*names)
+    names = ("node", "class", "n", "signature")
+    rows = leaves.join(shapes, "class").select(*names)
+    large = stage(settled.unionByName(large.select(*settled.columns)), "settled")
     if not large.isEmpty():
-        again = again.unionByName(_blocks(large, labels, join).select(*names))
-    still = stage(_open_members(again, join).select("node", "class", "component"), "open")
-    if not still.isEmpty():
-        links = stage(links.union(_links_in_nodes(still, texts, join)), "links")
-        labels = components(links)
+        rows = rows.unionByName(_blocks(large, groups.labels, join).select(*names))
+    texts = None
+    for turn in range(ROUNDS + 1):
+        rows = stage(_open_members(groups.label(rows), join, turn), "open")
+        if rows.isEmpty():
+            break
+        if texts is None:
+            # Whoever is a partner is open as well, now or never.
+            texts = groups.texts(rows.select("class"))
+        if turn < ROUNDS:
+            groups.add_partners(rows.select("class", "partner", "equal"), texts)
+        else:
+            groups.add(_links_in_nodes(rows, texts, join))
+        rows = rows.select(*names)
+    labels = groups.labels
 
     members = signed.select("doc_id", "n_shingles", "digest").join(
         classes.select("digest", "class"), "digest", "left"
