@@ -137,6 +137,11 @@ class ChunkCoder:
             self.used = used
         return first, counts
 
+    def spans(self, data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the chunks of joined texts start and end; ``heads`` are the starts of the texts."""
+        starts = _ascending(np.concatenate([heads, cuts(data)]))
+        return starts, np.append(starts[1:], len(data)) if len(starts) else starts
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts as one array, and the bounds of each text in it."""
         if not len(texts):
@@ -146,9 +151,7 @@ class ChunkCoder:
         values = texts.buffers()[2]
         data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
         data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        heads = offsets[:-1][np.diff(offsets) > 0]
-        starts = _ascending(np.concatenate([heads, cuts(data)]))
-        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        starts, ends = self.spans(data, offsets[:-1][np.diff(offsets) > 0])
         first, counts = self._places(data, starts, ends)
         stops = np.cumsum(counts)
         shift = np.repeat(first - (stops - counts), counts)

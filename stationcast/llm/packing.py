@@ -22,15 +22,18 @@ import os
 import re
 import string
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.shingles import PIECE, pieces_of_words
+from stationcast.llm.chunks import ChunkCoder
+from stationcast.llm.shingles import PIECE, SPACES, pieces_of_words
 from stationcast.llm.tables import documents, id_text, slices
 from stationcast.session import scratch_path, stage
 
@@ -51,84 +54,78 @@ def _flags(characters: bytes) -> np.ndarray:
 
 _SIGNS = _flags((string.ascii_letters + string.digits).encode())
 _MARKS = _flags(b'.,;:!?"')
+# How byte-level vocabularies write bytes that are no visible Latin-1 sign: as signs from U+0100 on.
+_SHOWN = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 # Latin letters up to U+01BF that stay one letter when composed and lowered: not U+0130, which does not.
-_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5\xc6][\x80-\xbf])+")
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01bf]+")
 
 
-def parted_words(data: bytes) -> list[bytes]:
-    """The words of a text, cut where a mark follows an ASCII letter or digit.
-
-    No part of the pre-tokenizer's pattern reaches across such a place, so both sides are coded by
-    themselves, and far fewer of them are distinct.
-    """
-    held = np.frombuffer(data, np.uint8)
-    at = np.flatnonzero(_MARKS[held[1:]] & _SIGNS[held[:-1]]) + 1
-    return (np.insert(held, at, 0x20).tobytes() if len(at) else data).split()
-
-
-class WordCoder(dict):
-    """The ids of each word as bytes; a word met for the first time is coded by the library.
+class WordCoder(ChunkCoder):
+    """The ids of texts word by word; a word met for the first time is coded by the library.
 
     For tokenizers that drop white space and code runs of letters, single digits and runs of other
-    signs each by itself, as their pre-tokenizer's pattern says.
+    signs each by itself, as their pre-tokenizer's pattern says. Words end at ASCII blanks and where
+    a mark follows an ASCII letter or digit: no part of the pattern reaches across such a place, so
+    both sides are coded by themselves, and far fewer of them are distinct.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(self._code, remembered)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocabulary = self.tokenizer.get_vocab()
-        suffix = self.tokenizer.model.end_of_word_suffix
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        if suffix:
-            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [parted_words(t) if len(t) <= PIECE else None for t in texts]
-        self._learn_new(itertools.chain.from_iterable(filter(None, split)))
-        get = self.__getitem__
-        coded = [b"".join(map(get, words)) if words is not None else b"" for words in split]
-        for i, text in enumerate(texts):
-            if split[i] is None:
-                coded[i] = b"".join(self._pieces(text))
-        if len(self) > REMEMBERED:
-            self.clear()
-        return coded
-
-    def _pieces(self, text: bytes) -> Iterator[bytes]:
-        for piece in pieces_of_words(text):
-            words = parted_words(piece)
-            self._learn_new(words)
-            yield b"".join(map(self.__getitem__, words))
-            if len(self) > REMEMBERED:
-                self.clear()
-
-    def _learn_new(self, words: Iterable[bytes]) -> None:
-        new = list(set(itertools.filterfalse(self.__contains__, words)))
-        if self.ends.any():
-            # A word of letters is one run, and the last of its ids is the only one to end a word.
-            plain = [w for w in new if w.isalpha() or _LETTERS.fullmatch(w)]
-            for k in range(0, len(plain), AT_ONCE):
-                some = plain[k : k + AT_ONCE]
-                found = self._library([b" ".join(some)])[0]
-                stops = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
-                raw = found.tobytes()
-                for word, a, b in zip(some, [0, *stops[:-1]], stops, strict=True):
-                    self[word] = raw[a:b]
-            new = [w for w in new if w not in self]
-        for k in range(0, len(new), AT_ONCE):
-            some = new[k : k + AT_ONCE]
-            for word, found in zip(some, self._library(some), strict=True):
-                self[word] = found.tobytes()
-
-    def _library(self, texts: list[bytes]) -> list[np.ndarray]:
-        coded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in coded]
+        # Words of letters go straight to the model, if the tokenizer lowers and maps them as here.
+        self.direct = False
+        probes = ["Word", "Stra\u00dfe", "\u00c9t\u00e9", "\u017bywi\u0119cie"]
+        self.direct = self._by_model(probes) == [ids.tobytes() for ids in self._library(probes)]
+
+    def spans(self, data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        filled = ~SPACES[data]
+        begins = filled.copy()
+        begins[1:] &= ~filled[:-1] | (_MARKS[data[1:]] & _SIGNS[data[:-1]])
+        begins[heads] = filled[heads]
+        stops = filled.copy()
+        stops[:-1] &= ~filled[1:] | begins[1:]
+        return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+    def token_ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; a long one is coded by pieces."""
+        long = pc.greater(pc.binary_length(texts), PIECE).to_numpy(zero_copy_only=False)
+        at = 0
+        for stop in [*np.flatnonzero(long).tolist(), len(texts)]:
+            ids, bounds = self.encode(texts.slice(at, stop - at))
+            yield from (ids[a:b] for a, b in itertools.pairwise(bounds.tolist()))
+            if stop < len(texts):
+                pieces = pieces_of_words(texts[stop].as_py().encode())
+                yield np.concatenate([self.encode(pa.array([p.decode()]))[0] for p in pieces])
+            at = stop + 1
+
+    def _code(self, words: list[str]) -> list[bytes]:
+        coded: dict[str, bytes] = {}
+        if self.direct:
+            letters = [w for w in words if _LETTERS.fullmatch(w)]
+            coded = dict(zip(letters, self._by_model(letters), strict=True))
+        rest = [w for w in words if w not in coded]
+        for k in range(0, len(rest), AT_ONCE):
+            some = rest[k : k + AT_ONCE]
+            coded |= {w: ids.tobytes() for w, ids in zip(some, self._library(some), strict=True)}
+        return [coded[w] for w in words]
+
+    def _by_model(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one run of letters, equal ones but for their case only once."""
+        lowered = [w.lower() for w in words]
+        tokenize, found = self.tokenizer.model.tokenize, {}
+        for word in set(lowered):
+            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+            found[word] = array("I", [token.id for token in tokenize(mapped)]).tobytes()
+        return [found[w] for w in lowered]
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in coded]
 
 
 @functools.cache
@@ -154,8 +151,7 @@ def store_tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         part, place = context.partitionId() if context else 0, 0
         coder = _coder(path)
         for piece in slices(batches):
-            texts = piece.column("text").cast(pa.binary()).to_pylist()
-            coded = [ids + end for ids in coder.encode(texts)]
+            coded = [ids.astype("<u4").tobytes() + end for ids in coder.token_ids(piece.column("text"))]
             counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
             yield pa.RecordBatch.from_pydict(
                 {

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -74,12 +75,13 @@ def test_pieces_hold_the_ids_of_the_library(spark, length):
     assert b"".join(r.ids for r in joined) == stream
 
 
-def test_long_texts_are_split_by_the_piece(spark, monkeypatch):
+def test_long_texts_are_split_by_the_piece():
     text = " ".join(f"word{k % 700} it's" for k in range(180_000)) + " " + "x" * 5_000
     assert len(text) > 2 * packing.PIECE
-    monkeypatch.setattr(packing, "REMEMBERED", 10)
-    coder = packing.WordCoder(PATH)
-    assert np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist() == library_ids([text])[0][:-1]
+    coder = packing.WordCoder(PATH, remembered=10)
+    found = list(coder.token_ids(pa.array(["a b.", text, "", text[:70], " \n"])))
+    assert [ids.tolist() for ids in found[:4]] == [i[:-1] for i in library_ids(["a b.", text, "", text[:70]])]
+    assert len(found) == 5 and not len(found[4])
 
 
 def test_no_documents(spark):
