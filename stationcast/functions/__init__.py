@@ -1,4 +1,5 @@
 from stationcast.functions.columns import (
+    easter_sunday,
     hour_bucket,
     keyed_share,
     membership_flag,
@@ -12,6 +13,7 @@ from stationcast.functions.columns import (
 )
 
 __all__ = [
+    "easter_sunday",
     "hour_bucket",
     "keyed_share",
     "membership_flag",

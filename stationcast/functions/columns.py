@@ -93,3 +93,19 @@ def keyed_share(columns: Sequence[str], seed: int = 0) -> Column:
     parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100).cast("int")
+
+
+def easter_sunday(year: str | Column) -> Column:
+    """Date of Easter Sunday of a Gregorian year, by whole-number arithmetic on the column."""
+
+    def whole(value: Column, by: int) -> Column:
+        return F.floor(value / by).cast("int")
+
+    year = _col(year).cast("int")
+    century, golden = whole(year, 100), year % 19
+    # Age of the moon at the turn of the year, from the lunar cycle and two century corrections.
+    age = (19 * golden + century - whole(century, 4) - whole(century - whole(century + 8, 25) + 1, 3) + 15) % 30
+    # Days from the full moon to the Sunday after it.
+    wait = (32 + 2 * (century % 4) + 2 * whole(year % 100, 4) - age - year % 100 % 4) % 7
+    late = whole(golden + 11 * age + 22 * wait, 451)
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), age + wait - 7 * late)

@@ -1,4 +1,5 @@
 from stationcast.operators.calendar import (
+    GERMANY,
     HolidayRules,
     calendar_features,
     day_features,
@@ -12,7 +13,7 @@ from stationcast.operators.documents import (
 )
 from stationcast.operators.frequency import most_frequent_per_group
 from stationcast.operators.grid import scoring_grid, station_list
-from stationcast.operators.joins import replicate_join
+from stationcast.operators.joins import grid_join, replicate_join
 from stationcast.operators.quality import unmatched_hours, unmatched_summary
 from stationcast.operators.stations import (
     attach_profile,
@@ -23,9 +24,12 @@ from stationcast.operators.stations import (
 )
 from stationcast.operators.target import join_hourly_weather, modal_weather, target_frame
 from stationcast.operators.weather import align_series, classify_weather, weather_vocabulary
+from stationcast.operators.ledger import Ledger
 
 __all__ = [
+    "GERMANY",
     "HolidayRules",
+    "Ledger",
     "align_series",
     "attach_profile",
     "calendar_features",
@@ -33,6 +37,7 @@ __all__ = [
     "day_features",
     "document_messages",
     "flag_holidays",
+    "grid_join",
     "holiday_calendar",
     "join_hourly_weather",
     "lookup_predictions",

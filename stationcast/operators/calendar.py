@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationcast.functions import part_of_day, wall_clock, weekday_name
+from stationcast.functions import easter_sunday, part_of_day, wall_clock, weekday_name
 
 # Holidays of the United States and of Illinois.
 # name, month, day, first year, observed on the nearest weekday
@@ -36,36 +36,63 @@ WEEKDAY_HOLIDAYS = (
 
 @dataclass(frozen=True)
 class HolidayRules:
-    """The holidays of a region: days of the month, and weekdays of a month, as laid out above."""
+    """The holidays of a region: days of the month, weekdays of a month, and days around Easter.
+
+    The first two are laid out as above, the last as name, days after Easter Sunday (negative:
+    before it) and first year.
+    """
 
     fixed: tuple[tuple[str, int, int, int, bool], ...] = ()
     by_weekday: tuple[tuple[str, int, str, int, int, int, int], ...] = ()
+    by_easter: tuple[tuple[str, int, int], ...] = ()
 
 
 ILLINOIS = HolidayRules(FIXED_HOLIDAYS, WEEKDAY_HOLIDAYS)
 
+# The days that are holidays in all of Germany.
+GERMANY = HolidayRules(
+    fixed=(
+        ("Neujahr", 1, 1, 1871, False),
+        ("Tag der Arbeit", 5, 1, 1933, False),
+        ("Tag der Deutschen Einheit", 10, 3, 1990, False),
+        ("Erster Weihnachtstag", 12, 25, 1871, False),
+        ("Zweiter Weihnachtstag", 12, 26, 1871, False),
+    ),
+    by_easter=(
+        ("Karfreitag", -2, 1871),
+        ("Ostermontag", 1, 1871),
+        ("Christi Himmelfahrt", 39, 1871),
+        ("Pfingstmontag", 50, 1871),
+    ),
+)
+
 
 def _quoted(text: str) -> str:
     return '"' + text + '"'
 
 
 def _rules(rules: HolidayRules) -> str:
-    """The rule rows as an array of structs; a fixed day has no weekday and vice versa."""
+    """The rule rows as an array of structs, in each of which only its own kind of rule is filled."""
     rows = [
-        f"({_quoted(name)}, {month}, {day}, NULL, NULL, 0, {since}, 1, {str(observed).lower()})"
+        f"({_quoted(name)}, {month}, {day}, NULL, NULL, 0, {since}, 1, {str(observed).lower()}, false)"
         for name, month, day, since, observed in rules.fixed
     ]
     rows += [
-        f"({_quoted(name)}, {month}, NULL, '{weekday}', {week}, {after}, {since}, {every}, false)"
+        f"({_quoted(name)}, {month}, NULL, '{weekday}', {week}, {after}, {since}, {every}, false, false)"
         for name, month, weekday, week, after, since, every in rules.by_weekday
     ]
+    rows += [
+        f"({_quoted(name)}, NULL, NULL, NULL, NULL, {after}, {since}, 1, false, true)"
+        for name, after, since in rules.by_easter
+    ]
     return "array(" + ", ".join(f"struct{row}" for row in rows) + ")"
 
 
-_RULE_COLUMNS = "(name, month, day, weekday, week, after, since, every, observed)"
+_RULE_COLUMNS = "(name, month, day, weekday, week, after, since, every, observed, movable)"
 
 _DATE = """
-CASE WHEN day IS NOT NULL THEN make_date(year, month, day)
+CASE WHEN movable THEN date_add(easter, after)
+     WHEN day IS NOT NULL THEN make_date(year, month, day)
      WHEN week < 0 THEN next_day(last_day(make_date(year, month, 1)) - 7, weekday) + after
      ELSE next_day(make_date(year, month, 1) - 1, weekday) + 7 * (week - 1) + after
 END
@@ -96,6 +123,7 @@ def holiday_calendar(
         spark.range(wanted[0], wanted[-1] + 2)
         .selectExpr("CAST(id AS INT) AS year", f"inline({_rules(rules)}) AS {_RULE_COLUMNS}")
         .where("year >= since AND year % every = 0")
+        .withColumn("easter", easter_sunday("year"))
         .selectExpr("name", "observed", f"{_DATE} AS nominal")
         .selectExpr(_ENTRIES)
         .where(F.year("date").isin(wanted))

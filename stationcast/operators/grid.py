@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions import number, wall_clock
-from stationcast.operators.joins import replicate_join
+from stationcast.operators.joins import grid_join
 from stationcast.schemas import STATION_COLUMNS
+from stationcast.session import stage
 
 
 def station_list(trips: DataFrame) -> DataFrame:
@@ -30,5 +31,5 @@ def scoring_grid(stations: DataFrame, forecast: DataFrame) -> DataFrame:
         times.select("starttime"), F.col("_moment") == F.col("starttime")
     ).drop("_moment")
     known = stations.select(*STATION_COLUMNS).distinct()
-    grid = replicate_join(known, slots, list(STATION_COLUMNS))
+    grid = grid_join(known, stage(slots, "slots"), list(STATION_COLUMNS))
     return grid.withColumn("from_station_id", number("from_station_id", "int"))

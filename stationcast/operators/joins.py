@@ -2,24 +2,62 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Groups that the stations are dealt to when they are paired with forecast rows.
-BUCKETS = 64
+# Pairs that one cell of the grid makes, as far as there are enough rows to deal.
+PAIRS_PER_CELL = 1 << 17
+
+
+def grid_shape(many: int, few: int, pairs_per_cell: int = PAIRS_PER_CELL) -> tuple[int, int]:
+    """Into how many rows and columns of blocks two sides of these sizes are dealt.
+
+    There are as many cells as the pairs need. With r rows and c columns of blocks the first side
+    is copied c times and the second r times; for a given number of cells the copies are fewest
+    where ``many * c`` equals ``few * r``.
+    """
+    if not many or not few:
+        return 1, 1
+    cells = max(1, math.ceil(many * few / pairs_per_cell))
+    rows = min(many, cells, max(1, round(math.sqrt(cells * many / few))))
+    return rows, min(few, math.ceil(cells / rows))
 
 
-def replicate_join(
-    many: DataFrame, few: DataFrame, keys: list[str], buckets: int = BUCKETS
+def grid_join(
+    many: DataFrame,
+    few: DataFrame,
+    keys: list[str],
+    few_keys: list[str] | None = None,
+    sizes: tuple[int, int] | None = None,
+    pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
-    """Every row of ``many`` with every row of ``few``, spread over hash buckets.
+    """Every row of ``many`` with every row of ``few``, as an equi-join on the cells of a grid.
 
-    Rows of ``many`` are dealt to ``buckets`` by ``keys`` and ``few`` is copied once into
-    each, so the pairing is an equi-join on the bucket. The hint keeps ``many`` partitioned:
-    it streams past a hash table of ``few`` and is never broadcast. More buckets spread a
-    longer ``many`` over more tasks and copy ``few`` more often; the number does not
-    depend on the session's shuffle partitions.
+    ``many`` is dealt to rows of blocks by a hash of its ``keys``, ``few`` to columns by one of its
+    ``few_keys`` (all its columns), and each row is copied to the cells of its block. The shape
+    follows the ``sizes`` of the sides in rows, which are counted if they are not given. So tasks
+    grow with the pairs on either side, a cell holds a bounded part of both, and neither side is
+    ever broadcast.
     """
-    dealt = many.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    copies = few.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return dealt.join(copies.hint("shuffle_hash"), "_bucket").drop("_bucket")
+    rows, columns = grid_shape(*(sizes or (many.count(), few.count())), pairs_per_cell)
+    return _in_cells(many, few, keys, few_keys or few.columns, rows, columns)
+
+
+def _in_cells(
+    many: DataFrame, few: DataFrame, keys: list[str], few_keys: list[str], rows: int, columns: int
+) -> DataFrame:
+    """The hint keeps both sides partitioned: one streams past a hash table of the other's cell."""
+    first = F.pmod(F.xxhash64(*keys), F.lit(rows)).cast("int")
+    second = F.pmod(F.xxhash64(*few_keys), F.lit(columns)).cast("int")
+    across = F.sequence(F.lit(0), F.lit(columns - 1))
+    along = F.sequence(F.lit(0), F.lit(rows - 1))
+    dealt = many.withColumn("_cell", F.explode(F.transform(across, lambda c: first * columns + c)))
+    copies = few.withColumn("_cell", F.explode(F.transform(along, lambda r: r * columns + second)))
+    return dealt.join(copies.hint("shuffle_hash"), "_cell").drop("_cell")
+
+
+def replicate_join(many: DataFrame, few: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """The pairing in one column of ``buckets`` blocks: ``many`` is not copied, ``few`` to each."""
+    return _in_cells(many, few, keys, few.columns, buckets, 1)

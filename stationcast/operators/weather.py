@@ -143,3 +143,29 @@ def align_series(series: list[DataFrame], key: str = "datetime") -> DataFrame:
     the same key, so each series is shuffled once at most.
     """
     return reduce(lambda left, right: left.join(right, key), series)
+
+
+def count_readings(series: DataFrame, measure: str, key: str = "datetime") -> DataFrame:
+    """One row per time: ``measure`` as its distinct readings, each with its number of ``rows``.
+
+    The readings are counted before they are gathered, so a time that repeats a reading often
+    holds it once. They are sorted, a missing one first.
+    """
+    counted = series.groupBy(key, measure).agg(F.count(F.lit(1)).alias("rows"))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(measure).alias("reading"), "rows")))
+    return counted.groupBy(key).agg(pairs.alias(measure))
+
+
+def expand_readings(counted: DataFrame, measures: list[str], rows: str = "rows") -> DataFrame:
+    """The rows that counted readings stand for: every combination of readings, as often as it is counted."""
+    wide, columns = counted, [name for name in counted.columns if name not in (*measures, rows)]
+    times = F.lit(1).cast("long")
+    for name in measures:
+        wide = wide.withColumn(f"_{name}", F.explode(name))
+        times = times * F.col(f"_{name}.rows")
+    if "category_rows" in columns:
+        columns.remove("category_rows")
+        times = times * F.col("category_rows")
+    readings = [F.col(f"_{name}.reading").alias(name) for name in measures]
+    single = wide.select(*columns, *readings, F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("_copy"))
+    return single.drop("_copy")

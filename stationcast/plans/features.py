@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from stationcast.functions import hour_bucket, number, part_of_hour, stable_round, wall_clock
 from stationcast.operators.calendar import day_features
-from stationcast.operators.joins import replicate_join
+from stationcast.operators.joins import grid_join
 from stationcast.operators.stations import profile_of_tally, trip_tally
 from stationcast.operators.weather import align_series, classify_weather
-from stationcast.plans.ingest import weather_categories
+from stationcast.plans.ingest import COUNTED_WEATHER, weather_categories
 from stationcast.schemas import (
     MEASURES,
     STATION_ATTRIBUTES,
@@ -137,6 +137,20 @@ def series_tally(series: dict[str, DataFrame], vocabulary: DataFrame | None = No
     )
 
 
+def counted_tally(counted: DataFrame) -> DataFrame:
+    """The tally from counted weather, without building the rows it stands for."""
+    totals = []
+    for name in MEASURES:
+        weight = F.expr("rows div " + f"aggregate({name}, 0L, (n, x) -> n + x.rows)")
+        read = F.transform(name, lambda x: F.struct(number(x["reading"]).alias("value"), x["rows"].alias("rows")))
+        known = F.filter(read, lambda x: x["value"].isNotNull())
+        total = F.aggregate(known, F.lit(0.0), lambda t, x: t + x["value"] * x["rows"])
+        count = F.aggregate(known, F.lit(0).cast("long"), lambda t, x: t + x["rows"])
+        totals.append(F.when(F.size(known) > 0, total * weight).alias(f"{name}_sum"))
+        totals.append((count * weight).alias(f"{name}_count"))
+    return counted.select("datetime", "weather_description", F.col("rows").alias("readings"), *totals)
+
+
 def demand_frame(
     tally: DataFrame, holidays: DataFrame, station_columns: Sequence[str] = STATION_COLUMNS
 ) -> DataFrame:
@@ -186,7 +200,7 @@ def training_frame(
     ``trips`` and ``profile`` are as in :func:`hourly_demand`; ``weather`` is the weather
     table or the five series it is made of.
     """
-    return _training_frame(hourly_demand(trips, profile), weather, holidays)
+    return frame_of_hours(hourly_demand(trips, profile), weather, holidays)
 
 
 def training_frame_from_trips(
@@ -199,13 +213,19 @@ def training_frame_from_trips(
     """
     tally = stage(trip_tally(flagged), "tally")
     hours = demand_of_tally(tally, profile_of_tally(tally))
-    return _training_frame(hours, weather, holidays)
+    return frame_of_hours(hours, weather, holidays)
 
 
-def _training_frame(
+def frame_of_hours(
     hours: DataFrame, weather: DataFrame | dict[str, DataFrame], holidays: DataFrame
 ) -> DataFrame:
-    readings = series_tally(weather) if isinstance(weather, dict) else weather_tally(weather)
+    """The frame to train on from demand by station and hour; counted weather goes in as it is."""
+    if isinstance(weather, dict):
+        readings = series_tally(weather)
+    elif set(COUNTED_WEATHER) <= set(weather.columns):
+        readings = counted_tally(weather)
+    else:
+        readings = weather_tally(weather)
     joined = hours.join(readings, F.col("starttime_join") == F.col("datetime"))
     return demand_frame(_weighted(joined, "trips"), holidays).select(*TRAINING_COLUMNS)
 
@@ -246,6 +266,7 @@ def scoring_frame(
         .where(F.col("from_station_id").isNotNull())
         .distinct()
     )
-    return replicate_join(known, parts.drop("bicycle_rentals"), list(STATION_COLUMNS)).select(
+    parts = stage(parts.drop("bicycle_rentals"), "parts")
+    return grid_join(known, parts, list(STATION_COLUMNS)).select(
         *[name for name in TRAINING_COLUMNS if name != "bicycle_rentals"]
     )

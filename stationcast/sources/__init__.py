@@ -17,8 +17,10 @@ from stationcast.sources.tables import (
     select_measure,
     trip_columns,
 )
+from stationcast.sources.keyed import KeyedTable
 
 __all__ = [
+    "KeyedTable",
     "flatten_forecast",
     "parse_documents",
     "parse_forecast",
