@@ -2,6 +2,8 @@
 
     spark-submit submit.py predict --stations stations --forecast payload.json \
         --first-year 2024 --last-year 2025 --model model --out documents
+
+``--keyed`` stores the documents for lookups by station instead of as JSON.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stationcast.operators import holiday_calendar, prediction_documents
 from stationcast.plans import plain_predictions, scoring_frame
 from stationcast.session import build_session, staging
-from stationcast.sinks import write_documents, write_topic
+from stationcast.sinks import write_documents, write_keyed, write_topic
 from stationcast.sources import read_forecast, read_model, read_stations, read_trips
 
 
@@ -41,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--last-year", type=int, required=True)
     parser.add_argument("--model", required=True)
     parser.add_argument("--out", help="folder for JSON documents")
+    parser.add_argument("--keyed", action="store_true", help="write --out for lookups by station")
     parser.add_argument("--servers", help="message brokers, instead of --out")
     parser.add_argument("--topic")
     args = parser.parse_args(argv)
@@ -50,7 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("predict")
     with staging(spark):
         result = documents(spark, args.forecast, years, args.model, args.stations, args.trips)
-        if args.out:
+        if args.out and args.keyed:
+            write_keyed(result, args.out, "from_station_id")
+        elif args.out:
             write_documents(result, args.out)
         else:
             write_topic(result, args.servers, args.topic)

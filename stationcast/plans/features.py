@@ -26,8 +26,9 @@ from stationcast.operators.calendar import day_features
 from stationcast.operators.joins import grid_join
 from stationcast.operators.stations import profile_of_tally, trip_tally
 from stationcast.operators.weather import align_series, classify_weather
-from stationcast.plans.ingest import COUNTED_WEATHER, weather_categories
+from stationcast.plans.ingest import weather_categories
 from stationcast.schemas import (
+    COUNTED_WEATHER,
     MEASURES,
     STATION_ATTRIBUTES,
     STATION_COLUMNS,

@@ -17,10 +17,6 @@ from stationcast.operators.weather import (
 from stationcast.schemas import MEASURES, RAW_TRIP_COLUMNS, require_columns
 from stationcast.session import stage
 
-# Columns of counted weather beside ``datetime``, ``weather_description`` and the measures.
-COUNTED_WEATHER = ("rows", "category_rows")
-
-
 def ingest_trips(trips: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """Trips with rider flags and the profile of their station.
 

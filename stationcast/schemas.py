@@ -17,6 +17,8 @@ STATION_ATTRIBUTES = (
 STATION_COLUMNS = ("from_station_id", *STATION_ATTRIBUTES)
 
 MEASURES = ("humidity", "pressure", "temperature", "wind_speed")
+# Columns of counted weather beside the hour, the category and the measures.
+COUNTED_WEATHER = ("rows", "category_rows")
 
 RAW_TRIP_COLUMNS = (
     "starttime",

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.functions import hour_bucket
-from stationcast.schemas import MEASURES, RAW_TRIP_COLUMNS, STATION_COLUMNS, require_columns
+from stationcast.schemas import (
+    COUNTED_WEATHER,
+    MEASURES,
+    RAW_TRIP_COLUMNS,
+    STATION_COLUMNS,
+    require_columns,
+)
 
 WEATHER_COLUMNS = ("datetime", *MEASURES[:3], "weather_description", MEASURES[3])
 
@@ -63,4 +69,6 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*WEATHER_COLUMNS)
+    """The weather table, plain or counted; a counted one has its numbers of rows too."""
+    table = spark.read.parquet(path)
+    return table.select(*WEATHER_COLUMNS, *[name for name in COUNTED_WEATHER if name in table.columns])
