@@ -6,18 +6,18 @@
    there share a node. A node with more classes than a leaf may hold branches again by one or
    more other places, chosen by its path, so classes that only share a frequent passage soon
    part. Each branching makes up for the pairs it parts, see ``Join``.
-3. Before a node branches, its classes are compared with a pivot, and what can be linked is
-   confirmed on the full sets; so in a few rounds, each with another pivot out of the node's
-   largest component. A node of one component is done: it cannot connect anything more. One with
-   few classes outside its largest component is settled by blocks, see below. So a group of near
-   copies, which no branching parts, leaves the trees where it is first met.
-4. In a leaf, every class is compared with all others by signature inside the task. Each names its
-   most similar partner of another component; these are confirmed on the full sets, and so again
-   in rounds, in each of which the components of a group halve at least if the partners hold.
-5. The leaves that still hold classes of several components compare these on their full sets, and
-   return links that connect components, not all pairs. In nodes that are settled or stay large
-   to the end, the classes outside the largest component are compared with all others in blocks of
-   a leaf's size.
+3. Before nodes too large for a leaf branch, their classes are compared with a pivot, and what can
+   be linked is confirmed on the full sets. A node of one component is done: it cannot connect
+   anything more. One with few classes outside its largest component is settled by blocks, see
+   below. So a huge group of near copies, which no branching parts, leaves the trees early.
+4. In a leaf, every class is compared with all others by signature inside the task. Those that can
+   be linked with one of another component name the most similar partner, and these are confirmed
+   on the full sets. Leaves of several trees that share such classes are then one, as far as
+   it is no larger than a leaf may be, so a group met in all trees is compared once from there on.
+5. After some such rounds the leaves that still hold classes of several components compare these on
+   their full sets, and return links that connect components, not all pairs. In nodes that are
+   settled or stay large to the end, the classes outside the largest component are compared with all
+   others in blocks of a leaf's size.
 
 No step holds a group of copies in one task or lists the pairs of a group.
 """
@@ -43,8 +43,10 @@ from stationcast.session import stage
 
 # Cells of a table of sets and elements at most.
 CELLS = 1 << 20
-# Pivots that a large node tries, and partners that a class of a leaf tries, before all are compared.
-ROUNDS = 3
+# Partners that a class of a leaf tries before all are compared.
+ROUNDS = 2
+# Classes of a leaf that are compared with all others of it at once.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ class Join:
     shingle: int = 5
     places: int = 64
     missed: float = 0.001
-    leaf: int = 768
+    leaf: int = 2048
     depth: int = 8
     slack: float = 5.0
 
@@ -248,31 +250,21 @@ class _Groups:
             self.add(confirmed(pairs, texts, self.join))
 
     def settle(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Compare large nodes with pivots; nodes to branch on, and those with a small rest."""
-        for turn in range(ROUNDS):
-            held = stage(self.label(rows), "held")
-            nodes = stage(_shares(held).where("whole > top"), "mixed")
-            # Nodes of one component need no further look.
-            rows = stage(rows.join(nodes.select("path"), "path", "left_semi"), "large")
-            if rows.isEmpty():
-                return rows, rows
-            held = held.join(nodes.select("path", "largest"), "path")
-            order = F.col("class") if turn == 0 else F.xxhash64("class", F.lit(turn))
-            first = F.min(F.struct(order.alias("order"), "class", "n", "signature")).alias("first")
-            pivots = stage(held.where("component = largest").groupBy("path").agg(first), "pivots")
-            met = (
-                held.where("component != largest")
-                .join(pivots, "path")
-                .withColumn("equal", _equal_places("signature", "first.signature"))
-                .where(_alike(self.join))
-            )
-            if turn == 0:
-                met = met.where("class != first.class")
-            self.add_partners(met.select("class", F.col("first.class").alias("partner"), "equal"))
-        nodes = stage(_shares(self.label(rows)).where("whole > top"), "mixed")
-        rest = F.col("whole") - F.col("top") <= max(1, self.join.leaf // 2)
-        held = rows.join(nodes.select("path", rest.alias("little")), "path")
-        return stage(held.where(~F.col("little")).drop("little"), "large"), held.where("little").drop("little")
+        """Compare large nodes with a pivot; nodes to branch on, and those with a small rest."""
+        held = self.label(rows)
+        first = F.min(F.struct("class", "n", "signature", "component")).alias("first")
+        pivots = stage(held.groupBy("path").agg(first), "pivots")
+        met = held.join(pivots, "path").where(F.col("component") != F.col("first.component"))
+        met = met.withColumn("equal", _equal_places("signature", "first.signature")).where(_alike(self.join))
+        met = stage(met.select("class", F.col("first.class").alias("partner"), "equal"), "met")
+        if met.isEmpty():
+            return rows, rows.limit(0)
+        self.add_partners(met)
+        nodes = stage(_shares(self.label(rows)), "shares")
+        rest = F.col("whole") - F.col("top")
+        few = (rest <= max(1, self.join.leaf // 2)).alias("few")
+        held = rows.join(nodes.where(rest > 0).select("path", few), "path")
+        return stage(held.where(~F.col("few")).drop("few"), "large"), held.where("few").drop("few")
 
 
 def _shares(held: DataFrame) -> DataFrame:
@@ -310,18 +302,20 @@ def _open_members(rows: DataFrame, join: Join, turn: int = 0) -> DataFrame:
             best = np.full(len(classes), -1, np.int64)
             equal = np.zeros(len(classes), np.int32)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                own, n, part = signed[a:b], sizes[a:b], parts[a:b]
-                same = (own[:, None, :] == own[None, :, :]).sum(axis=2).astype(np.int32)
-                low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-                fits = (same >= join.least_equal) & (100 * low >= join.percent * high)
-                same = np.where(fits & (part[:, None] != part[None, :]), same, 0)
-                by_class = np.argsort(classes[a:b], kind="stable")
-                for _ in range(turn + 1):
-                    at = by_class[np.argmax(same[:, by_class], axis=1)]
-                    found = same[np.arange(b - a), at]
-                    equal[a:b] = np.where(found > 0, found, equal[a:b])
-                    best[a:b] = np.where(found > 0, classes[a:b][at], best[a:b])
-                    same[np.arange(b - a), at] = 0
+                by_class = a + np.argsort(classes[a:b], kind="stable")
+                own, n, part = signed[by_class], sizes[by_class], parts[by_class]
+                for c in range(0, b - a, CHUNK):
+                    some = by_class[c : c + CHUNK]
+                    same = (signed[some][:, None, :] == own[None, :, :]).sum(axis=2, dtype=np.int32)
+                    low, high = np.minimum(sizes[some][:, None], n), np.maximum(sizes[some][:, None], n)
+                    fits = (same >= join.least_equal) & (100 * low >= join.percent * high)
+                    same = np.where(fits & (parts[some][:, None] != part), same, 0)
+                    for _ in range(turn + 1):
+                        at = np.argmax(same, axis=1)
+                        found = same[np.arange(len(some)), at]
+                        equal[some] = np.where(found > 0, found, equal[some])
+                        best[some] = np.where(found > 0, classes[by_class[at]], best[some])
+                        same[np.arange(len(some)), at] = 0
             kept = np.flatnonzero(equal)
             taken = {n: column.take(pa.array(kept)) for n, column in columns.items()}
             yield pa.RecordBatch.from_pydict(
@@ -385,15 +379,18 @@ def _link_table(sets: list[np.ndarray], percent: int) -> np.ndarray:
     column = np.cumsum(np.concatenate([[0], values[1:] != values[:-1]])) if len(values) else owner
     common = np.bincount(column, minlength=1) > 1
     owner, column = owner[common[column]], (np.cumsum(common) - 1)[column[common[column]]]
-    shared = np.zeros((len(sets), len(sets)), np.int64)
+    shared = np.zeros((len(sets), len(sets)), np.int32)
     step = max(1, CELLS // max(1, len(sets)))
     for start in range(0, int(common.sum()), step):
         a, b = np.searchsorted(column, [start, start + step])
         table = np.zeros((len(sets), min(step, int(common.sum()) - start)), np.float32)
         table[owner[a:b], column[a:b] - start] = 1
-        shared += (table @ table.T).astype(np.int64)
-    united = sizes[:, None] + sizes[None, :] - shared
-    return (shared > 0) & (100 * shared >= percent * united)
+        shared += (table @ table.T).astype(np.int32)
+    linked = np.zeros(shared.shape, bool)
+    for i, row in enumerate(shared):
+        row = row.astype(np.int64)
+        linked[i] = (row > 0) & (100 * row >= percent * (sizes[i] + sizes - row))
+    return linked
 
 
 def _links_in_nodes(rows: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
@@ -448,6 +445,19 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return rows.join(own, column, "left").withColumn(name, F.coalesce(name, column))
 
 
+def _one_leaf(rows: DataFrame, join: Join) -> DataFrame:
+    """The rows of leaves that share classes as one leaf, if it is no larger than ``join.leaf``."""
+    least = rows.groupBy("node").agg(F.min("class").alias("b"))
+    shared = components(rows.join(least, "node").select(F.col("class").alias("a"), "b"))
+    joined = stage(_labelled(rows, shared, "class", "whole"), "joined")
+    one = joined.dropDuplicates(["whole", "class"])
+    sizes = one.groupBy("whole").agg(F.count(F.lit(1)).alias("held"))
+    small = stage(sizes.where(F.col("held") <= join.leaf).select("whole"), "small")
+    others = joined.join(small, "whole", "left_anti").select(*rows.columns)
+    single = one.join(small, "whole", "left_semi").withColumn("node", F.xxhash64(F.lit("whole"), "whole"))
+    return others.unionByName(single.select(*rows.columns))
+
+
 def _blocks(large: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
     """Rows of nodes left large, copied to blocks that a leaf could hold.
 
@@ -522,14 +532,14 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         rows = stage(_open_members(groups.label(rows), join, turn), "open")
         if rows.isEmpty():
             break
-        if texts is None:
-            # Whoever is a partner is open as well, now or never.
-            texts = groups.texts(rows.select("class"))
         if turn < ROUNDS:
+            if texts is None:
+                # Whoever is a partner is open as well, now or never.
+                texts = groups.texts(rows.select("class"))
             groups.add_partners(rows.select("class", "partner", "equal"), texts)
+            rows = _one_leaf(rows.select(*names), join) if turn == 0 else rows.select(*names)
         else:
             groups.add(_links_in_nodes(rows, texts, join))
-        rows = rows.select(*names)
     labels = groups.labels
 
     members = signed.select("doc_id", "n_shingles", "digest").join(
