@@ -307,10 +307,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, remember: bool = True) -> DataFrame:
     """``doc_id``, ``token_ids`` and the ``text`` these decode to, for every whole text.
 
-    As ``encode`` and then ``decode``, in one Python task instead of two side by side.
+    As ``encode`` and then ``decode``, in one Python task instead of two side by side. Where other
+    work follows in the same processes, ``remember`` lets them forget vocabulary and chunks at the
+    end of each task.
     """
 
     def both(batch: pa.RecordBatch) -> dict:
@@ -321,15 +323,16 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         texts = [bpe.decode(listed[a:b]) for a, b in itertools.pairwise(edges)]
         return {"doc_id": batch.column("doc_id"), "token_ids": lists, "text": pa.array(texts, pa.string())}
 
-    return map_slices(id_text(docs), both, "doc_id long, token_ids array<int>, text string")
+    after = None if remember else load.cache_clear
+    return map_slices(id_text(docs), both, "doc_id long, token_ids array<int>, text string", after=after)
 
 
-def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+def digests(docs: DataFrame, path: str, keep_ids: bool = False, remember: bool = True) -> DataFrame:
     """Per document the number of ids, and checksums of the ids and of what they decode to.
 
     ``keep_ids`` adds the ids themselves as ``token_ids``.
     """
-    return round_trip(docs, path).select(
+    return round_trip(docs, path, remember).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ",").cast("binary"), 256).alias("ids_sha256"),

@@ -1,20 +1,25 @@
 """Stupid-backoff scores of documents, with n-gram counts over the whole corpus.
 
-Documents are dealt to batches. A batch counts its own n-grams first and sends them, as sorted
-64-bit hashes with counts, in one block to each range of hashes; so a frequent n-gram comes once
-from a batch, however many documents hold it. The task of a range adds up the counts and
-answers every block with the totals of its n-grams, in the block's order. A batch then meets
-its totals again, looks up each n-gram of its documents and sums per document. The count tables
-are partitioned by hash throughout and never gathered.
-
 An n-gram seen ``min_count`` times or more scores its count over its context's count; otherwise
 the next shorter one stands for it, at a ``backoff`` factor. Single words score their count over
-the number of words, which is known only at the end: it enters a document's sum as so many times
-its logarithm.
+the number of words. In logarithms, what a word gains by a longer n-gram over the shorter one does
+not depend on the document. So all is done by tables and joins:
+
+1. Texts become rows of n-grams of all orders as 64-bit hashes, with the hashes of context and
+   shorter n-gram. They are counted, partitioned by hash; those that do not repeat are left out.
+2. The count tables are joined with each other, order by order: context's count, score of the
+   shorter n-gram, and the ``gain`` over it.
+3. Texts become rows again, each distinct n-gram of a document once with its number. They are
+   joined with the gains and summed per document. Adaptive execution splits a hot n-gram, of which
+   there is one row per document.
+
+The hashes are dealt to a fixed number of ``passes``, one after the other, so that the rows of one
+pass only are on the disks at a time; the texts are read in each.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -24,18 +29,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.llm.shingles import mix, words
-from stationcast.llm.tables import documents, id_text, partitions
+from stationcast.llm.tables import documents, id_text, map_slices
 from stationcast.session import stage
 
 
 @dataclass(frozen=True)
 class Backoff:
-    """``batch_bytes``: text of a batch, and of the corpus for each range of hashes."""
-
-    order: int = 2
+    order: int = 3
     backoff: float = 0.4
     min_count: int = 2
-    batch_bytes: int = 8 << 20
+    passes: int = 4
 
 
 def grams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -52,24 +55,97 @@ def grams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray,
     return out, place, found.bounds
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers with equal bytes side by side, which the shuffle's compression makes short."""
-    size = values.dtype.itemsize
-    return values.view(np.uint8).reshape(-1, size).T.tobytes()
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+
+
+def _runs(first: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(np.append(first, total)).astype(np.int32)
+
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(values).view(np.int64))
+
+
+def _counted_rows(texts: DataFrame, how: Backoff, number: int) -> DataFrame:
+    """``k``, ``gram``, ``context``, ``shorter`` and ``n`` of the grams of a pass, once per batch."""
+
+    def count(batch: pa.RecordBatch) -> dict:
+        hashes, place, _ = grams(_texts(batch), how.order)
+        parts = []
+        for k, own in enumerate(hashes):
+            at = np.flatnonzero((place >= k) & (own % np.uint64(how.passes) == number))
+            at = at[np.argsort(own[at], kind="stable")]
+            first = _firsts(own[at])
+            some = at[first]
+            shorter = hashes[max(0, k - 1)]
+            context = shorter[some - 1] if k else shorter[some]
+            parts.append((np.full(len(some), k + 1, np.int8), own[some], context, shorter[some], _runs(first, len(at))))
+        kinds, own, context, shorter, n = (np.concatenate(p) for p in zip(*parts, strict=True))
+        return {"k": kinds, "gram": _signed(own), "context": _signed(context), "shorter": _signed(shorter), "n": n}
 
+    return map_slices(texts, count, "k byte, gram long, context long, shorter long, n int")
 
-def _numbers(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(data, np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
+def _document_rows(texts: DataFrame, how: Backoff, number: int) -> DataFrame:
+    """``row``, ``gram`` and ``times``: the distinct grams of a pass in each text."""
 
-def _texts(table: pa.Table) -> list[bytes]:
-    return table.column("text").cast(pa.binary()).to_pylist()
+    def spread(batch: pa.RecordBatch) -> dict:
+        hashes, place, bounds = grams(_texts(batch), how.order)
+        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        parts = []
+        for k, own in enumerate(hashes):
+            at = np.flatnonzero((place >= k) & (own % np.uint64(how.passes) == number))
+            at = at[np.lexsort((own[at], owner[at]))]
+            changed = (own[at][1:] != own[at][:-1]) | (owner[at][1:] != owner[at][:-1])
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), changed]))
+            parts.append((owner[at[first]], own[at[first]], _runs(first, len(at))))
+        owner, own, times = (np.concatenate(p) for p in zip(*parts, strict=True))
+        return {"row": batch.column("row").take(pa.array(owner)), "gram": _signed(own), "times": times}
 
+    return map_slices(texts, spread, "row long, gram long, times int")
 
-def _valid(hashes: list[np.ndarray], place: np.ndarray) -> np.ndarray:
-    return np.concatenate([h[place >= k] for k, h in enumerate(hashes)])
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def count_tables(texts: DataFrame, how: Backoff) -> DataFrame:
+    """The counts of all words, and of longer grams that repeat; stored, partitioned by hash."""
+    tables = []
+    for number in range(how.passes):
+        rows = _counted_rows(texts, how, number)
+        same = [F.first(name).alias(name) for name in ("k", "context", "shorter")]
+        counts = rows.groupBy("gram").agg(F.sum("n").alias("n"), *same)
+        tables.append(stage(counts.where((F.col("k") == 1) | (F.col("n") >= how.min_count)), "counts"))
+    return _union(tables)
+
+
+def gain_tables(counts: DataFrame, how: Backoff) -> DataFrame:
+    """``gram`` and ``gain``: what a gram adds to the logarithm of the score of its shorter one.
+
+    A gram that repeats has a context and a shorter gram that repeat as well, so the joins find
+    both for every row.
+    """
+    # One number: the words of the corpus.
+    total = counts.where("k = 1").agg(F.sum("n")).first()[0] or 1
+    level = stage(
+        counts.where("k = 1").select("gram", "n", (F.log("n") - F.lit(math.log(total))).alias("score")), "level"
+    )
+    gains = [level.select("gram", F.col("score").alias("gain"))]
+    for k in range(2, how.order + 1):
+        context = level.select(F.col("gram").alias("context"), F.col("n").alias("of"))
+        shorter = level.select(F.col("gram").alias("shorter"), F.col("score").alias("under"))
+        own = counts.where(F.col("k") == k).join(context, "context").join(shorter, "shorter")
+        score = F.log(F.col("n") / F.col("of"))
+        own = own.select("gram", "n", score.alias("score"), (score - F.col("under") - math.log(how.backoff)).alias("gain"))
+        level = stage(own, "level")
+        gains.append(level.select("gram", "gain"))
+    return _union(gains)
 
 
 def corpus_scores(docs: DataFrame, how: Backoff = Backoff()) -> DataFrame:
@@ -79,112 +155,28 @@ def corpus_scores(docs: DataFrame, how: Backoff = Backoff()) -> DataFrame:
     natural logarithms of the words' scores, the mean is per word. A null, empty or blank text
     has 0 words and a score and mean of 0. Every row counts and is scored, also a repeated one.
     Other columns are not read. No rows: an empty result. A batch holds at least one text whole.
+    The texts are stored with a number for each row, which tells equal rows apart.
     """
-    spark = docs.sparkSession
-    texts = id_text(docs)
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    number = max(1, math.ceil(size / how.batch_bytes))
-    dealt = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(number)))
-    # Read twice below: by the counting and by the scoring, from one exchange.
-    dealt = dealt.repartition(partitions(spark), "batch")
-
-    def count(table: pa.Table) -> pa.Table:
-        hashes, place, _ = grams(_texts(table), how.order)
-        keys = np.sort(_valid(hashes, place))
-        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
-        counts = np.diff(np.append(first, len(keys))).astype(np.uint32)
-        keys = keys[first]
-        ranges = ((keys >> np.uint64(32)) * np.uint64(number)) >> np.uint64(32)
-        edges = np.flatnonzero(np.diff(ranges.astype(np.int64), prepend=-1))
-        blocks = []
-        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(keys)], strict=True) if len(keys) else ():
-            steps = np.diff(keys[a:b], prepend=np.uint64(0))
-            blocks.append((int(ranges[a]), _planes(steps), _planes(counts[a:b])))
-        batch = table.column("batch")[0].as_py()
-        return pa.table(
-            {
-                "range": pa.array([r for r, _, _ in blocks], pa.int64()),
-                "batch": pa.array([batch] * len(blocks), pa.int64()),
-                "grams": pa.array([g for _, g, _ in blocks], pa.binary()),
-                "counts": pa.array([c for _, _, c in blocks], pa.binary()),
-            }
-        )
-
-    def total(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_numbers(g, np.uint64)) for g in table.column("grams").to_pylist()]
-        counts = [_numbers(c, np.uint32) for c in table.column("counts").to_pylist()]
-        sizes = [len(k) for k in keys]
-        order = np.argsort(joined := np.concatenate(keys), kind="stable")
-        ordered = joined[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        sums = np.add.reduceat(np.concatenate(counts).astype(np.int64)[order], first)
-        totals = np.empty(len(joined), np.int64)
-        totals[order] = np.repeat(sums, np.diff(np.append(first, len(joined))))
-        parts = np.split(totals, np.cumsum(sizes)[:-1])
-        return pa.table(
-            {
-                "batch": table.column("batch"),
-                "range": table.column("range"),
-                "totals": pa.array([_planes(p) for p in parts], pa.binary()),
-            }
-        )
-
-    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
-        hashes, place, bounds = grams(_texts(table), how.order)
-        distinct, inverse = np.unique(_valid(hashes, place), return_inverse=True)
-        ranges = answers.column("range").to_numpy()
-        data = answers.column("totals").to_pylist()
-        totals = np.concatenate(
-            [np.zeros(0, np.int64), *[_numbers(data[i], np.int64) for i in np.argsort(ranges)]]
-        )
-        if len(totals) != len(distinct):
-            raise RuntimeError("the rows of a batch changed between counting and scoring")
-        own = totals[inverse]
-        counts, at = [], 0
-        for k in range(how.order):
-            valid = place >= k
-            full = np.zeros(len(place), np.int64)
-            full[valid] = own[at : at + int(valid.sum())]
-            at += int(valid.sum())
-            counts.append(full)
-        best = np.ones(len(place), np.int64)
-        logs = np.log(np.maximum(counts[0], 1))
-        for k in range(2, how.order + 1):
-            seen = counts[k - 1] >= how.min_count
-            context = np.concatenate([np.ones(1, np.int64), counts[k - 2][:-1]])[: len(place)]
-            logs = np.where(seen, np.log(np.maximum(counts[k - 1], 1) / np.maximum(context, 1)), logs)
-            best = np.where(seen, k, best)
-        longest = np.minimum(place + 1, how.order)
-        logs = logs + (longest - best) * math.log(how.backoff)
-
-        def per_text(values: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(bounds) - 1, values.dtype)
-            filled = np.flatnonzero(np.diff(bounds))
-            if len(filled):
-                out[filled] = np.add.reduceat(values, bounds[filled])
-            return out
-
-        return pa.table(
-            {
-                "doc_id": table.column("doc_id"),
-                "n_words": pa.array(np.diff(bounds).astype(np.int64)),
-                "partial": pa.array(per_text(logs)),
-                "n_single": pa.array(per_text((best == 1).astype(np.int64))),
-            }
-        )
-
-    blocks = dealt.groupBy("batch").applyInArrow(
-        count, "range long, batch long, grams binary, counts binary"
-    )
-    answers = blocks.groupBy("range").applyInArrow(total, "batch long, range long, totals binary")
-    scored = (
-        dealt.groupBy("batch")
-        .cogroup(answers.groupBy("batch"))
-        .applyInArrow(score, "doc_id long, n_words long, partial double, n_single long")
-    )
-    scored = stage(scored, "scores")
-    n_words = scored.agg(F.sum("n_words")).first()[0] or 1
-    log_score = F.col("partial") - F.col("n_single") * F.lit(math.log(max(1, n_words)))
+
+    def sized(batch: pa.RecordBatch) -> dict:
+        n_words = np.diff(words(_texts(batch), lower=True).bounds)
+        return {n: batch.column(n) for n in ("row", "doc_id", "text")} | {"n_words": n_words}
+
+    given = id_text(docs).withColumn("row", F.monotonically_increasing_id())
+    texts = stage(map_slices(given, sized, "row long, doc_id long, text string, n_words long"), "texts")
+    gains = gain_tables(count_tables(texts, how), how)
+    sums = []
+    for number in range(how.passes):
+        met = _document_rows(texts, how, number).join(gains, "gram")
+        summed = met.groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("part"))
+        sums.append(stage(summed, "sums"))
+    whole = _union(sums).groupBy("row").agg(F.sum("part").alias("gained"))
+    # A word that could end a gram of k words starts with k - 1 factors, which each gain takes back.
+    n, order = F.col("n_words"), how.order
+    short = F.least(n, F.lit(order))
+    factors = short * (short - 1) / 2 + (n - short) * (order - 1)
+    log_score = F.coalesce("gained", F.lit(0.0)) + factors * F.lit(math.log(how.backoff))
+    scored = texts.select("row", "doc_id", "n_words").join(whole, "row", "left")
     return scored.select(
         "doc_id",
         "n_words",
@@ -211,18 +203,25 @@ WITH lists AS (
     FROM documents
 ), tokens AS (
     SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM lists
-), pairs AS (
-    SELECT doc_id, word, place, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM tokens
+), chains AS (
+    SELECT doc_id, word, lag(word) OVER w AS before, lag(word, 2) OVER w AS first
+    FROM tokens WINDOW w AS (PARTITION BY doc_id ORDER BY place)
 ), single AS (
     SELECT word, count(*) AS n FROM tokens GROUP BY word
 ), two AS (
-    SELECT before, word, count(*) AS n FROM pairs WHERE before IS NOT NULL GROUP BY before, word
+    SELECT before, word, count(*) AS n FROM chains WHERE before IS NOT NULL GROUP BY before, word
+), three AS (
+    SELECT first, before, word, count(*) AS n FROM chains WHERE first IS NOT NULL GROUP BY first, before, word
 ), scored AS (
     SELECT p.doc_id,
-           CASE WHEN t.n >= 2 THEN ln(t.n / c.n::DOUBLE)
+           CASE WHEN h.n >= 2 THEN ln(h.n / f.n::DOUBLE)
+                WHEN t.n >= 2 THEN ln(t.n / c.n::DOUBLE) + CASE WHEN p.first IS NULL THEN 0 ELSE ln(0.4) END
                 ELSE ln(s.n / (SELECT count(*) FROM tokens)::DOUBLE)
-                     + CASE WHEN p.before IS NULL THEN 0 ELSE ln(0.4) END END AS score
-    FROM pairs p JOIN single s ON p.word = s.word
+                     + CASE WHEN p.before IS NULL THEN 0 WHEN p.first IS NULL THEN ln(0.4) ELSE 2 * ln(0.4) END
+           END AS score
+    FROM chains p JOIN single s ON p.word = s.word
+    LEFT JOIN three h ON p.first = h.first AND p.before = h.before AND p.word = h.word
+    LEFT JOIN two f ON p.first = f.before AND p.before = f.word
     LEFT JOIN two t ON p.before = t.before AND p.word = t.word
     LEFT JOIN single c ON p.before = c.word
 ), sums AS (

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +151,17 @@ def _block_numbers(fingerprint: Column, blocks: int) -> list[Column]:
     return numbers
 
 
+def _keyed(numbers: list[Column], k: int) -> Column:
+    """A block as the key of a table, and the bits of the block before it; the first has none."""
+    before = F.lit(None) if k == 0 else numbers[k - 1].bitwiseAND(F.lit((1 << 48) - 1).cast("long"))
+    kind = "long" if BITS > 31 * len(numbers) else "int"
+    return F.struct(numbers[k].alias("key"), before.cast(kind).alias("before"))
+
+
+def _changed(block: Column, before: Column) -> Callable[[Column], Column]:
+    return lambda mask: F.struct(block.bitwiseXOR(mask).alias("key"), before.alias("before"))
+
+
 def within_wide_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, flips: int = 2) -> DataFrame:
     """``within_radius`` for a radius that leaves no whole block equal.
 
@@ -164,22 +175,30 @@ def within_wide_radius(queries: DataFrame, prints: DataFrame, radius: int = RADI
     distinct = prints.where(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(
         F.count(F.lit(1)).alias("n_docs")
     )
-    plain = F.explode(F.array(*_block_numbers(F.col("fingerprint"), blocks))).alias("key")
-    table = distinct.select("fingerprint", "n_docs", plain)
+    # With each block comes the one before it: a pair that met in that table is not made again.
+    numbers = _block_numbers(F.col("fingerprint"), blocks)
+    plain = F.explode(F.array(*[_keyed(numbers, k) for k in range(blocks)])).alias("at")
+    table = distinct.select("fingerprint", "n_docs", plain).select(
+        "fingerprint", "n_docs", "at.key", F.col("at.before").alias("own_before")
+    )
     asked = queries.select(F.col("fingerprint").alias("wanted")).where(F.col("wanted").isNotNull()).distinct()
     # A number stands for the fingerprint in the many rows below.
     asked = stage(asked.withColumn("number", F.monotonically_increasing_id()), "asked")
     changed = []
-    for k, block in enumerate(_block_numbers(F.col("wanted"), blocks)):
+    numbers = _block_numbers(F.col("wanted"), blocks)
+    for k, block in enumerate(numbers):
         width = BITS * (k + 1) // blocks - BITS * k // blocks
         masks = [sum(1 << b for b in c) for n in range(flips + 1) for c in itertools.combinations(range(width), n)]
         masks = F.lit(masks).cast("array<bigint>")
-        changed.append(F.transform(masks, block.bitwiseXOR))
+        changed.append(F.transform(masks, _changed(block, _keyed(numbers, k)["before"])))
     # Few rows become thousands of times as many here: they are spread first, and never broadcast.
     spread = asked.repartition(partitions(queries.sparkSession), "number")
-    probes = spread.select("number", F.explode(F.flatten(F.array(*changed))).alias("key"))
+    probes = spread.select("number", F.explode(F.flatten(F.array(*changed))).alias("at"))
+    probes = probes.select("number", F.col("at.key").alias("asked_key"), "at.before")
+    met_before = F.bit_count(F.col("before").bitwiseXOR(F.col("own_before"))) <= flips
+    first_met = (F.col("asked_key") == F.col("key")) & ~F.coalesce(met_before, F.lit(False))
     near = (
-        probes.hint("merge").join(table, "key")
+        probes.hint("merge").join(table, first_met)
         .join(asked, "number")
         .withColumn("distance", _distance("wanted", "fingerprint"))
         .where(F.col("distance") <= radius)
@@ -292,12 +311,20 @@ _ARROW = pa.schema(
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also ``n_near``: other documents within ``RADIUS`` bits, for ids divisible by 50, else null."""
+    """Also ``n_near``: other documents within ``RADIUS`` bits, for ids divisible by 50, else null.
+
+    They are counted per fingerprint, so rows that repeat an id have a number each.
+    """
     made = stage(edit_study(documents(spark, sf_dir), partitions(spark)), "study")
     prints = made.select("doc_id", "fingerprint")
-    asked = prints.where(F.col("doc_id") % 50 == 0)
+    is_asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
+    # The queries are named by their fingerprints here.
+    asked = prints.where(is_asked).select(F.col("fingerprint").alias("doc_id"), "fingerprint").distinct()
     near = within_wide_radius(asked, prints).groupBy("query").agg((F.sum("n_docs") - 1).alias("n_near"))
-    return made.join(near, F.col("doc_id") == F.col("query"), "left").select(
+    # Only the asked rows are dealt by their fingerprints, which copies share.
+    counted = made.where(is_asked).join(stage(near, "near"), F.col("fingerprint") == F.col("query"), "left")
+    others = made.where(~is_asked).withColumn("n_near", F.lit(None).cast("long"))
+    return counted.drop("query").unionByName(others).select(
         "doc_id",
         "n_chars",
         "edited_sha256",

@@ -186,10 +186,10 @@ def expected_scores(rows, order, backoff, least):
     return out
 
 
-@pytest.mark.parametrize("order, size", [(1, 1 << 20), (2, 20_000), (3, 2_000)])
-def test_scores_against_loops(spark, order, size):
+@pytest.mark.parametrize("order, passes", [(1, 1), (2, 3), (3, 4), (4, 1), (5, 2)])
+def test_scores_against_loops(spark, order, passes):
     rows = awkward_rows()
-    how = lm_scoring.Backoff(order=order, batch_bytes=size)
+    how = lm_scoring.Backoff(order=order, passes=passes)
     found = lm_scoring.corpus_scores(frame(spark, rows, clash=True), how).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
     got = sorted([(r.doc_id, r.n_words, r.log_score) for r in found], key=key)
@@ -200,7 +200,15 @@ def test_scores_against_loops(spark, order, size):
     assert lm_scoring.corpus_scores(frame(spark, []), how).count() == 0
 
 
-def test_one_exchange_deals_the_texts(spark):
-    docs = frame(spark, [(i, text_of("en", 20, i), None, None, None) for i in range(50)])
-    found = lm_scoring.corpus_scores(docs, lm_scoring.Backoff(batch_bytes=500))
-    assert found.count() == 50
+def test_min_count_of_one_and_a_hot_gram(spark):
+    """A pair that all documents hold has one row per document; with a bound of one all grams score."""
+    rows = [(i, f"of the {text_of('en', 20, i)} of the of the", None, None, None) for i in range(50)]
+    for least in (1, 3):
+        how = lm_scoring.Backoff(order=3, min_count=least, passes=2)
+        found = lm_scoring.corpus_scores(frame(spark, rows), how).collect()
+        expected = {r[0]: r[2] for r in expected_scores(rows, 3, 0.4, least)}
+        assert all(r.log_score == pytest.approx(expected[r.doc_id], rel=1e-9) for r in found) and len(found) == 50
+    pairs = lm_scoring._document_rows(
+        frame(spark, rows).selectExpr("doc_id AS row", "text"), lm_scoring.Backoff(passes=1), 0
+    )
+    assert pairs.groupBy("gram").count().agg({"count": "max"}).first()[0] == 50

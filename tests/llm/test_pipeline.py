@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from stationcast.llm import bpe, mixing
-from tests.llm.fixtures import awkward_rows, frame, plain_rows
+from tests.llm.fixtures import awkward_rows, frame, plain_rows, text_of
 from tests.llm.test_line_dedup import expected_texts
 from tests.llm.test_near_dups import groups, shingles
 
@@ -41,13 +41,26 @@ def test_lines_are_dropped_and_counted(spark):
 
 def test_one_of_each_group_stays(spark):
     rows = plain_rows(30)
-    rows += [(100 + r[0], r[1].upper(), *r[2:]) for r in rows[:10]] + [(None, rows[0][1], None, None, None)]
+    rows += [(100 + r[0], r[1].upper(), *r[2:]) for r in rows[:10]] + [(None, "a text of no id at all", None, None, None)]
     found = [r.doc_id for r in STAGES["near_duplicates"](spark, frame(spark, rows), SF).collect()]
     expected = groups({r[0]: shingles(r[1]) for r in rows if r[0] is not None}, 80)
     assert sorted(i for i in found if i is not None) == sorted(i for i, g in expected.items() if g[2])
     assert found.count(None) == 1
 
 
+def test_rows_that_repeat_an_id_or_have_none_are_compared(spark):
+    a, b, c, d = (text_of("en", 80, k) for k in range(4))
+    rows = [
+        (50, a, "en", "s", 1), (50, a, "en", "s", 1),  # the same row twice
+        (100, b, "en", "s", 1), (100, c, "en", "s", 1), (101, c, "en", "s", 1),  # two texts of one id, a copy
+        (None, a, "en", "s", 1), (None, d, None, "s", 1), (None, d, "en", None, None),
+        (7, None, "en", "s", 1), (7, "", "en", "s", 1),
+    ]
+    found = STAGES["near_duplicates"](spark, frame(spark, rows), SF).collect()
+    got = sorted((str(r.doc_id), r.text or "") for r in found)
+    assert got == sorted([("50", a), ("100", b), ("100", c), ("None", d), ("7", ""), ("7", "")])
+
+
 def test_tokens_decode_to_the_texts(spark):
     rows = awkward_rows()
     found = STAGES["tokens"](spark, frame(spark, rows, clash=True), SF)

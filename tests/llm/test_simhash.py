@@ -2,12 +2,13 @@
 
 import hashlib
 import itertools
+import math
 import random
 
 import numpy as np
 import pytest
 
-from stationcast.llm import simhash
+from stationcast.llm import shingles, simhash
 from tests.llm.fixtures import awkward_rows, frame
 
 
@@ -138,3 +139,43 @@ def test_plain_fingerprints(spark):
     found = simhash.with_fingerprints(frame(spark, rows, clash=True)).collect()
     expected = [(r[0], simhash.fingerprints([(r[1] or "").encode()])[0].tobytes()) for r in rows]
     assert sorted(str((r.doc_id, bytes(r.fingerprint))) for r in found) == sorted(map(str, expected))
+
+
+def test_rows_that_repeat_an_id_are_counted_each(spark, tmp_path):
+    a, b, c = (" ".join(f"{k}w{i}" for i in range(200)) for k in "abc")
+    rows = [(50, a), (50, a), (51, a), (100, b), (100, c), (101, b), (150, None), (150, ""), (None, c)]
+    frame(spark, [(i, t, None, None, None) for i, t in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = simhash.op4_simhash(spark, str(tmp_path)).collect()
+    got = sorted((str(r.doc_id), r.n_chars, str(r.n_near)) for r in found)
+    n = len(a)
+    assert got == sorted(
+        [("50", n, "2"), ("50", n, "2"), ("51", n, "None"), ("100", n, "1"), ("100", n, "1"), ("101", n, "None"),
+         ("150", 0, "1"), ("150", 0, "1"), ("None", n, "None")]
+    )
+
+
+def test_votes_against_plain_loops():
+    """Each term once, with a weight of 1 + ln(count), for the bits of its hash and against the others."""
+    words = "one two three one two three one two four five".split()
+    hashes = shingles.words([" ".join(words).encode()], lower=True).window(3)[0].tolist()
+    assert len(hashes) == len(words) - 2
+    multipliers = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+
+    def mixed(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            x ^= x >> shift
+            x = x * factor % (1 << 64)
+        return x
+
+    votes = [0.0] * simhash.BITS
+    for term in set(hashes):
+        weight = 1 + math.log(hashes.count(term))
+        kept = term >> simhash.OWNER_BITS << simhash.OWNER_BITS
+        spread = b"".join(mixed(kept * m % (1 << 64)).to_bytes(8, "little") for m in multipliers)
+        for k in range(simhash.BITS):
+            bit = spread[k // 8] >> (7 - k % 8) & 1
+            votes[k] += weight if bit else -weight
+    expected = [v > 0 for v in votes]
+    found = np.unpackbits(simhash.fingerprints([" ".join(words).upper().encode()])[0])
+    assert min(abs(v) for v in votes) > 1e-4 and found.astype(bool).tolist() == expected
+    assert len({tuple(words[k : k + 3]) for k in range(len(words) - 2)}) == len(set(hashes))
