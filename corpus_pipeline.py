@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stationcast.llm import bpe, lang_id, line_dedup, mixing, near_dups
 from stationcast.llm.tables import documents, prepare
-from stationcast.session import stage
+from stationcast.session import discard, scratch_path, stage, staging
 
 NEAR = near_dups.Join(percent=80)
 
@@ -35,12 +35,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of each group of near duplicates, and rows without an id."""
+    """Keep one row of each group of near duplicates: that with the smallest id, a missing one last.
+
+    Every row is compared under a number of its own, so rows that repeat an id, or have none, are
+    too. The rows are stored with their numbers, which must not change between the passes.
+    """
     prepare(spark)
-    groups = stage(near_dups.near_duplicates(docs, NEAR), "groups")
+    numbered = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*_columns(docs)).alias("__document"))
+    numbered = stage(numbered, "numbered")
+    texts = numbered.select(F.col("__row").alias("doc_id"), F.col("__document.text").alias("text"))
+    groups = stage(near_dups.near_duplicates(texts, NEAR).select("doc_id", "component_id"), "groups")
+    ids = numbered.select(F.col("__row").alias("doc_id"), F.col("__document.doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).alias("first")
+    kept = groups.join(ids, "doc_id").groupBy("component_id").agg(first)
     # Stored by itself, so that its own size decides whether the texts are shuffled for it.
-    left_out = stage(groups.where(~F.col("kept")).select("doc_id"), "left-out")
-    return docs.join(left_out, "doc_id", "left_anti").select(*_columns(docs))
+    left_out = groups.select(F.col("doc_id").alias("__row")).join(
+        kept.select(F.col("first.doc_id").alias("__row")), "__row", "left_anti"
+    )
+    return numbered.join(stage(left_out, "left-out"), "__row", "left_anti").select("__document.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +75,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and checksums of the ids and the decoded text."""
     prepare(spark)
-    return bpe.digests(docs, bpe.vocabulary(), keep_ids=True)
+    return bpe.digests(docs, bpe.vocabulary(), keep_ids=True, remember=False)
 
 
 def _columns(docs: DataFrame) -> list[F.Column]:
@@ -83,7 +95,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages; what a stage stored for itself, and its input, go when its result is stored."""
+    docs, earlier = documents(spark, sf_dir), None
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with staging(spark):
+            made = function(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if earlier:
+            discard(spark, earlier)
+        earlier = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -79,8 +79,13 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _OWNED.pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nobody reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -92,5 +97,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Whether the shuffle files of a query go when it ends; else they stay until the driver happens to
+# collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """For the write of a table, after which nothing reads the shuffle files again."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
