@@ -4,7 +4,8 @@ A text is lowered, everything but letters becomes a blank, and its byte bigrams
 counted in hashed places. Counts are damped, weighted with the inverse document frequency over
 all training documents, and normalised. From a bounded sample of each language's training
 documents, spherical k-means finds a few centroids. A text gets the language of the centroid
-with the largest cosine, and is rejected if it is farther than the sample's texts of that length.
+with the largest cosine, and is rejected if it is farther from it than nearly all of the sample's
+texts of that length are, by a margin that is fitted with each language held back once.
 """
 
 from __future__ import annotations
@@ -36,21 +37,27 @@ _PLAIN[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 class Training:
     """``per_language`` bounds the documents whose vectors are clustered, for each language.
 
-    ``reject_share``: a text is rejected if its cosine is below this share of the lowest one
-    among the language's sample texts of about its length. Texts of fewer than ``reject_from``
-    grams (about two a letter) are too short to tell and not rejected.
+    ``quantile``: a text is judged by this low quantile of the cosines of the language's sample
+    texts of about its length, which a single odd text does not move. It is rejected below a share
+    of it. The share is fitted: the smallest of ``shares`` that rejects ``held_back`` of the texts
+    of languages the others do not know, or else the largest that rejects no more than ``lost`` of
+    the known ones. Texts of fewer than ``reject_from`` grams (about two a letter) are too short to
+    tell and not rejected.
     """
 
     per_language: int = 500
     centroids: int = 4
     iterations: int = 10
-    reject_share: float = 0.4
+    quantile: float = 0.02
+    shares: tuple[float, ...] = (0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8)
+    held_back: float = 0.99
+    lost: float = 0.001
     reject_from: int = 100
 
 
 @dataclass(frozen=True)
 class Model:
-    """Centroids as rows with their language, document weights, and lowest cosines by length."""
+    """Centroids as rows with their language, document weights, and least cosines by length."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -117,15 +124,28 @@ def document_weights(training: DataFrame) -> np.ndarray:
 
 
 def _sample(training: DataFrame, per_language: int) -> DataFrame:
-    """Up to ``per_language`` documents of each language, by the order of a hash of their ids."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        training.select("doc_id", "lang")
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= per_language)
-        .select("doc_id")
-    )
-    return training.select("doc_id", "lang", "text").join(stage(chosen, "sample"), "doc_id", "left_semi")
+    """``lang`` and ``text`` of up to ``per_language`` documents of each language.
+
+    They are those of the smallest hashes of id and text. Only rows with a hash below a cut are
+    ranked, which leaves about four times as many as wanted of a language, however many it has; equal
+    rows count once. Should a cut leave too few, it is raised until all of the language are below.
+    """
+    keyed = training.withColumn("order", F.xxhash64("doc_id", "text"))
+    share = F.col("order") / F.lit(float(1 << 64)) + 0.5
+    sizes = keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("held"))
+    cuts = stage(sizes.select("lang", (F.lit(4.0 * per_language) / F.col("held")).alias("cut")), "cuts")
+    while True:
+        below = keyed.join(cuts, "lang").where(share <= F.col("cut"))
+        below = stage(below.select("lang", "text", "order", "cut").dropDuplicates(["lang", "order"]), "below")
+        found = below.groupBy("lang").agg(F.count(F.lit(1)).alias("found"))
+        met = cuts.join(found, "lang", "left").where("cut < 1")
+        if met.where(F.coalesce("found", F.lit(0)) < per_language).isEmpty():
+            break
+        # One row per language.
+        cuts = stage(cuts.select("lang", (F.col("cut") * 64).alias("cut")), "cuts")
+    order = Window.partitionBy("lang").orderBy("order")
+    ranked = below.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
+    return stage(ranked.select("lang", "text"), "sample")
 
 
 def cluster(rows: np.ndarray, count: int, iterations: int) -> np.ndarray:
@@ -172,43 +192,76 @@ def train(docs: DataFrame, training: Training = Training()) -> Model:
         made = np.stack([np.frombuffer(v, np.float32) for v in group["vector"]])
         filled = (made != 0).any(axis=1)
         if not filled.any():
-            return pd.DataFrame({"lang": [], "vector": [], "lowest": []})
-        made, bins = made[filled], group["bin"].to_numpy()[filled]
-        centres = cluster(made, training.centroids, training.iterations)
-        best = (made @ centres.T).max(axis=1)
-        lowest = np.array(
-            [
-                best[near].min() if (near := abs(bins - b) <= 2).any() else best.min()
-                for b in range(BINS)
-            ]
-        )
-        return pd.DataFrame(
-            {
-                "lang": group["lang"].iloc[0],
-                "vector": [c.tobytes() for c in centres],
-                "lowest": [lowest.tolist()] * len(centres),
-            }
-        )
+            return pd.DataFrame({"lang": [], "vector": []})
+        centres = cluster(made[filled], training.centroids, training.iterations)
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "vector": [c.tobytes() for c in centres]})
 
-    sampled = _sample(rows, training.per_language).select("lang", "text")
-    made = sampled.mapInArrow(vectorise, "lang string, bin long, vector binary")
+    sampled = _sample(rows, training.per_language)
+    made = stage(sampled.mapInArrow(vectorise, "lang string, bin long, vector binary"), "vectors")
     found = (
         made.groupBy("lang")
-        .applyInPandas(centroids, "lang string, vector binary, lowest array<double>")
+        .applyInPandas(centroids, "lang string, vector binary")
         .toPandas()
         .sort_values(["lang", "vector"], ignore_index=True)
     )
+    languages = found["lang"].tolist()
     shape = (len(found), PLACES)
+    centres = np.array([np.frombuffer(v, np.float32) for v in found["vector"]], np.float32).reshape(shape)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.float32).reshape(-1, PLACES)
+            cosines = (held @ centres.T).astype(np.float64)
+            offsets = np.arange(len(held) + 1, dtype=np.int32) * len(centres)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cosines.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("bin"), lists], ["lang", "bin", "cosines"])
+
+    # As many rows as the samples have, of a number for each centroid.
+    seen = made.mapInArrow(compare, "lang string, bin long, cosines array<double>").toPandas() if languages else None
     return Model(
-        languages=found["lang"].tolist(),
-        centroids=np.array([np.frombuffer(v, np.float32) for v in found["vector"]], np.float32).reshape(shape),
+        languages=languages,
+        centroids=centres,
         weights=weights,
-        lowest=np.array([list(x) for x in found["lowest"]]).reshape(len(found), BINS)
-        * training.reject_share,
+        lowest=least_cosines(seen, languages, training) if languages else np.zeros((0, BINS)),
         reject_from=training.reject_from,
     )
 
 
+def _quantiles(best: np.ndarray, bins: np.ndarray, quantile: float) -> np.ndarray:
+    """A low quantile of cosines for each length, over the lengths about it if there are any."""
+    near = [abs(bins - b) <= 2 for b in range(BINS)]
+    return np.array([np.quantile(best[n] if n.any() else best, quantile) for n in near])
+
+
+def least_cosines(seen: pd.DataFrame, languages: list[str], training: Training) -> np.ndarray:
+    """For each centroid and length, the cosine below which a text is rejected.
+
+    ``seen`` has ``lang``, ``bin`` and the ``cosines`` with all centroids of the sample's texts. With
+    a single language the share is the smallest, as none can be held back.
+    """
+    owners, langs, bins = np.array(languages), seen["lang"].to_numpy(str), seen["bin"].to_numpy(np.int64)
+    cosines = np.array(seen["cosines"].tolist()).reshape(len(seen), len(languages))
+    bounds = np.zeros((len(languages), BINS))
+    for lang in set(languages):
+        own = langs == lang
+        best = cosines[own][:, owners == lang].max(axis=1)
+        bounds[owners == lang] = _quantiles(best, bins[own], training.quantile)
+    own_share, foreign_share = [], []
+    for lang in set(languages):
+        at = np.flatnonzero(langs == lang)
+        for places, shares in ((owners == lang, own_share), (owners != lang, foreign_share)):
+            if places.any():
+                nearest = np.flatnonzero(places)[cosines[at][:, places].argmax(axis=1)]
+                shares.append(cosines[at, nearest] / np.maximum(bounds[nearest, bins[at]], 1e-12))
+    own = np.concatenate(own_share)
+    known = [s for s in training.shares if (own < s).mean() <= training.lost] or [min(training.shares)]
+    if not foreign_share:
+        return bounds * min(training.shares)
+    foreign = np.concatenate(foreign_share)
+    enough = [s for s in known if (foreign < s).mean() >= training.held_back]
+    return bounds * (min(enough) if enough else max(known))
+
+
 def identify(docs: DataFrame, model: Model, prefix: str = "lang") -> DataFrame:
     """``docs`` with ``<prefix>_pred``, ``<prefix>_score`` and ``<prefix>_rejected``.
 
@@ -267,7 +320,8 @@ def identify(docs: DataFrame, model: Model, prefix: str = "lang") -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    held_out = fold(5) == 0
+    # A document without an id is none of those held out.
+    held_out = F.coalesce(fold(5) == 0, F.lit(False))
     model = train(docs.where(~held_out))
     found = identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
     return found.select(

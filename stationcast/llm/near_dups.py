@@ -224,8 +224,11 @@ class _Groups:
         self.docs, self.classes, self.join = docs, classes, join
         self.links = spark.createDataFrame([], "a long, b long")
         self.labels = spark.createDataFrame([], "node long, component long")
+        self.any = False
 
     def label(self, rows: DataFrame) -> DataFrame:
+        if not self.any:
+            return rows.withColumn("component", F.col("class"))
         return _labelled(rows, self.labels, "class", "component")
 
     def texts(self, wanted: DataFrame) -> DataFrame:
@@ -236,6 +239,7 @@ class _Groups:
         if not found.isEmpty():
             self.links = self.links.union(found)
             self.labels = components(self.links)
+            self.any = True
 
     def add_partners(self, met: DataFrame, texts: DataFrame | None = None) -> None:
         """Confirm, for each class, the partner with the most equal places, the smallest of these."""
@@ -449,7 +453,9 @@ def _one_leaf(rows: DataFrame, join: Join) -> DataFrame:
     """The rows of leaves that share classes as one leaf, if it is no larger than ``join.leaf``."""
     least = rows.groupBy("node").agg(F.min("class").alias("b"))
     shared = components(rows.join(least, "node").select(F.col("class").alias("a"), "b"))
-    joined = stage(_labelled(rows, shared, "class", "whole"), "joined")
+    # Every class has an edge here, if only to itself.
+    wholes = shared.select(F.col("node").alias("class"), F.col("component").alias("whole"))
+    joined = stage(rows.join(wholes, "class"), "joined")
     one = joined.dropDuplicates(["whole", "class"])
     sizes = one.groupBy("whole").agg(F.count(F.lit(1)).alias("held"))
     small = stage(sizes.where(F.col("held") <= join.leaf).select("whole"), "small")

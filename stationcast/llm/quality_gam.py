@@ -244,8 +244,9 @@ def score(docs: DataFrame, model: Gam) -> DataFrame:
 
 
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without an id are none of those held out; labels without one are not learnt."""
     docs = documents(spark, sf_dir)
-    held_out = fold(4) == 2
+    held_out = F.coalesce(fold(4) == 2, F.lit(False))
     model = train(docs, labels(spark, sf_dir).where(~held_out))
     return score(docs, model).select(
         "doc_id",

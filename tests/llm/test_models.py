@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,87 @@ def test_awkward_languages(spark, model):
     assert lang_id.identify(strange, model).first().lang_rejected
 
 
+SPANISH = "la casa que estaba sobre la colina era vieja y nadie sabía quién la había construido allí antes".split()
+DUTCH = "het huis dat op de heuvel stond was oud en niemand wist wie het daar vroeger had gebouwd waarom".split()
+
+
+def test_unlearned_latin_languages_are_rejected(spark, model):
+    """Held back from the model, and written with the letters of the learned ones."""
+    drawn = np.random.default_rng(3)
+    rows = [
+        (i, " ".join(drawn.choice(words, 60)), lang, None, None)
+        for i, (words, lang) in enumerate([(SPANISH, "es"), (DUTCH, "nl")] * 15)
+    ]
+    found = lang_id.identify(frame(spark, rows), model).collect()
+    assert sum(r.lang_rejected for r in found) >= 0.9 * len(found)
+    known = lang_id.identify(frame(spark, [(i, text_of(k, 60, 900 + i), k, None, None) for i in range(20) for k in ("de", "en", "fr")]), model)
+    assert not any(r.lang_rejected for r in known.collect())
+
+
+def test_one_odd_text_does_not_set_the_bound():
+    bins = np.full(200, 9)
+    seen = {"lang": ["a"] * 200 + ["b"] * 200, "bin": np.concatenate([bins, bins])}
+    near, far = np.linspace(0.8, 0.9, 200), np.linspace(0.2, 0.3, 200)
+    cosines = np.concatenate([np.stack([near, far], axis=1), np.stack([far, near], axis=1)])
+    plain = lang_id.least_cosines(pd.DataFrame(seen | {"cosines": cosines.tolist()}), ["a", "b"], lang_id.Training())
+    cosines[0, 0] = 0.01
+    odd = lang_id.least_cosines(pd.DataFrame(seen | {"cosines": cosines.tolist()}), ["a", "b"], lang_id.Training(lost=0.01))
+    assert (plain > 0.3).all() and (plain < 0.8).all() and np.allclose(plain, odd, atol=0.02)
+
+
+def test_sample_equals_ranking_of_all_rows(spark, monkeypatch):
+    rows = [(i % 900, text_of("en", 5, i % 1000), "en" if i % 10 else "de", None, None) for i in range(3000)]
+    rows += [(None, f"only {i}", "fr", None, None) for i in range(7)] + [(5, "again", "xx", None, None)] * 400
+    docs = frame(spark, rows)
+    for wanted in (1, 40, 5000):
+        found = sorted((r.lang, r.text) for r in lang_id._sample(docs, wanted).collect())
+        keyed = docs.select("lang", "text", F.xxhash64("doc_id", "text").alias("h")).distinct().collect()
+        expected = []
+        for lang in ("en", "de", "fr", "xx"):
+            own = sorted((r.h, r.text) for r in keyed if r.lang == lang)[:wanted]
+            expected += [(lang, text) for _, text in own]
+        assert found == sorted(expected)
+
+
+def test_vectors_and_cosines_against_plain_loops(spark, model):
+    """Grams, places, weights, norm, cosine and the nearest centroid, one text after the other."""
+    def place(gram):
+        if len(gram) == 2:
+            return ((gram[0] << 8 | gram[1]) + 1) * 0x9E3779B1 % (1 << 32) >> 19
+        return (gram[0] << 16 | gram[1] << 8 | gram[2]) * 0x85EBCA6B % (1 << 32) >> 19
+
+    def grams(text):
+        data = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode())
+        data = b"  " + data + b"  "
+        two = [data[i : i + 2] for i in range(len(data) - 1) if data[i : i + 2] != b"  "]
+        three = [data[i : i + 3] for i in range(len(data) - 2)]
+        return collections.Counter(map(place, two + [g for g in three if g[:2] != b"  " and g[1:] != b"  "]))
+
+    rows = plain_rows(9)
+    trained = [grams(r[1]) for r in plain_rows()]
+    for k in range(0, lang_id.PLACES, 37):
+        held = sum(k in g for g in trained)
+        assert model.weights[k] == pytest.approx(math.log((1 + len(trained)) / (1 + held)) + 1, rel=1e-5)
+    found = {r.doc_id: r for r in lang_id.identify(frame(spark, rows), model).collect()}
+    for row in rows:
+        vector = {k: math.log1p(n) * float(model.weights[k]) for k, n in grams(row[1]).items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [sum(v * float(c[k]) for k, v in vector.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=lambda i: cosines[i])
+        assert found[row[0]].lang_pred == model.languages[best]
+        assert found[row[0]].lang_score == pytest.approx(cosines[best], abs=1e-4)
+
+
+def test_documents_without_an_id_are_not_held_out(spark, tmp_path):
+    rows = [*plain_rows(), (None, text_of("de", 60, 5), "de", None, None)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    marks = [(i, i % 2, 0) for i in range(60)] + [(None, 1, 0)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (lang_id.op7_language_id, quality_gam.op9_quality_gam):
+        found = {r.doc_id: r.held_out for r in query(spark, str(tmp_path)).collect()}
+        assert found[None] is False and None not in found.values() and len(found) == 61
+
+
 def test_no_training_rows(spark):
     model = lang_id.train(frame(spark, []))
     found = lang_id.identify(frame(spark, plain_rows(3)), model).collect()
@@ -119,6 +201,119 @@ def test_estimated_accuracies():
     assert quality_rules.estimate([], np.zeros(0)).prior == quality_rules.START.prior
 
 
+def test_estimation_and_posterior_against_plain_loops():
+    """Every round by loops: each rule's votes weighted with the chance that the text is good."""
+    patterns, counts = ["++0", "+-+", "--0", "0-+", "+++", "-0-"], [50.0, 9.0, 12.0, 3.0, 70.0, 4.0]
+    start, trust = quality_rules.START, 0.02
+    prior, good, bad = start.prior, [0.99] * 3, [0.3] * 3
+
+    def chance(pattern):
+        on_good, on_bad = prior, 1 - prior
+        for vote, g, b in zip(pattern, good, bad, strict=True):
+            if vote != "0":
+                on_good *= g if vote == "+" else 1 - g
+                on_bad *= 1 - b if vote == "+" else b
+        return on_good / (on_good + on_bad)
+
+    total, weight = sum(counts), trust * sum(counts)
+    for _ in range(200):
+        shares = [n * chance(p) for p, n in zip(patterns, counts, strict=True)]
+        new_good, new_bad = [], []
+        for r in range(3):
+            cast = [(s, n - s, p[r]) for s, n, p in zip(shares, counts, patterns, strict=True) if p[r] != "0"]
+            g = (sum(s for s, _, v in cast if v == "+") + weight * 0.99) / (sum(s for s, _, _ in cast) + weight)
+            b = (sum(t for _, t, v in cast if v == "-") + weight * 0.3) / (sum(t for _, t, _ in cast) + weight)
+            g = min(max(g, 0.6), 0.999)
+            new_good.append(g)
+            new_bad.append(min(max(b, 2 * (1 - g), 0.02), 0.999))
+        moved = max(abs(x - y) for x, y in zip(new_good + new_bad, good + bad, strict=True))
+        fresh = min(max((sum(shares) + weight * start.prior) / (total + weight), 0.01), 0.99)
+        moved, prior, good, bad = max(moved, abs(fresh - prior)), fresh, new_good, new_bad
+        if moved < 1e-9:
+            break
+    found = quality_rules.estimate(patterns, np.array(counts))
+    assert found.prior == pytest.approx(prior) and found.right_on_good == pytest.approx(good)
+    assert found.right_on_bad == pytest.approx(bad)
+    assert found.posterior(patterns) == pytest.approx([chance(p) for p in patterns])
+
+
+def test_kept_follows_the_posterior(spark):
+    found = quality_rules.quality_verdicts(documents(spark, SF)).select("votes", "posterior", "base_failed", "kept").collect()
+    seen = collections.Counter(r.votes for r in found)
+    patterns = sorted(seen)
+    chances = quality_rules.estimate(patterns, np.array([seen[p] for p in patterns], float)).posterior(patterns)
+    by_pattern = dict(zip(patterns, chances, strict=True))
+    for r in found:
+        assert r.posterior == pytest.approx(by_pattern[r.votes], rel=1e-12)
+        assert r.kept == (not r.base_failed and r.posterior >= 0.5)
+
+
+def plain_cut(slope, weight, smooth):
+    """The best gain of any cut in two, and where."""
+    part = lambda a, b: sum(slope[a:b]) ** 2 / (sum(weight[a:b]) + smooth)
+    gains = [part(0, k) + part(k, len(slope)) - part(0, len(slope)) for k in range(1, len(slope))]
+    return max(gains), 1 + gains.index(max(gains))
+
+
+def test_boosting_step_against_plain_loops():
+    """One round on one feature: bins by edges, a tree of two leaves, and the scores it gives."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 6, (60, 1)).astype(float)
+    y = ((x[:, 0] >= 3) ^ (rng.random(60) < 0.2)).astype(float)
+    how = quality_gam.Boosting(rounds=1, pairs=0, pair_rounds=0, leaves=2)
+    model = quality_gam.fit(x, y, how)
+    share = (sum(y) + 1) / 62
+    edges = sorted(set(np.quantile(x[:, 0], np.arange(1, how.bins) / how.bins).tolist()))
+    of = [sum(v >= e for e in edges) for v in x[:, 0].tolist()]
+    slope, weight = [0.0] * (len(edges) + 1), [0.0] * (len(edges) + 1)
+    for k, target in zip(of, y.tolist(), strict=True):
+        slope[k] += target - share
+        weight[k] += share * (1 - share)
+    _, cut = plain_cut(slope, weight, how.smooth)
+    step = [
+        how.rate * sum(slope[a:b]) / (sum(weight[a:b]) + how.smooth)
+        for a, b in [(0, cut) if k < cut else (cut, len(slope)) for k in range(len(slope))]
+    ]
+    assert model.tables[0] == pytest.approx(step)
+    start = math.log(share / (1 - share))
+    expected = [1 / (1 + math.exp(-(start + step[k]))) for k in of]
+    assert model.score(x) == pytest.approx(expected)
+
+
+def test_pair_tree_against_plain_loops():
+    """All trees of a first cut of one feature and a cut of the other on each side."""
+    rng = np.random.default_rng(12)
+    slope, weight, smooth = rng.normal(size=(4, 5)), rng.random((4, 5)) + 0.1, 2.0
+    best = 0.0
+    for turned in (False, True):
+        s, w = (slope.T, weight.T) if turned else (slope, weight)
+        for at in range(1, len(s)):
+            gain = -s.sum() ** 2 / (w.sum() + smooth)
+            for rows in (range(at), range(at, len(s))):
+                sides = []
+                for cut in range(1, s.shape[1]):
+                    total = 0.0
+                    for columns in (range(cut), range(cut, s.shape[1])):
+                        cells = [(i, j) for i in rows for j in columns]
+                        total += sum(s[c] for c in cells) ** 2 / (sum(w[c] for c in cells) + smooth)
+                    sides.append(total)
+                gain += max(sides)
+            best = max(best, gain)
+    gain, step = quality_gam._pair_tree(slope, weight, smooth)
+    assert gain == pytest.approx(best)
+    assert (slope * step).sum() > 0 and len(np.unique(step.round(9))) <= 4
+
+
+def test_score_adds_up_tables_of_bins():
+    model = quality_gam.Gam(
+        0.25, [np.array([1.0, 2.0]), np.array([0.5])], [np.array([0.1, 0.2, 0.3]), np.array([-1.0, 1.0])],
+        [np.array([1.5]), np.array([])], [(0, 1)], [np.array([[0.05], [0.07]])],
+    )
+    x = np.array([[0.0, 0.5], [1.0, 0.0], [2.5, 9.0]])
+    totals = [0.25 + 0.1 + 1 + 0.05, 0.25 + 0.2 - 1 + 0.05, 0.25 + 0.3 + 1 + 0.07]
+    assert model.score(x) == pytest.approx([1 / (1 + math.exp(-t)) for t in totals])
+
+
 def test_gam_learns_an_interaction():
     rng = np.random.default_rng(7)
     x = rng.random((6000, 3))
