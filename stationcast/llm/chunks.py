@@ -8,6 +8,7 @@ and only chunks that this process has not met are coded; the ids of the rest are
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -36,6 +37,25 @@ _BLANK = SPACES.copy()
 _BLANK[0x1C:0x20] = True
 
 
+# How byte-level vocabularies write bytes that are no visible Latin-1 sign: as signs from U+0100 on.
+_SHOWN = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+# Latin letters up to U+01BF that stay one letter when composed and lowered: not U+0130, which does not.
+LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01bf]+"
+
+
+def model_ids(tokenizer, words: list[str]) -> list[bytes]:
+    """Ids of strings that are one part to a byte-level tokenizer, by its model alone.
+
+    Normaliser and pre-tokenizer would do nothing but map the bytes. Returned as the bytes of
+    unsigned 32-bit integers.
+    """
+    tokenize, found = tokenizer.model.tokenize, []
+    for word in words:
+        mapped = word.encode().decode("latin-1").translate(_SHOWN)
+        found.append(array("I", [token.id for token in tokenize(mapped)]).tobytes())
+    return found
+
+
 def _wide(data: np.ndarray, at: np.ndarray, before: bool) -> np.ndarray:
     """Whether the character that ends before, or starts at, each place is wide white space."""
     found = np.zeros(len(at), dtype=bool)

@@ -35,6 +35,7 @@ def _flags(characters: bytes) -> np.ndarray:
 
 
 _UPPER = _flags(bytes(range(ord("A"), ord("Z") + 1)))
+# ASCII letters, and every character from U+00C0 on: dashes, quotes and emoji among them.
 _LETTER = _UPPER | _flags(bytes(range(ord("a"), ord("z") + 1))) | _flags(bytes(range(0xC3, 0xF5)))
 _OF_BYTES = {
     # One per code point of a word: neither white space nor a continuation byte.
@@ -60,7 +61,11 @@ def _repeats(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
 
 
 def _sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate([[0], np.cumsum(flags)])[bounds])
+    """Set flags between bounds that cover all of them, without a number for each flag."""
+    out, filled = np.zeros(len(bounds) - 1, np.int64), np.flatnonzero(np.diff(bounds))
+    if len(filled):
+        out[filled] = np.add.reduceat(flags, bounds[filled], dtype=np.int64)
+    return out
 
 
 def repeated_words(found: Words, size: int = 3) -> np.ndarray:

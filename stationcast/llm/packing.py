@@ -22,7 +22,6 @@ import os
 import re
 import string
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.chunks import ChunkCoder
+from stationcast.llm.chunks import LETTERS, ChunkCoder, model_ids
 from stationcast.llm.shingles import PIECE, SPACES, pieces_of_words
 from stationcast.llm.tables import documents, id_text, slices
 from stationcast.session import scratch_path, stage
@@ -54,10 +53,7 @@ def _flags(characters: bytes) -> np.ndarray:
 
 _SIGNS = _flags((string.ascii_letters + string.digits).encode())
 _MARKS = _flags(b'.,;:!?"')
-# How byte-level vocabularies write bytes that are no visible Latin-1 sign: as signs from U+0100 on.
-_SHOWN = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
-# Latin letters up to U+01BF that stay one letter when composed and lowered: not U+0130, which does not.
-_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01bf]+")
+_LETTERS = re.compile(LETTERS)
 
 
 class WordCoder(ChunkCoder):
@@ -117,10 +113,8 @@ class WordCoder(ChunkCoder):
     def _by_model(self, words: list[str]) -> list[bytes]:
         """Ids of words that are one run of letters, equal ones but for their case only once."""
         lowered = [w.lower() for w in words]
-        tokenize, found = self.tokenizer.model.tokenize, {}
-        for word in set(lowered):
-            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
-            found[word] = array("I", [token.id for token in tokenize(mapped)]).tobytes()
+        distinct = list(set(lowered))
+        found = dict(zip(distinct, model_ids(self.tokenizer, distinct), strict=True))
         return [found[w] for w in lowered]
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:

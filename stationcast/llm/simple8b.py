@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationcast.llm.chunks import ChunkCoder
+from stationcast.llm.chunks import LETTERS, ChunkCoder, model_ids
 from stationcast.llm.tables import documents, id_text, partitions, slices
 from stationcast.session import scratch_path
 
@@ -179,6 +180,9 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, counts, unpack(words, firsts, n)
 
 
+_LETTERS = re.compile(" ?" + LETTERS)
+
+
 @functools.cache
 def _library_coder(path: str) -> ChunkCoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -186,13 +190,24 @@ def _library_coder(path: str) -> ChunkCoder:
 
     tokenizer = Tokenizer.from_file(path)
 
-    def code(strings: list[str]) -> list[bytes]:
+    def by_library(strings: list[str]) -> list[bytes]:
         found = []
         for k in range(0, len(strings), 20_000):
             done = tokenizer.encode_batch_fast(strings[k : k + 20_000], add_special_tokens=False)
             found += [np.array(e.ids, dtype=np.uint32).tobytes() for e in done]
         return found
 
+    # A run of letters behind a blank or none goes straight to the model, if that is how it is coded.
+    probes = ["Word", " word", " Stra\u00dfe", "\u00e9t\u00e9", " \u017bywi\u0119cie"]
+    direct = model_ids(tokenizer, probes) == by_library(probes)
+
+    def code(strings: list[str]) -> list[bytes]:
+        letters = [s for s in strings if direct and _LETTERS.fullmatch(s)]
+        coded = dict(zip(letters, model_ids(tokenizer, letters), strict=True))
+        rest = [s for s in strings if s not in coded]
+        coded |= zip(rest, by_library(rest), strict=True)
+        return [coded[s] for s in strings]
+
     return ChunkCoder(code)
 
 
