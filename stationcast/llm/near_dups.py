@@ -450,18 +450,36 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
 
 
 def _one_leaf(rows: DataFrame, join: Join) -> DataFrame:
-    """The rows of leaves that share classes as one leaf, if it is no larger than ``join.leaf``."""
+    """The rows of leaves that share classes as one leaf.
+
+    Where that is too large, every two blocks of it become a leaf, unless its classes come in fewer
+    leaves as it is. Either way all that shared a leaf still do.
+    """
     least = rows.groupBy("node").agg(F.min("class").alias("b"))
     shared = components(rows.join(least, "node").select(F.col("class").alias("a"), "b"))
     # Every class has an edge here, if only to itself.
     wholes = shared.select(F.col("node").alias("class"), F.col("component").alias("whole"))
     joined = stage(rows.join(wholes, "class"), "joined")
     one = joined.dropDuplicates(["whole", "class"])
-    sizes = one.groupBy("whole").agg(F.count(F.lit(1)).alias("held"))
-    small = stage(sizes.where(F.col("held") <= join.leaf).select("whole"), "small")
-    others = joined.join(small, "whole", "left_anti").select(*rows.columns)
-    single = one.join(small, "whole", "left_semi").withColumn("node", F.xxhash64(F.lit("whole"), "whole"))
-    return others.unionByName(single.select(*rows.columns))
+    held = one.groupBy("whole").agg(F.count(F.lit(1)).alias("held"))
+    sizes = joined.groupBy("whole").agg(F.count(F.lit(1)).alias("copies")).join(held, "whole")
+    half = max(1, join.leaf // 2)
+    blocks = F.when(F.col("held") <= join.leaf, 1).otherwise(F.ceil(F.col("held") / half))
+    merged = stage(
+        sizes.select("whole", blocks.cast("int").alias("blocks"), "held", "copies").where("blocks * held <= copies"), "merged"
+    )
+    others = joined.join(merged, "whole", "left_anti").select(*rows.columns)
+    mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    dealt = one.join(merged.select("whole", "blocks"), "whole").withColumn(
+        "node",
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(0), F.col("blocks") - 1),
+                lambda k: F.xxhash64(F.lit("whole"), "whole", F.least(mine, k), F.greatest(mine, k)),
+            )
+        ),
+    )
+    return others.unionByName(dealt.select(*rows.columns))
 
 
 def _blocks(large: DataFrame, labels: DataFrame, join: Join) -> DataFrame:

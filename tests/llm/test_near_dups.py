@@ -126,6 +126,47 @@ def test_large_nodes_are_compared_in_blocks(spark):
     assert found[30] == 7
 
 
+@pytest.mark.parametrize("leaf, most", [(64, 1), (16, 4), (8, 8)])
+def test_leaves_that_share_classes_are_one(spark, leaf, most):
+    """All that shared a leaf still do, in one leaf or in pairs of blocks, and in fewer leaves."""
+    rng = random.Random(9)
+    leaves = [sorted(rng.sample(range(30), 20)) for _ in range(25)] + [[100, 101], [101, 102], [200]]
+    rows = spark.createDataFrame(
+        [(n, c, 9, [c]) for n, own in enumerate(leaves) for c in own], "node long, class long, n long, signature array<int>"
+    )
+    found = collections.defaultdict(set)
+    for r in near_dups._one_leaf(rows, near_dups.Join(leaf=leaf)).collect():
+        assert r.n == 9 and r.signature == [r["class"]] and r["class"] not in found[r.node]
+        found[r.node].add(r["class"])
+    pairs = {(a, b) for own in leaves for a in own for b in own}
+    assert pairs <= {(a, b) for own in found.values() for a in own for b in own}
+    assert max(sum(c in own for own in found.values()) for c in range(30)) <= most
+
+
+def test_a_dense_group_larger_than_a_leaf_is_seldom_copied(spark, monkeypatch):
+    """3,000 near copies of one component in leaves of 256: each class meets full sets a few times."""
+    rng = random.Random(3)
+    base = [f"u{k}" for k in range(300)]
+    texts = []
+    for _ in range(3000):
+        words = base[:]
+        for at in rng.sample(range(300), 2):
+            words[at] = f"w{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    met = []
+    whole = near_dups._links_in_nodes
+
+    def counted(rows, texts, join):
+        met.append(rows.count())
+        return whole(rows, texts, join)
+
+    monkeypatch.setattr(near_dups, "_links_in_nodes", counted)
+    found = near_dups.near_duplicates(frame(spark, rows), near_dups.Join(percent=85, leaf=256)).collect()
+    assert len({r.component_id for r in found}) == 1
+    assert sum(met) <= 4 * len(rows)
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_pairs_at_the_threshold_meet_at_full_depth(spark, percent):
     """Every node branches as often as ``depth`` allows, and yet hardly a pair meets in no tree."""
