@@ -268,7 +268,7 @@ def test_latest_documents_survive_replays_disorder_and_restarts(spark, tmp_path)
     source, table, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
 
     def arrive(name, messages):
-        spark.createDataFrame([(m,) for m in messages], "value string").write.text(f"{source}/{name}")
+        spark.createDataFrame([(m,) for m in messages], "value string").coalesce(1).write.text(f"{source}/{name}")
 
     def drained():
         stream = streaming.newer_documents(streaming.stream_messages(spark, f"{source}/*", max_files=1))
