@@ -31,8 +31,9 @@ def write_keyed(
     order = [F.col(f"`{key}`"), F.xxhash64(*others)] if others else [F.col(f"`{key}`")]
     dealt = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
     (
-        dealt.sortWithinPartitions(*order)
-        .withColumn(SLICE, F.spark_partition_id())
+        # Led by the slice, the order is what the writer of folders asks for, and is kept.
+        dealt.withColumn(SLICE, F.spark_partition_id())
+        .sortWithinPartitions(SLICE, *order)
         .write.mode("overwrite")
         .option("parquet.block.size", row_group_bytes)
         .option(f"parquet.bloom.filter.enabled#{key}", "true")
