@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationcast.llm.chunks import ChunkCoder
-from stationcast.llm.tables import documents, id_text, map_slices, slices
+from stationcast.llm.tables import documents, give_back, id_text, map_slices, slices
 
 # Fixed value: where the pre-tokeniser of the vocabulary cuts a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 NO_MERGE = np.int64(1) << np.int64(62)
 # Fewer words of a width than this get a tree each; cells of a table of trees at most.
-FEW, CELLS = 12, 1 << 21
+FEW, CELLS = 12, 1 << 18
 
 
 def byte_letters() -> dict[int, str]:
@@ -115,6 +115,8 @@ class ByteBpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.find = regex.compile(PATTERN).findall
         self.coder = ChunkCoder(self.encode_strings)
+        # Reading the file took several times the memory that is kept.
+        give_back()
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, or ``NO_MERGE``."""
@@ -311,8 +313,8 @@ def round_trip(docs: DataFrame, path: str, remember: bool = True) -> DataFrame:
     """``doc_id``, ``token_ids`` and the ``text`` these decode to, for every whole text.
 
     As ``encode`` and then ``decode``, in one Python task instead of two side by side. Where other
-    work follows in the same processes, ``remember`` lets them forget vocabulary and chunks at the
-    end of each task.
+    work shares the processes, ``remember`` lets them forget vocabulary and chunks at the end of
+    each task and take fewer texts at once, which costs time and saves memory.
     """
 
     def both(batch: pa.RecordBatch) -> dict:
@@ -323,8 +325,10 @@ def round_trip(docs: DataFrame, path: str, remember: bool = True) -> DataFrame:
         texts = [bpe.decode(listed[a:b]) for a, b in itertools.pairwise(edges)]
         return {"doc_id": batch.column("doc_id"), "token_ids": lists, "text": pa.array(texts, pa.string())}
 
-    after = None if remember else load.cache_clear
-    return map_slices(id_text(docs), both, "doc_id long, token_ids array<int>, text string", after=after)
+    schema = "doc_id long, token_ids array<int>, text string"
+    if remember:
+        return map_slices(id_text(docs), both, schema)
+    return map_slices(id_text(docs), both, schema, after=load.cache_clear, most=1 << 19)
 
 
 def digests(docs: DataFrame, path: str, keep_ids: bool = False, remember: bool = True) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # Spans are hashed in blocks of so many bytes; a longer span is hashed by itself.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True

@@ -65,8 +65,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``BATCH_BYTES`` of ``column`` or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``most`` (``BATCH_BYTES``) of ``column`` or one row."""
+    most = most or BATCH_BYTES
     for batch in batches:
         values = batch.column(column)
         nested = pa.types.is_list(values.type)
@@ -74,7 +77,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, size in enumerate(sizes.tolist()):
-            if held and held + size > BATCH_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size
@@ -103,16 +106,17 @@ def map_slices(
     schema: str,
     column: str = "text",
     after: Callable[[], None] | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Apply ``function`` to slices of the rows; it returns the columns of the result.
 
-    ``after`` is called at the end of each task.
+    ``after`` is called at the end of each task, ``most`` bounds the bytes of a slice.
     """
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            for piece in slices(batches, column):
+            for piece in slices(batches, column, most):
                 columns = function(piece)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[n]) for n in names], names=names)
         finally:
