@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.llm.shingles import mix, words
@@ -33,8 +33,14 @@ from stationcast.llm.tables import documents, id_text, map_slices
 from stationcast.session import stage
 
 
+# Bits of a hash that hold the number of words.
+MOST_WORDS = 7
+
+
 @dataclass(frozen=True)
 class Backoff:
+    """``order``: words of the longest n-grams, seven at most."""
+
     order: int = 3
     backoff: float = 0.4
     min_count: int = 2
@@ -44,17 +50,23 @@ class Backoff:
 def grams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Hashes of the 1- to ``order``-grams that end at each word; how many words stand in the text
     before it; and the bounds of the texts. Longer grams are valid from the word on that ends one.
+    The lowest bits of a hash hold the number of words, so it needs no column.
     """
     found = words(texts, lower=True)
     counts = np.diff(found.bounds)
     place = np.arange(len(found.hashes)) - np.repeat(found.bounds[:-1], counts)
-    out = [mix(found.hashes)]
-    for k in range(2, order + 1):
-        before = np.concatenate([np.zeros(1, np.uint64), out[-1][:-1]])[: len(place)]
-        out.append(mix(before * np.uint64(0x9E3779B97F4A7C15) + found.hashes + np.uint64(k)))
+    out = []
+    for k in range(1, order + 1):
+        before = np.concatenate([np.zeros(1, np.uint64), out[-1][:-1]])[: len(place)] if out else np.uint64(0)
+        made = mix(before * np.uint64(0x9E3779B97F4A7C15) + found.hashes + np.uint64(k))
+        out.append((made & ~np.uint64(MOST_WORDS)) | np.uint64(k))
     return out, place, found.bounds
 
 
+def _pass(own: np.ndarray, how: Backoff) -> np.ndarray:
+    return (own >> np.uint64(32)) % np.uint64(how.passes)
+
+
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
@@ -72,23 +84,23 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _counted_rows(texts: DataFrame, how: Backoff, number: int) -> DataFrame:
-    """``k``, ``gram``, ``context``, ``shorter`` and ``n`` of the grams of a pass, once per batch."""
+    """``gram``, ``context``, ``shorter`` and ``n`` of the grams of a pass, once per batch."""
 
     def count(batch: pa.RecordBatch) -> dict:
         hashes, place, _ = grams(_texts(batch), how.order)
         parts = []
         for k, own in enumerate(hashes):
-            at = np.flatnonzero((place >= k) & (own % np.uint64(how.passes) == number))
+            at = np.flatnonzero((place >= k) & (_pass(own, how) == number))
             at = at[np.argsort(own[at], kind="stable")]
             first = _firsts(own[at])
             some = at[first]
             shorter = hashes[max(0, k - 1)]
             context = shorter[some - 1] if k else shorter[some]
-            parts.append((np.full(len(some), k + 1, np.int8), own[some], context, shorter[some], _runs(first, len(at))))
-        kinds, own, context, shorter, n = (np.concatenate(p) for p in zip(*parts, strict=True))
-        return {"k": kinds, "gram": _signed(own), "context": _signed(context), "shorter": _signed(shorter), "n": n}
+            parts.append((own[some], context, shorter[some], _runs(first, len(at))))
+        own, context, shorter, n = (np.concatenate(p) for p in zip(*parts, strict=True))
+        return {"gram": _signed(own), "context": _signed(context), "shorter": _signed(shorter), "n": n}
 
-    return map_slices(texts, count, "k byte, gram long, context long, shorter long, n int")
+    return map_slices(texts, count, "gram long, context long, shorter long, n int")
 
 
 def _document_rows(texts: DataFrame, how: Backoff, number: int) -> DataFrame:
@@ -99,7 +111,7 @@ def _document_rows(texts: DataFrame, how: Backoff, number: int) -> DataFrame:
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         parts = []
         for k, own in enumerate(hashes):
-            at = np.flatnonzero((place >= k) & (own % np.uint64(how.passes) == number))
+            at = np.flatnonzero((place >= k) & (_pass(own, how) == number))
             at = at[np.lexsort((own[at], owner[at]))]
             changed = (own[at][1:] != own[at][:-1]) | (owner[at][1:] != owner[at][:-1])
             first = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), changed]))
@@ -114,14 +126,19 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
+def _words_in(gram: str) -> Column:
+    return F.col(gram).bitwiseAND(F.lit(MOST_WORDS).cast("long"))
+
+
 def count_tables(texts: DataFrame, how: Backoff) -> DataFrame:
     """The counts of all words, and of longer grams that repeat; stored, partitioned by hash."""
     tables = []
     for number in range(how.passes):
         rows = _counted_rows(texts, how, number)
-        same = [F.first(name).alias(name) for name in ("k", "context", "shorter")]
+        # The same in all rows of a gram.
+        same = [F.max(name).alias(name) for name in ("context", "shorter")]
         counts = rows.groupBy("gram").agg(F.sum("n").alias("n"), *same)
-        tables.append(stage(counts.where((F.col("k") == 1) | (F.col("n") >= how.min_count)), "counts"))
+        tables.append(stage(counts.where((_words_in("gram") == 1) | (F.col("n") >= how.min_count)), "counts"))
     return _union(tables)
 
 
@@ -132,15 +149,14 @@ def gain_tables(counts: DataFrame, how: Backoff) -> DataFrame:
     both for every row.
     """
     # One number: the words of the corpus.
-    total = counts.where("k = 1").agg(F.sum("n")).first()[0] or 1
-    level = stage(
-        counts.where("k = 1").select("gram", "n", (F.log("n") - F.lit(math.log(total))).alias("score")), "level"
-    )
+    single = counts.where(_words_in("gram") == 1)
+    total = single.agg(F.sum("n")).first()[0] or 1
+    level = stage(single.select("gram", "n", (F.log("n") - F.lit(math.log(total))).alias("score")), "level")
     gains = [level.select("gram", F.col("score").alias("gain"))]
     for k in range(2, how.order + 1):
         context = level.select(F.col("gram").alias("context"), F.col("n").alias("of"))
         shorter = level.select(F.col("gram").alias("shorter"), F.col("score").alias("under"))
-        own = counts.where(F.col("k") == k).join(context, "context").join(shorter, "shorter")
+        own = counts.where(_words_in("gram") == k).join(context, "context").join(shorter, "shorter")
         score = F.log(F.col("n") / F.col("of"))
         own = own.select("gram", "n", score.alias("score"), (score - F.col("under") - math.log(how.backoff)).alias("gain"))
         level = stage(own, "level")
