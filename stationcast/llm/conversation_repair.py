@@ -129,7 +129,7 @@ def walk(rows: list[Row], state: int, after: Vector, costs: Costs) -> Iterator[t
     vectors.reverse()
     for i, row in enumerate(rows):
         while True:
-            letter, cost, to, used = _tight(edits(row, state, costs), state, vectors[i], vectors[i + 1], costs)
+            letter, _, to, used = _tight(edits(row, state, costs), state, vectors[i], vectors[i + 1], costs)
             yield letter, state, i if used else None
             state = to
             if used:
@@ -147,7 +147,7 @@ def _tight(
     return min(options)
 
 
-def closing(state: int, costs: Costs) -> Iterator[tuple[str, int, None]]:
+def closing(state: int) -> Iterator[tuple[str, int, None]]:
     """Inserts behind the last row."""
     while FINAL[state] is None:
         yield "I", state, None
@@ -373,7 +373,7 @@ class _Forward:
             self.n_repaired += 1
 
     def result(self, key: tuple[bool, str]) -> dict:
-        self._apply(closing(self.state, self.costs), [], [], [])
+        self._apply(closing(self.state), [], [], [])
         gaps = 0 if self.first_turn is None else self.last_turn - self.first_turn + 1 - self.distinct
         return {
             "absent": key[0], "conv": key[1], "gaps": min(gaps, MOST), "blank": self.counts[_BLANK_MARK],

@@ -465,9 +465,8 @@ def _one_leaf(rows: DataFrame, join: Join) -> DataFrame:
     sizes = joined.groupBy("whole").agg(F.count(F.lit(1)).alias("copies")).join(held, "whole")
     half = max(1, join.leaf // 2)
     blocks = F.when(F.col("held") <= join.leaf, 1).otherwise(F.ceil(F.col("held") / half))
-    merged = stage(
-        sizes.select("whole", blocks.cast("int").alias("blocks"), "held", "copies").where("blocks * held <= copies"), "merged"
-    )
+    merged = sizes.select("whole", blocks.cast("int").alias("blocks"), "held", "copies")
+    merged = stage(merged.where("blocks * held <= copies"), "merged")
     others = joined.join(merged, "whole", "left_anti").select(*rows.columns)
     mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     dealt = one.join(merged.select("whole", "blocks"), "whole").withColumn(
