@@ -48,13 +48,19 @@ def grid_join(
 def _in_cells(
     many: DataFrame, few: DataFrame, keys: list[str], few_keys: list[str], rows: int, columns: int
 ) -> DataFrame:
-    """The hint keeps both sides partitioned: one streams past a hash table of the other's cell."""
+    """The hint keeps both sides partitioned: one streams past a hash table of the other's cell.
+
+    The cells are dealt to a number of tasks that adaptive execution keeps. It would merge them by
+    the bytes of the sides, and not by the pairs these make.
+    """
+    tasks = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = F.pmod(F.xxhash64(*keys), F.lit(rows)).cast("int")
     second = F.pmod(F.xxhash64(*few_keys), F.lit(columns)).cast("int")
     across = F.sequence(F.lit(0), F.lit(columns - 1))
     along = F.sequence(F.lit(0), F.lit(rows - 1))
     dealt = many.withColumn("_cell", F.explode(F.transform(across, lambda c: first * columns + c)))
     copies = few.withColumn("_cell", F.explode(F.transform(along, lambda r: r * columns + second)))
+    dealt, copies = (side.repartition(tasks, "_cell") for side in (dealt, copies))
     return dealt.join(copies.hint("shuffle_hash"), "_cell").drop("_cell")
 
 

@@ -356,3 +356,13 @@ def test_unmatched_trips_are_reported(spark):
     assert ops.unmatched_summary(trips, weather).first().asDict() == {
         "trips": 4, "without_station": 1, "without_weather": 2,
     }
+
+
+def test_cells_of_a_grid_keep_their_tasks(spark):
+    """A few bytes on either side make many pairs: the cells are not merged into one task."""
+    many = spark.range(2000).withColumnRenamed("id", "a")
+    few = spark.range(100).withColumnRenamed("id", "b")
+    pairs = ops.grid_join(many, few, ["a"], pairs_per_cell=1 << 10)
+    held = pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in held) == 200_000
+    assert len(held) == 8 and max(r["count"] for r in held) <= 50_000
