@@ -108,7 +108,7 @@ def tree_scores(spark: SparkSession, sf: str) -> DataFrame:
         *SLOT_KEYS, F.col("prediction").alias("by_model"), vector_to_array("features").alias("features")
     )
     walked = plans.score_by_joins(
-        stage(scored, "vectors"), stage(plans.read_trees(spark, path), "trees"), plans.tree_depth(spark, path)
+        scored, stage(plans.read_trees(spark, path), "trees"), plans.tree_depth(spark, path)
     )
     near = F.abs(F.col("prediction") - F.col("by_model")) <= 1e-9
     return walked.select(*SLOT_KEYS, near.alias("is_equal"))

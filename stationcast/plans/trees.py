@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationcast.session import evenly, stage
+
 # Where a saved pipeline keeps its boosted regression trees.
 TREES = "stages/*_GBTRegressor_*"
 
@@ -46,15 +48,18 @@ def score_by_joins(vectors: DataFrame, trees: DataFrame, depth: int, vector: str
     child, or stays if that is a leaf. The weighted predictions of the leaves are added up. Stored
     nodes have a known size: below Spark's threshold they are broadcast and the rows stay where
     they are, so the sum of a row is complete before it is shuffled. All columns of ``vectors``
-    but the features come back; a row number of its own tells equal rows apart.
+    but the features come back; a row number of its own tells equal rows apart. The rows are stored
+    with it, evenly dealt. Only number and features walk, and the sums are joined with the rest: with
+    other columns among the sums, Spark would sort all rows of all trees.
     """
-    kept = [name for name in vectors.columns if name != vector]
-    numbered = vectors.withColumn("_row", F.monotonically_increasing_id())
+    numbered = evenly(vectors).withColumn("_row", F.monotonically_increasing_id())
+    numbered = stage(numbered, "numbered")
     # One number: trees are as many as the model was given.
     last = trees.agg(F.max("tree")).first()[0]
     names = [f"_{name}" for name in trees.columns]
     nodes = trees.toDF(*names)
-    at = numbered.withColumns({"_at_tree": F.explode(F.sequence(F.lit(0), F.lit(last))), "_at_node": F.lit(0)})
+    walking = numbered.select("_row", F.col(f"`{vector}`"))
+    at = walking.withColumns({"_at_tree": F.explode(F.sequence(F.lit(0), F.lit(last))), "_at_node": F.lit(0)})
     here = (F.col("_at_tree") == F.col("_tree")) & (F.col("_at_node") == F.col("_node"))
     value = F.get(F.col(vector), F.col("_feature"))
     goes_left = F.when(F.col("_categories") < 0, value <= F.get("_values", F.lit(0))).otherwise(
@@ -66,5 +71,5 @@ def score_by_joins(vectors: DataFrame, trees: DataFrame, depth: int, vector: str
         at = at.join(nodes, here).withColumn("_at_node", step).drop(*names)
     leaves = at.join(nodes, here)
     total = F.sum(F.col("_weight") * F.col("_prediction")).alias("prediction")
-    firsts = [F.first(F.col(f"`{name}`")).alias(name) for name in kept]
-    return leaves.groupBy("_row").agg(*firsts, total).drop("_row")
+    sums = leaves.groupBy("_row").agg(total)
+    return numbered.drop(vector).join(sums, "_row").drop("_row")

@@ -88,6 +88,15 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly to ``spark.sql.shuffle.partitions`` tasks, which Spark does not merge.
+
+    For rows that cost more than their bytes tell: packed by bytes, a table of few distinct values
+    becomes fewer tasks than the cluster runs at once, or one more than it does.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

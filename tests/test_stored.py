@@ -232,6 +232,17 @@ def test_trees_walked_by_joins_predict_as_the_model(spark, tmp_path):
     assert all(abs(r.prediction - r.expected) <= 1e-9 for r in walked)
 
 
+def test_tree_walks_sort_no_rows_for_their_sums(spark, tmp_path):
+    """Of a walking row only number and features travel; sums are hashed, other columns joined after."""
+    vectors = spark.createDataFrame([("a", [1.0]), ("a", [1.0]), (None, [5.0])], "c string, features array<double>")
+    nodes = [(0, 0, 0.0, 1, 2, 0, -1, [2.0], 1.0), (0, 1, 7.0, -1, -1, -1, -1, [], 1.0), (0, 2, 9.0, -1, -1, -1, -1, [], 1.0)]
+    schema = "tree int, node int, prediction double, left int, right int, feature int, categories int, values array<double>, weight double"
+    walked = plans.score_by_joins(vectors, spark.createDataFrame(nodes, schema), 1)
+    assert "SortAggregate" not in walked._jdf.queryExecution().executedPlan().toString()
+    assert walked.columns == ["c", "prediction"]
+    assert sorted(map(tuple, walked.collect()), key=str) == [("a", 7.0), ("a", 7.0), (None, 9.0)]
+
+
 # Ledger -----------------------------------------------------------------------------------
 
 
