@@ -546,13 +546,14 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         F.xxhash64("members").alias("node"), F.explode("members").alias("class")
     )
     names = ("node", "class", "n", "signature")
-    rows = leaves.join(shapes, "class").select(*names)
+    # Classes are labelled, not the many rows they have in the leaves of all trees.
+    rows = leaves.join(groups.label(shapes), "class").select(*names, "component")
     large = stage(settled.unionByName(large.select(*settled.columns)), "settled")
     if not large.isEmpty():
-        rows = rows.unionByName(_blocks(large, groups.labels, join).select(*names))
+        rows = rows.unionByName(_blocks(large, groups.labels, join).select(*names, "component"))
     texts = None
     for turn in range(ROUNDS + 1):
-        rows = stage(_open_members(groups.label(rows), join, turn), "open")
+        rows = stage(_open_members(rows if turn == 0 else groups.label(rows), join, turn), "open")
         if rows.isEmpty():
             break
         if turn < ROUNDS:

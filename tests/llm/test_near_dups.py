@@ -167,6 +167,27 @@ def test_a_dense_group_larger_than_a_leaf_is_seldom_copied(spark, monkeypatch):
     assert sum(met) <= 4 * len(rows)
 
 
+def test_labels_meet_classes_and_not_their_rows_in_leaves(spark, monkeypatch):
+    """A passage puts a class in leaves of several trees; it gets its component once."""
+    rng = random.Random(4)
+    base = " ".join(f"u{k}" for k in range(200))
+    passage = " ".join(f"p{k}" for k in range(100))
+    texts = [edited(base, 1, rng) for _ in range(80)]
+    texts += [" ".join([passage, *(f"w{rng.randrange(10**9)}" for _ in range(60))]) for _ in range(60)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    met = []
+    whole = near_dups._labelled
+
+    def counted(rows, labels, column, name):
+        if "path" not in rows.columns:
+            met.append(rows.count())
+        return whole(rows, labels, column, name)
+
+    monkeypatch.setattr(near_dups, "_labelled", counted)
+    check(spark, rows, near_dups.Join(percent=85, leaf=64))
+    assert met and max(met) <= len(rows)
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_pairs_at_the_threshold_meet_at_full_depth(spark, percent):
     """Every node branches as often as ``depth`` allows, and yet hardly a pair meets in no tree."""
