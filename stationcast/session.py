@@ -97,15 +97,16 @@ def evenly(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result has no lineage beyond its files, so a lost executor costs a re-read
     and not a recomputation, and the planner knows its real size: a small staged
-    table is broadcast by Spark's own threshold, a large one is shuffled.
+    table is broadcast by Spark's own threshold, a large one is shuffled. A ``path`` that
+    ``scratch_path`` gave outside of ``staging`` lets the table outlast what is staged inside.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     with _shuffles_removed(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stationcast import session
 from stationcast.llm import lang_id, lm_scoring, quality_gam, quality_rules
 from stationcast.llm.tables import documents, fold, labels
 from tests.llm.fixtures import awkward_rows, frame, plain_rows, text_of
@@ -407,3 +408,31 @@ def test_min_count_of_one_and_a_hot_gram(spark):
         frame(spark, rows).selectExpr("doc_id AS row", "text"), lm_scoring.Backoff(passes=1), 0
     )
     assert pairs.groupBy("gram").count().agg({"count": "max"}).first()[0] == 50
+
+
+def test_backoff_keeps_no_texts_or_counts(spark, tmp_path, monkeypatch):
+    """N-grams are moved in a row for each bucket that a batch has, and only gains and sums stay stored."""
+    rows = awkward_rows()
+    how = lm_scoring.Backoff()
+    texts = frame(spark, rows).selectExpr("coalesce(doc_id, -1) AS row", "coalesce(text, '') AS text").coalesce(1)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for moved in (lm_scoring._batch_grams(texts, how, 0), lm_scoring._document_grams(texts, how, 0)):
+        assert moved.groupBy("bucket").count().count() == buckets
+        assert moved.count() <= 5 * buckets
+    monkeypatch.setattr(session, "shared_folder", lambda spark: f"file://{tmp_path}")
+    lm_scoring.corpus_scores(frame(spark, rows), how).collect()
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"gains", "sums"}
+
+
+def test_bounds_of_numbers_in_rows(spark):
+    """What is dealt to buckets comes back whole and in order, also from slices of a batch."""
+    hashes = lm_scoring.mix(np.arange(1, 1000, dtype=np.uint64))
+    dealt = lm_scoring._dealt(lm_scoring._bucket(hashes, 7), 7, {"grams": hashes, "times": np.arange(999, dtype=np.int32)})
+    assert dealt["bucket"].tolist() == list(range(7))
+    for a, b in ((0, 7), (2, 5), (3, 3)):
+        some = hashes[(lm_scoring._bucket(hashes, 7) >= a) & (lm_scoring._bucket(hashes, 7) < b)]
+        piece = lm_scoring._numbers(dealt["grams"].slice(a, b - a))
+        assert sorted(piece.tolist()) == sorted(some.tolist())
+        assert lm_scoring._ends(dealt["grams"].slice(a, b - a))[-1] == len(some)
+        times = lm_scoring._numbers(dealt["times"].slice(a, b - a), np.int32)
+        assert (hashes[times] == piece).all()
