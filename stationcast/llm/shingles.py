@@ -74,7 +74,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: in
     up, down, values = _tables()
     out = np.zeros(len(starts), np.uint64)
     long = ends - starts > _BLOCK
-    blocks = np.where(long, -1, starts // _SUMMED)
+    blocks = np.where(long, -1, starts // min(_SUMMED, _BLOCK))
     ascending = not long.any() and bool((starts[1:] >= starts[:-1]).all())
     order = None if ascending else np.argsort(blocks, kind="stable")
     # Long spans come first and start no group.
